@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickshop.functions import session_key
+from clickshop.operators.orders import ORDER_INPUT
 from clickshop.operators.staging import NOT_SET
 
+# Staged columns that order items need, for callers that want nothing else.
+ITEM_INPUT = [*ORDER_INPUT, "event_at", "tax_value", "shipping_value", "unique_items", "items"]
+
 
 def fct_order_items(deduped: DataFrame) -> DataFrame:
     """Item lines with category levels, rank within the order and quality flags.

@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from clickshop.operators import (
-    dedupe_purchases,
-    fct_order_items,
-    fct_orders,
-    mart_user_ltv,
-    sessions,
-    stage_events,
-    user_metrics,
-)
+from clickshop import operators as ops
 from clickshop.plans import audit, marts
 from clickshop.sources import Store
 
@@ -23,41 +15,17 @@ def build(raw: DataFrame, store: Store, as_of: Column | None = None) -> dict[str
     Each relation is written once and read from storage by everything built on
     it, so shared inputs (staged events, orders, sessions) are computed once.
     """
-    events = store.write("stg_events", stage_events(raw))
-    deduped = store.write("int_purchase_events_deduped", dedupe_purchases(events))
-    orders = store.write("fct_orders", fct_orders(deduped))
-    items = store.write("fct_order_items", fct_order_items(deduped))
-    visits = store.write("int_sessions", sessions(events, orders))
-    users = store.write("int_user_metrics", user_metrics(visits))
-    store.write("mart_user_ltv", mart_user_ltv(users))
-    store.write("mart_daily_performance", marts.mart_daily_performance(visits))
-    store.write("mart_funnel", marts.mart_funnel(visits))
-    store.write("mart_landing_pages", marts.mart_landing_pages(events, visits))
+    events = store.write("stg_events", ops.stage_events(raw))
+    deduped = store.write("int_purchase_events_deduped", ops.dedupe_purchases(events))
+    orders = store.write("fct_orders", ops.fct_orders(deduped))
+    items = store.write("fct_order_items", ops.fct_order_items(deduped))
+    sessions = store.write("int_sessions", ops.sessions(events, orders))
+    users = store.write("int_user_metrics", ops.user_metrics(sessions))
+    store.write("mart_user_ltv", ops.mart_user_ltv(users))
+    store.write("mart_daily_performance", marts.mart_daily_performance(sessions))
+    store.write("mart_funnel", marts.mart_funnel(sessions))
+    store.write("mart_landing_pages", marts.mart_landing_pages(events, sessions))
     store.write("mart_product_performance", marts.mart_product_performance(items))
-    store.write("mart_retention", marts.mart_retention(visits))
-    store.write("mart_data_quality", audit.mart_data_quality(events, visits, as_of))
+    store.write("mart_retention", marts.mart_retention(sessions))
+    store.write("mart_data_quality", audit.mart_data_quality(events, sessions, as_of))
     return store.tables()
-
-
-def relations(raw: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
-    """The same relations as unwritten DataFrames, for a look at small data."""
-    events = stage_events(raw)
-    deduped = dedupe_purchases(events)
-    orders, items = fct_orders(deduped), fct_order_items(deduped)
-    visits = sessions(events, orders)
-    users = user_metrics(visits)
-    return {
-        "stg_events": events,
-        "int_purchase_events_deduped": deduped,
-        "fct_orders": orders,
-        "fct_order_items": items,
-        "int_sessions": visits,
-        "int_user_metrics": users,
-        "mart_user_ltv": mart_user_ltv(users),
-        "mart_daily_performance": marts.mart_daily_performance(visits),
-        "mart_funnel": marts.mart_funnel(visits),
-        "mart_landing_pages": marts.mart_landing_pages(events, visits),
-        "mart_product_performance": marts.mart_product_performance(items),
-        "mart_retention": marts.mart_retention(visits),
-        "mart_data_quality": audit.mart_data_quality(events, visits, as_of),
-    }

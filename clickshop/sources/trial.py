@@ -12,6 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickshop.functions import exact_sum
 
 # Fixed values of the mapping.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+    "p_retailprice double",
+}
 FIRST_DAY = "2024-01-01"
 FIRST_DAY_MICROS = 1_704_067_200_000_000
 DAY_MICROS = 86_400_000_000
@@ -34,9 +44,9 @@ CLICKS = ["add_to_cart", "begin_checkout", "add_shipping_info", "add_payment_inf
 
 def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested raw event per row of ``events``."""
-    events = _numbered(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    events = _numbered(_table(spark, sf_dir, "events"))
+    nation = _table(spark, sf_dir, "nation")
+    region = _table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("bigint").alias("place"), "n_name", "r_name"
     )
@@ -54,8 +64,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines of an order that share a slot are added up first, so neither a group nor
     an array can outgrow its bound, however many lines one order has.
     """
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    lineitem = _table(spark, sf_dir, "lineitem")
+    part = _table(spark, sf_dir, "part")
     slots = lineitem.groupBy(
         "l_orderkey", F.pmod("l_linenumber", F.lit(LINE_SLOTS)).alias("slot")
     ).agg(
@@ -72,6 +82,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # With the types given, Spark starts no job to look them up.
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def _numbered(events: DataFrame) -> DataFrame:
     """Events with the integers that the mapping is made of."""
     u, k = F.col("u"), F.col("k")
