@@ -23,6 +23,7 @@ from clickshop.operators.orders import ORDER_INPUT  # noqa: E402
 from clickshop.operators.sessions import FIRST_TOUCH  # noqa: E402
 from clickshop.plans import audit, checks, marts, profile  # noqa: E402
 from clickshop.schemas import RELATIONS  # noqa: E402
+from clickshop.session import configure  # noqa: E402
 from clickshop.sources import events_from_tables  # noqa: E402
 from clickshop.sources.events import in_date_range  # noqa: E402
 from parity import oracle  # noqa: E402
@@ -34,8 +35,7 @@ class Warehouse(Mapping[str, DataFrame]):
     """All relations over the given tables, unwritten, each built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.raw = events_from_tables(spark, sf_dir)
+        self.raw = events_from_tables(configure(spark), sf_dir)
 
     def __getitem__(self, relation: str) -> DataFrame:
         return getattr(self, relation)

@@ -40,7 +40,7 @@ FLAGGED_EVENTS = [
     "first_visit",
 ]
 
-# Media of each channel, first match wins.
+# Media of each channel.
 CHANNEL_MEDIA = {
     "Organic Search": ["organic"],
     "Paid Search": ["cpc", "ppc", "paid"],
@@ -100,12 +100,10 @@ def event_fields(raw: DataFrame) -> DataFrame:
 
 def channel_group(medium: Column, source: Column) -> Column:
     """Marketing channel of a session's raw medium and source."""
-    media = iter(CHANNEL_MEDIA.items())
-    channel, names = next(media)
-    chain = F.when(medium.isin(names), channel)
-    for channel, names in media:
-        chain = chain.when(medium.isin(names), channel)
-    return chain.when(source == DIRECT_SOURCE, "Direct").otherwise("Other")
+    pairs = [(name, channel) for channel, names in CHANNEL_MEDIA.items() for name in names]
+    by_medium = F.create_map(*[F.lit(text) for pair in pairs for text in pair])
+    by_source = F.when(source == DIRECT_SOURCE, "Direct").otherwise("Other")
+    return F.coalesce(F.try_element_at(by_medium, medium), by_source)
 
 
 def _with_flags(events: DataFrame) -> DataFrame:
@@ -119,7 +117,7 @@ def _with_flags(events: DataFrame) -> DataFrame:
         *[(name == e).alias(f"is_{e}") for e in FLAGGED_EVENTS],
         (F.col("session_engaged_raw") == "1").alias("is_session_engaged"),
         _unless(raw_source, OBFUSCATED).alias("session_source"),
-        _unless(_unless(raw_medium, OBFUSCATED), NO_MEDIUM).alias("session_medium"),
+        F.when(~raw_medium.isin(OBFUSCATED, NO_MEDIUM), raw_medium).alias("session_medium"),
         channel_group(raw_medium, raw_source).alias("channel_group"),
         ((source == OWN_SHOP) & (medium == "referral")).alias("is_internal_referral"),
         (source == GDPR_DELETED).alias("is_gdpr_deleted"),

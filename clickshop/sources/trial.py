@@ -7,11 +7,11 @@ lines from ``lineitem`` and ``part``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickshop.functions import exact_sum
 
-# Fixed values of the mapping.
+# The columns used of each table.
 TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string",
@@ -22,40 +22,134 @@ TABLES = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
     "p_retailprice double",
 }
-FIRST_DAY = "2024-01-01"
+# Microseconds of 2024-01-01 and of a day; item slots of an order.
 FIRST_DAY_MICROS = 1_704_067_200_000_000
 DAY_MICROS = 86_400_000_000
-HOT_USERS = 4
 LINE_SLOTS = 8
-# Values by remainder of ``k``, the number in ``events.props``.
-MEDIA = [
-    "organic",
-    "cpc",
-    "email",
-    "social",
-    "referral",
-    "affiliate",
-    "(none)",
-    "<Other>",
-    None,
-]
-CLICKS = ["add_to_cart", "begin_checkout", "add_shipping_info", "add_payment_info"]
+
+# The number in props, which is always of the form {"k": 12}.  Filters
+# on derived columns repeat this expression, so it is cut out rather than parsed.
+K_TEXT = "substring_index(substring_index(props, ':', -1), '}', 1)"
+
+# Event time after the first day, from user u, day d and time of day.
+MOVED = f"""
+    case when u < 4 then offset div 60
+         when u % 10 = 0 then 3 * {DAY_MICROS} * d + 3 * tod
+         else 3 * {DAY_MICROS} * d + tod div 48 end
+    + if(u >= 4 and u % 5 = 0, 31 * {DAY_MICROS}, 0)
+"""
+EVENT_NAME = """
+    case event_type
+        when 'purchase' then 'purchase'
+        when 'view' then if(k % 2 = 0, 'view_item', 'page_view')
+        when 'click' then elt(k % 4 + 1, 'add_to_cart', 'begin_checkout',
+                              'add_shipping_info', 'add_payment_info')
+        when 'signup' then if(k % 2 = 0, 'first_visit', 'session_start')
+        when 'error' then 'user_engagement' end
+"""
+
+# Parameters with the condition under which an event has them.
+INT_PARAMS = {
+    "ga_session_id": ("bought or event_id % 97 != 0", "if(u < 4, 999, d + 1)"),
+    "ga_session_number": ("true", "if(u < 4, 1, d + 1)"),
+    "engagement_time_msec": ("k % 4 != 0", "k * 1000"),
+}
+TEXT_PARAMS = {
+    "session_engaged": ("k % 3 != 0", "if(k % 3 = 1, '1', '0')"),
+    "medium": (
+        "k % 9 != 8",
+        "elt(k % 9 + 1, 'organic', 'cpc', 'email', 'social', 'referral', 'affiliate', "
+        "'(none)', '<Other>')",
+    ),
+    "source": (
+        "k % 9 != 8",
+        "case k % 9 when 6 then '(direct)' when 7 then '<Other>' else 'src' || (k % 5) end",
+    ),
+    "campaign": ("true", "if(k % 6 = 0, '<Other>', 'c' || (k % 6))"),
+    "page_location": ("event_name != 'user_engagement'", "'/p/' || (k % 20)"),
+    "page_title": ("event_name != 'user_engagement'", "'Page ' || (k % 20)"),
+    "page_referrer": ("k % 2 != 0", "'/p/' || (k % 7)"),
+}
+
+# The other raw fields.
+RAW_FIELDS = {
+    "event_date": "date_format(date_add(date'2024-01-01', "
+    f"cast(moved div {DAY_MICROS} as int)), 'yyyyMMdd')",
+    "event_timestamp": f"moved + {FIRST_DAY_MICROS}",
+    "event_name": "event_name",
+    "user_pseudo_id": "if(u < 4, 'u_whale', 'u' || u)",
+    "user_id": "cast(null as string)",
+    "platform": "'WEB'",
+    "event_params": "event_params",
+    "traffic_source": """named_struct(
+        'source', case u % 11 when 0 then '(data deleted)'
+                              when 1 then 'shop.googlemerchandisestore.com'
+                              when 2 then '<Other>' else 'google' end,
+        'medium', case u % 11 when 1 then 'referral' when 2 then '<Other>' else 'organic' end,
+        'name', 'n' || (u % 3))""",
+    "device": """named_struct(
+        'category', elt(cast(u % 3 as int) + 1, 'desktop', 'mobile', 'tablet'),
+        'operating_system', elt(cast(u % 4 as int) + 1, 'Windows', 'iOS', 'Android', 'Web'),
+        'language', if(u % 2 = 0, 'en', 'fr'),
+        'web_info', named_struct('browser', elt(k % 3 + 1, 'Chrome', 'Safari', '<Other>')))""",
+    "geo": """named_struct(
+        'continent', r_name, 'country', n_name, 'region', r_name,
+        'city', if(k % 5 = 0, '(not set)', 'city' || (u % 40)))""",
+    "ecommerce": """named_struct(
+        'transaction_id', case when not bought or k = 7 then null when k = 8 then '(not set)'
+                               else 'T' || (event_id div 20) end,
+        'purchase_revenue', case when not bought or k = 9 then null
+                                 when k = 11 then -value else value end,
+        'tax_value', if(bought, k / 10, null),
+        'shipping_value', if(bought, cast(k % 10 as double), null),
+        'unique_items', if(bought, cast(k % 5 as bigint), null))""",
+    "items": "if(bought and items is not null, items, array())",
+    "event_id": "event_id",
+}
+
+# An item from a line slot and its part.
+ITEM = """named_struct(
+    'item_id', 'P' || l_partkey,
+    'item_name', p_name,
+    'item_brand', if(slot = 7, '(not set)', p_brand),
+    'item_variant', if(l_returnflag = 'N', '(not set)', l_returnflag),
+    'item_category', if(l_linestatus = 'O', 'Home/' || p_type || '/' || p_brand || '/', p_type),
+    'price', case slot when 6 then 0D when 5 then null else p_retailprice end,
+    'quantity', if(slot = 4, null, quantity),
+    'item_revenue', if(slot = 3, null, revenue),
+    'promotion_id', if(l_tax = 0, '(not set)', 'promo' || slot),
+    'promotion_name', if(l_tax = 0, '(not set)', 'promo' || slot),
+    'item_list_index', if(slot = 1, null, cast(slot as string)))"""
 
 
 def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested raw event per row of ``events``."""
-    events = _numbered(_table(spark, sf_dir, "events"))
-    nation = _table(spark, sf_dir, "nation")
-    region = _table(spark, sf_dir, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("bigint").alias("place"), "n_name", "r_name"
+    places = (
+        _table(spark, sf_dir, "nation")
+        .join(_table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("cast(n_nationkey as bigint) as place", "n_name", "r_name")
     )
-    joined = (
-        events.withColumn("place", F.col("u") % 25)
+    params = [_param(k, when, number=x) for k, (when, x) in INT_PARAMS.items()]
+    params += [_param(k, when, text=x) for k, (when, x) in TEXT_PARAMS.items()]
+    return (
+        _spread(_table(spark, sf_dir, "events"))
+        .selectExpr(
+            "event_id",
+            "event_type",
+            "event_type = 'purchase' as bought",
+            "value",
+            "user_id as u",
+            "user_id % 25 as place",
+            f"int({K_TEXT}) as k",
+            f"unix_micros(timestamp(ts)) - {FIRST_DAY_MICROS} as offset",
+        )
+        .selectExpr("*", f"offset div {DAY_MICROS} as d", f"offset % {DAY_MICROS} as tod")
+        .selectExpr("*", f"{MOVED} as moved", f"{EVENT_NAME} as event_name")
         .join(places, "place", "left")
         .join(order_lines(spark, sf_dir), "event_id", "left")
+        .selectExpr("*", f"array({', '.join(params)}) as event_params")
+        .selectExpr(*[f"{rule} as {name}" for name, rule in RAW_FIELDS.items()])
     )
-    return joined.select(*_raw_columns())
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,21 +158,19 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines of an order that share a slot are added up first, so neither a group nor
     an array can outgrow its bound, however many lines one order has.
     """
-    lineitem = _table(spark, sf_dir, "lineitem")
-    part = _table(spark, sf_dir, "part")
-    slots = lineitem.groupBy(
-        "l_orderkey", F.pmod("l_linenumber", F.lit(LINE_SLOTS)).alias("slot")
-    ).agg(
-        F.min("l_partkey").alias("l_partkey"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-        exact_sum(F.col("l_extendedprice")).alias("revenue"),
-        F.min("l_returnflag").alias("returnflag"),
-        F.min("l_linestatus").alias("linestatus"),
-        F.min("l_tax").alias("tax"),
+    slots = (
+        _table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", F.expr(f"pmod(l_linenumber, {LINE_SLOTS})").alias("slot"))
+        .agg(
+            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+            exact_sum(F.col("l_extendedprice")).alias("revenue"),
+            *[F.min(c).alias(c) for c in ("l_partkey", "l_returnflag", "l_linestatus", "l_tax")],
+        )
     )
-    described = slots.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return described.groupBy(F.col("l_orderkey").alias("event_id")).agg(
-        F.collect_list(_item()).alias("items")
+    return (
+        slots.join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left")
+        .groupBy(F.col("l_orderkey").alias("event_id"))
+        .agg(F.collect_list(F.expr(ITEM)).alias("items"))
     )
 
 
@@ -87,187 +179,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _numbered(events: DataFrame) -> DataFrame:
-    """Events with the integers that the mapping is made of."""
-    u, k = F.col("u"), F.col("k")
-    offset = F.col("offset")
-    day, tod = F.col("day"), F.col("tod")
-    spread = F.lit(3 * DAY_MICROS) * day
-    moved = (
-        F.when(u < HOT_USERS, _div(offset, 60))
-        .when(u % 10 == 0, spread + 3 * tod)
-        .otherwise(spread + _div(tod, 48))
-    )
-    late = F.when((u >= HOT_USERS) & (u % 5 == 0), 31 * DAY_MICROS).otherwise(0)
-    clicks = F.array(*[F.lit(c) for c in CLICKS])
-    name = (
-        F.when(F.col("event_type") == "purchase", "purchase")
-        .when(F.col("event_type") == "view", F.when(k % 2 == 0, "view_item").otherwise("page_view"))
-        .when(F.col("event_type") == "click", F.get(clicks, k % 4))
-        .when(
-            F.col("event_type") == "signup",
-            F.when(k % 2 == 0, "first_visit").otherwise("session_start"),
-        )
-        .when(F.col("event_type") == "error", "user_engagement")
-    )
-    return (
-        events.select(
-            "event_id",
-            "event_type",
-            F.col("user_id").alias("u"),
-            F.col("value"),
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
-            (F.unix_micros(F.col("ts").cast("timestamp")) - FIRST_DAY_MICROS).alias("offset"),
-        )
-        .withColumns({"day": _div(offset, DAY_MICROS), "tod": offset % DAY_MICROS})
-        .withColumn("moved", moved + late)
-        .withColumns(
-            {
-                "event_timestamp": F.col("moved") + FIRST_DAY_MICROS,
-                "event_name": name,
-                "is_purchase": F.col("event_type") == "purchase",
-                "session": F.when(u < HOT_USERS, 999).otherwise(day + 1),
-                "session_number": F.when(u < HOT_USERS, 1).otherwise(day + 1),
-            }
-        )
-    )
-
-
-def _raw_columns() -> list[Column]:
-    u, k, name = F.col("u"), F.col("k"), F.col("event_name")
-    purchase = F.col("is_purchase")
-    page = name != "user_engagement"
-    date = F.date_add(F.lit(FIRST_DAY).cast("date"), _div(F.col("moved"), DAY_MICROS).cast("int"))
-    params = {
-        "ga_session_id": (
-            "int",
-            purchase | (F.col("event_id") % 97 != 0),
-            F.col("session"),
-        ),
-        "ga_session_number": ("int", F.lit(True), F.col("session_number")),
-        "engagement_time_msec": ("int", k % 4 != 0, k * 1000),
-        "session_engaged": ("text", k % 3 != 0, (k % 3 == 1).cast("int")),
-        "medium": ("text", k % 9 != 8, F.get(_texts(MEDIA), k % 9)),
-        "source": (
-            "text",
-            k % 9 != 8,
-            F.when(k % 9 == 6, "(direct)")
-            .when(k % 9 == 7, "<Other>")
-            .otherwise(F.concat(F.lit("src"), (k % 5).cast("string"))),
-        ),
-        "campaign": (
-            "text",
-            F.lit(True),
-            F.when(k % 6 == 0, "<Other>").otherwise(
-                F.concat(F.lit("c"), (k % 6).cast("string"))
-            ),
-        ),
-        "page_location": ("text", page, F.concat(F.lit("/p/"), (k % 20).cast("string"))),
-        "page_title": ("text", page, F.concat(F.lit("Page "), (k % 20).cast("string"))),
-        "page_referrer": ("text", k % 2 != 0, F.concat(F.lit("/p/"), (k % 7).cast("string"))),
-    }
-    return [
-        F.date_format(date, "yyyyMMdd").alias("event_date"),
-        F.col("event_timestamp"),
-        name.alias("event_name"),
-        F.when(u < HOT_USERS, "u_whale")
-        .otherwise(F.concat(F.lit("u"), u.cast("string")))
-        .alias("user_pseudo_id"),
-        F.lit(None).cast("string").alias("user_id"),
-        F.lit("WEB").alias("platform"),
-        F.array_compact(F.array(*[_param(key, *p) for key, p in params.items()])).alias(
-            "event_params"
-        ),
-        F.struct(
-            F.when(u % 11 == 0, "(data deleted)")
-            .when(u % 11 == 1, "shop.googlemerchandisestore.com")
-            .when(u % 11 == 2, "<Other>")
-            .otherwise("google")
-            .alias("source"),
-            F.when(u % 11 == 1, "referral")
-            .when(u % 11 == 2, "<Other>")
-            .otherwise("organic")
-            .alias("medium"),
-            F.concat(F.lit("n"), (u % 3).cast("string")).alias("name"),
-        ).alias("traffic_source"),
-        F.struct(
-            F.get(_texts(["desktop", "mobile", "tablet"]), (u % 3).cast("int")).alias("category"),
-            F.get(_texts(["Windows", "iOS", "Android", "Web"]), (u % 4).cast("int")).alias(
-                "operating_system"
-            ),
-            F.when(u % 2 == 0, "en").otherwise("fr").alias("language"),
-            F.struct(
-                F.get(_texts(["Chrome", "Safari", "<Other>"]), k % 3).alias("browser")
-            ).alias("web_info"),
-        ).alias("device"),
-        F.struct(
-            F.col("r_name").alias("continent"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            F.when(k % 5 == 0, "(not set)")
-            .otherwise(F.concat(F.lit("city"), (u % 40).cast("string")))
-            .alias("city"),
-        ).alias("geo"),
-        F.struct(
-            F.when(~purchase | (k == 7), None)
-            .when(k == 8, "(not set)")
-            .otherwise(F.concat(F.lit("T"), _div(F.col("event_id"), 20).cast("string")))
-            .alias("transaction_id"),
-            F.when(~purchase | (k == 9), None)
-            .when(k == 11, -F.col("value"))
-            .otherwise(F.col("value"))
-            .alias("purchase_revenue"),
-            F.when(purchase, k / F.lit(10)).alias("tax_value"),
-            F.when(purchase, (k % 10).cast("double")).alias("shipping_value"),
-            F.when(purchase, (k % 5).cast("bigint")).alias("unique_items"),
-        ).alias("ecommerce"),
-        F.when(purchase, F.coalesce(F.col("items"), F.array()))
-        .otherwise(F.array())
-        .alias("items"),
-        F.col("event_id"),
-    ]
+def _spread(events: DataFrame) -> DataFrame:
+    """Share out an input that is read in fewer splits than there are cores.
 
-
-def _item() -> Column:
-    slot = F.col("slot")
-    kind, brand = F.col("p_type"), F.col("p_brand")
-    promoted = F.col("tax") != 0
-    promo = F.concat(F.lit("promo"), slot.cast("string"))
-    path = F.concat(F.lit("Home/"), kind, F.lit("/"), brand, F.lit("/"))
-    return F.struct(
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("item_id"),
-        F.col("p_name").alias("item_name"),
-        F.when(slot == 7, "(not set)").otherwise(brand).alias("item_brand"),
-        F.when(F.col("returnflag") == "N", "(not set)")
-        .otherwise(F.col("returnflag"))
-        .alias("item_variant"),
-        F.when(F.col("linestatus") == "O", path).otherwise(kind).alias("item_category"),
-        F.when(slot == 6, 0.0)
-        .when(slot == 5, None)
-        .otherwise(F.col("p_retailprice"))
-        .alias("price"),
-        F.when(slot == 4, None).otherwise(F.col("quantity")).alias("quantity"),
-        F.when(slot == 3, None).otherwise(F.col("revenue")).alias("item_revenue"),
-        F.when(promoted, promo).otherwise("(not set)").alias("promotion_id"),
-        F.when(promoted, promo).otherwise("(not set)").alias("promotion_name"),
-        F.when(slot != 1, slot.cast("string")).alias("item_list_index"),
-    )
+    Large inputs have more splits than that and are left alone.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() >= cores:
+        return events
+    return events.repartition(cores, "event_id")
 
 
-def _param(key: str, kind: str, present: Column, value: Column) -> Column:
-    """One event parameter, or NULL where the event does not carry it."""
-    text = value.cast("string") if kind == "text" else F.lit(None).cast("string")
-    number = value.cast("bigint") if kind == "int" else F.lit(None).cast("bigint")
-    record = F.struct(
-        F.lit(key).alias("key"),
-        F.struct(text.alias("string_value"), number.alias("int_value")).alias("value"),
+def _param(key: str, present: str, text: str = "null", number: str = "null") -> str:
+    """SQL of one event parameter; its key and value are NULL where it is absent."""
+    return (
+        f"named_struct('key', if({present}, '{key}', null), 'value', named_struct("
+        f"'string_value', if({present}, cast({text} as string), null), "
+        f"'int_value', if({present}, cast({number} as bigint), null)))"
     )
-    return F.when(present, record)
-
-
-def _texts(values: list[str | None]) -> Column:
-    return F.array(*[F.lit(v).cast("string") for v in values])
-
-
-def _div(x: Column, by: int) -> Column:
-    return F.call_function("div", x, F.lit(by))
