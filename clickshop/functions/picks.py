@@ -10,29 +10,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Total order of events; the source's event id settles equal timestamps.
-EVENT_ORDER = ("event_timestamp", "event_name", "event_id")
+# Total order of events; the event id settles equal timestamps.
+EVENT_ORDER = ("event_timestamp", "event_id")
 # Total order of one user's sessions.
 SESSION_ORDER = ("session_start_at", "session_id", "session_number")
 
 
-def earliest(value: Column | str) -> Column:
-    """``value`` of the group's earliest event.
+def earliest(value: str) -> Column:
+    """``value`` at the group's first instant.
 
-    Among events at that same instant a non-NULL value wins; a value that only
-    appears later never does.
+    Among events of that instant a known value wins over NULL; a value that only
+    appears later never does.  Each such pick keeps just its order and its value,
+    as the map side sends one per group through the shuffle.
     """
-    x = F.col(value) if isinstance(value, str) else value
-    time, *rest = EVENT_ORDER
-    ranked = F.struct(
-        F.col(time), x.isNull().alias("absent"), *[F.col(c) for c in rest], x.alias("value")
-    )
-    return F.min(ranked)["value"]
-
-
-def as_flag(condition: Column | str) -> Column:
-    """Whether any row met ``condition``; NULL conditions count as not met."""
-    return F.coalesce(F.bool_or(condition), F.lit(False))
+    x, time = F.col(value), EVENT_ORDER[0]
+    known = F.when(x.isNotNull(), F.struct(*EVENT_ORDER, x.alias("value")))
+    first_known = F.min(known)
+    return F.when(first_known[time] == F.min(time), first_known["value"])
 
 
 def one_row(*parts: DataFrame) -> DataFrame:

@@ -26,7 +26,6 @@ _HOUR_MICROS = HOUR * MICROS_PER_SECOND
 # Staged columns that fct_orders reads, for callers that want orders only.
 ORDER_INPUT = [
     "event_timestamp",
-    "event_name",
     "event_id",
     "is_purchase",
     "flag_missing_txn_id",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickshop.functions import (
-    as_flag,
     earliest,
     exact_sum,
     round_half_away,
@@ -90,20 +89,20 @@ def session_core(events: DataFrame) -> DataFrame:
         .groupBy("user_pseudo_id", "ga_session_id", "session_number")
         .agg(
             session_key().alias("session_id"),
-            F.min("event_at").alias("session_start_at"),
-            F.max("event_at").alias("session_end_at"),
+            F.timestamp_micros(start).alias("session_start_at"),
+            F.timestamp_micros(end).alias("session_end_at"),
             F.min("event_date_dt").alias("session_date"),
             minutes.alias("session_duration_min"),
             *[earliest(staged).alias(c) for c, staged in FIRST_TOUCH.items()],
             total.alias("total_events"),
             *[F.count_if(flag).alias(c) for c, flag in COUNTED.items()],
             F.sum("engagement_time_msec").alias("total_engagement_msec"),
-            *[as_flag(flag).cast("int").alias(c) for c, flag in REACHED.items()],
+            *[(F.count_if(flag) > 0).cast("int").alias(c) for c, flag in REACHED.items()],
             (total > MAX_EVENTS).alias("is_high_event_session"),
             (minutes > MAX_MINUTES).alias("is_impossible_duration"),
-            as_flag("is_first_visit").alias("is_new_user"),
-            as_flag("is_gdpr_deleted").alias("has_gdpr_deleted"),
-            as_flag("is_internal_referral").alias("is_internal"),
+            (F.count_if("is_first_visit") > 0).alias("is_new_user"),
+            (F.count_if("is_gdpr_deleted") > 0).alias("has_gdpr_deleted"),
+            (F.count_if("is_internal_referral") > 0).alias("is_internal"),
         )
     )
 

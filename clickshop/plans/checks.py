@@ -30,11 +30,7 @@ class RowCheck:
         return tables[self.relation].where(self.offends())
 
     def summary(self, tables: Tables) -> DataFrame:
-        return tables[self.relation].agg(
-            F.lit(self.name).alias("check_name"),
-            F.count(F.lit(1)).alias("examined"),
-            F.count_if(self.offends()).alias("violations"),
-        )
+        return _row_report(tables[self.relation], [self])
 
 
 @dataclass(frozen=True)
@@ -217,7 +213,33 @@ ALL_CHECKS = [*BUSINESS_CHECKS, *NOT_NULL_CHECKS, *UNIQUE_CHECKS]
 
 
 def check_report(tables: Tables, checks: list[Check] | None = None) -> DataFrame:
-    """One row per check: what it examined, its violations and its status."""
-    rows = [c.summary(tables) for c in (ALL_CHECKS if checks is None else checks)]
+    """One row per check: what it examined, its violations and its status.
+
+    Row checks on the same relation share one pass over it.
+    """
+    by_relation: dict[str, list[RowCheck]] = {}
+    reports = []
+    for check in ALL_CHECKS if checks is None else checks:
+        if isinstance(check, RowCheck):
+            by_relation.setdefault(check.relation, []).append(check)
+        else:
+            reports.append(check.summary(tables))
+    reports += [_row_report(tables[name], group) for name, group in by_relation.items()]
     status = F.when(F.col("violations") > 0, "fail").otherwise("pass")
-    return reduce(DataFrame.unionByName, rows).withColumn("status", status)
+    return reduce(DataFrame.unionByName, reports).withColumn("status", status)
+
+
+def _row_report(relation: DataFrame, checks: list[RowCheck]) -> DataFrame:
+    counts = relation.agg(
+        F.count(F.lit(1)).alias("examined"),
+        *[F.count_if(check.offends()).alias(check.name) for check in checks],
+    )
+    rows = [
+        F.struct(
+            F.lit(check.name).alias("check_name"),
+            F.col("examined"),
+            F.col(check.name).alias("violations"),
+        )
+        for check in checks
+    ]
+    return counts.select(F.inline(F.array(*rows)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickshop.functions import as_flag, exact_sum, one_row, ratio, session_key
+from clickshop.functions import exact_sum, one_row, ratio, session_key
 from clickshop.functions.numbers import DAY, MICROS_PER_SECOND
 from clickshop.operators.sessions import MAX_EVENTS
 from clickshop.operators.staging import NOT_SET
@@ -86,7 +86,7 @@ def site_funnel(sessions: DataFrame) -> DataFrame:
 
 def device_conversion(sessions: DataFrame) -> DataFrame:
     """Users, buyers and conversion per device."""
-    per_user = _known_users(sessions, "device_category").agg(as_flag("converted").alias("bought"))
+    per_user = _known_users(sessions, "device_category").agg((F.count_if("converted") > 0).alias("bought"))
     users, buyers = F.count(F.lit(1)), F.count_if("bought")
     return per_user.groupBy("device_category").agg(
         users.alias("users"),

@@ -132,7 +132,7 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = [_param(k, when, number=x) for k, (when, x) in INT_PARAMS.items()]
     params += [_param(k, when, text=x) for k, (when, x) in TEXT_PARAMS.items()]
     return (
-        _spread(_table(spark, sf_dir, "events"))
+        _spread(_table(spark, sf_dir, "events"), "event_id")
         .selectExpr(
             "event_id",
             "event_type",
@@ -159,7 +159,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     an array can outgrow its bound, however many lines one order has.
     """
     slots = (
-        _table(spark, sf_dir, "lineitem")
+        _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey")
         .groupBy("l_orderkey", F.expr(f"pmod(l_linenumber, {LINE_SLOTS})").alias("slot"))
         .agg(
             F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
@@ -179,15 +179,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(events: DataFrame) -> DataFrame:
-    """Share out an input that is read in fewer splits than there are cores.
+def _spread(table: DataFrame, key: str) -> DataFrame:
+    """Share out a table that is read in fewer splits than there are cores.
 
-    Large inputs have more splits than that and are left alone.
+    Large tables have more splits than that and are left alone.
     """
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() >= cores:
-        return events
-    return events.repartition(cores, "event_id")
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, key)
 
 
 def _param(key: str, present: str, text: str = "null", number: str = "null") -> str:

@@ -82,12 +82,12 @@ def test_item_ranking_needs_no_shuffle(events):
     assert shuffles(fct_order_items(deduped)) == shuffles(deduped)
 
 
-def test_landing_pages_use_the_pages_partitioning(spark, events):
+def test_landing_pages_shuffle_pages_sessions_and_result_once(spark, events, tmp_path):
+    contract.Warehouse(spark, SF_DIR).int_sessions.write.parquet(str(tmp_path / "sessions"))
+    visits = spark.read.parquet(str(tmp_path / "sessions"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        pages = marts.first_pages(events)
-        joined = pages.join(pages.distinct(), ["user_pseudo_id", "ga_session_id"], "left")
-        assert shuffles(joined) <= 3
+        assert shuffles(marts.mart_landing_pages(events, visits)) == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
