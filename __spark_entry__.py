@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator, Mapping
-from functools import cached_property
+from functools import cached_property, lru_cache
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -35,7 +35,7 @@ class Warehouse(Mapping[str, DataFrame]):
     """All relations over the given tables, unwritten, each built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.raw = events_from_tables(configure(spark), sf_dir)
+        self.raw = events_from_tables(spark, sf_dir)
 
     def __getitem__(self, relation: str) -> DataFrame:
         return getattr(self, relation)
@@ -196,7 +196,14 @@ def _reports() -> dict[str, Callable[[Warehouse], DataFrame]]:
 
 
 def _on_tables(report: Callable[[Warehouse], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _comparable(report(Warehouse(spark, sf_dir)))
+    return lambda spark, sf_dir: _comparable(report(_warehouse(configure(spark), sf_dir)))
+
+
+@lru_cache(maxsize=8)
+def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    # Queries of one session share the unevaluated relations, not their rows:
+    # each query still reads and computes everything it needs.
+    return Warehouse(spark, sf_dir)
 
 
 def _checked(check: checks.Check) -> Callable[[Warehouse], DataFrame]:
