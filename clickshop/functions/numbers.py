@@ -28,7 +28,8 @@ def exact_sum(x: Column) -> Column:
 
     Money arrives as doubles.  Adding those in shuffle order gives totals whose
     last bits change from run to run, and differ again after a lost executor is
-    replaced; decimal addition does not.
+    replaced; decimal addition does not.  Ten decimals are kept, NaN is skipped,
+    and an amount of more than 28 integer digits is an error.
     """
     return F.sum(x.cast("decimal(38,10)")).cast("double")
 

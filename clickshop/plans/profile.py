@@ -195,7 +195,8 @@ def suspicious_event_mix(events: DataFrame) -> DataFrame:
     mix = _in_sessions(events).groupBy(*SESSION_GRAIN, "event_name").agg(
         F.count(F.lit(1)).alias("events")
     )
-    # At most one row per event name is left of each session.
+    # At most one row per event name is left of each session, and a shop has only
+    # so many names.
     in_session = F.sum("events").over(Window.partitionBy(*SESSION_GRAIN))
     return (
         mix.withColumn("in_session", in_session)
