@@ -28,6 +28,13 @@ from clickshop.sources import events_from_tables  # noqa: E402
 from clickshop.sources.events import in_date_range  # noqa: E402
 from parity import oracle  # noqa: E402
 
+try:
+    import clickshop.llm.queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("clickshop.llm", "clickshop.llm.queries"):
+        raise
+    llm = None  # the library works without this subpackage
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -109,11 +116,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _on_tables(report) for name, report in _reports().items()}
+    found = {name: _on_tables(report) for name, report in _reports().items()}
+    if llm is not None:
+        found |= llm.queries()
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if llm is not None:
+        found |= llm.oracle_sql()
+    return found
 
 
 def _reports() -> dict[str, Callable[[Warehouse], DataFrame]]:
