@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickshop.llm import html_text, quality, urls
+from clickshop.llm import html_text, quality, simhash, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in [*names, "base_failed", "kept"]])
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
@@ -43,6 +49,7 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": quality_rules,
+        "op7_simhash_groups": simhash_groups,
         "op9_html_text": extract_html,
         "op10_url_filter": url_filter,
     }
