@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickshop.llm import html_text, quality, simhash, urls
+from clickshop.llm import bpe, html_text, quality, simhash, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,19 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in [*names, "base_failed", "kept"]])
 
 
+def bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN)
+    both = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -49,6 +63,7 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": quality_rules,
+        "op6_bpe": bpe_ids,
         "op7_simhash_groups": simhash_groups,
         "op9_html_text": extract_html,
         "op10_url_filter": url_filter,
