@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickshop.llm import bpe, html_text, quality, simhash, urls
+from clickshop.llm import bpe, html_text, quality, simhash, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in [*names, "base_failed", "kept"]])
 
 
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    path = token_files.token_files(read(spark, sf_dir, "documents"), tokenizer)
+    found = token_files.read_ids(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,6 +69,7 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_files": token_output,
         "op3_quality_rules": quality_rules,
         "op6_bpe": bpe_ids,
         "op7_simhash_groups": simhash_groups,
