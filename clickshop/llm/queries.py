@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickshop.llm import bpe, html_text, quality, simhash, token_files, urls
+from clickshop.llm import bpe, html_text, quality, secrets, simhash, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,21 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        matches = F.filter("base_spans", lambda s: s["kind"] == kind)
+        return F.size(matches).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.KINDS],
+        F.sha2(secrets.digest(F.col("base_spans")), 256).alias("base_sha256"),
+        secrets.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
@@ -73,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": quality_rules,
         "op6_bpe": bpe_ids,
         "op7_simhash_groups": simhash_groups,
+        "op8_secret_scan": secret_scan,
         "op9_html_text": extract_html,
         "op10_url_filter": url_filter,
     }
