@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickshop.llm import bpe, html_text, quality, secrets, simhash, token_files, urls
+from clickshop.llm import bpe, decontaminate, html_text, quality, secrets, simhash, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,19 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(documents, read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"),
+    )
+
+
 def bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -85,6 +98,7 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": token_output,
+        "op2_decontamination": benchmark_hits,
         "op3_quality_rules": quality_rules,
         "op6_bpe": bpe_ids,
         "op7_simhash_groups": simhash_groups,
