@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickshop.llm import bpe, decontaminate, html_text, quality, secrets, simhash, token_files, urls
+from clickshop.llm import bpe, decontaminate, html_text, quality, secrets, simhash, substrings, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,17 @@ def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -100,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op1_token_files": token_output,
         "op2_decontamination": benchmark_hits,
         "op3_quality_rules": quality_rules,
+        "op4_suffix_dedup": suffix_dedup,
         "op6_bpe": bpe_ids,
         "op7_simhash_groups": simhash_groups,
         "op8_secret_scan": secret_scan,
