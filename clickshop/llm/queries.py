@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickshop.llm import bpe, decontaminate, html_text, quality, secrets, simhash, substrings, token_files, urls
+from clickshop.llm import bpe, decontaminate, html_text, quality, reply_trees, secrets, simhash, substrings, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,44 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    order = Window.partitionBy("conv_id").orderBy("turn", role, text)
+    messages = given.union(added).select(
+        F.col("conv_id").alias("tree"),
+        F.row_number().over(order).alias("node"),
+        (F.row_number().over(order) - 1).alias("parent"),
+        "role",
+        "text",
+        F.length(text).alias("score"),
+    )
+    found = reply_trees.format_trees(messages)
+    parts = reply_trees.turns_of(F.col("formatted"))
+    lines = F.transform(
+        F.transform(parts, reply_trees.read_turn),
+        lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")),
+    )
+    loss = F.array_join(reply_trees.loss_texts(F.col("formatted"), F.col("loss_mask")), "")
+    return found.select(
+        F.col("tree").cast("bigint").alias("conv_id"),
+        F.size(parts).cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,17 +144,25 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, listed, URL_RULES).drop("url")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": token_output,
         "op2_decontamination": benchmark_hits,
         "op3_quality_rules": quality_rules,
         "op4_suffix_dedup": suffix_dedup,
+        "op5_chat_format": chat_format,
         "op6_bpe": bpe_ids,
         "op7_simhash_groups": simhash_groups,
         "op8_secret_scan": secret_scan,
         "op9_html_text": extract_html,
         "op10_url_filter": url_filter,
+        "pipeline": pipeline,
     }
 
 
