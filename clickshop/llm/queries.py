@@ -167,4 +167,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from clickshop.llm import oracle
+
+    return oracle.statements()
