@@ -23,14 +23,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from clickshop.llm.common import in_batches, prepare, text_bytes
+from clickshop.llm.common import field, mapped, others, prepare, text_bytes
 from clickshop.llm.pieces import Memo, distinct_pieces, expand
 
 _BITS = 9
 _LOW = (1 << _BITS) - 1
 _NONE = -1
 #: Pieces and pre-tokens that a worker remembers, in two generations.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: Bytes up to which pre-tokens share a queue.
 SHORT = 64
 
@@ -254,8 +254,9 @@ def encode(
     spark = documents.sparkSession
     prepare(spark)
     ranks = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
-    kept = [c for c in documents.columns if c not in (text, ids)]
-    schema = documents.select(*kept, F.array(F.lit(0)).alias(ids)).schema
+    kept = others(documents, text, ids)
+    own = [field(c) for c in kept]
+    schema = documents.select(*own, F.array(F.lit(0)).alias(ids)).schema
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, bounds = codec(ranks.value, pattern).encode(*text_bytes(batch.column(len(kept))))
@@ -266,8 +267,8 @@ def encode(
             [*batch.columns[: len(kept)], lists], names=[*kept, ids]
         )
 
-    source = documents.select(*[F.col(c) for c in kept], F.col(text).alias("_text"))
-    return source.mapInArrow(in_batches(rows), schema)
+    source = documents.select(*own, F.col(text).alias("_text"))
+    return mapped(source, rows, schema)
 
 
 def decode(
@@ -277,20 +278,21 @@ def decode(
     spark = encoded.sparkSession
     prepare(spark)
     ranks = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
-    kept = [c for c in encoded.columns if c != out]
-    schema = encoded.select(*kept, F.lit(b"").alias(out)).schema
+    kept = others(encoded, out)
+    source = encoded.select(*[field(c) for c in kept])
+    schema = source.withColumn(out, F.lit(b"")).schema
     place = kept.index(ids)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = codec(ranks.value, pattern)
+        of = codec(ranks.value, pattern)
         column = batch.column(place)
         bounds = column.offsets.to_numpy()
         values = column.values.to_numpy(zero_copy_only=False)
         out_bytes = [
-            own.decode(values[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])
+            of.decode(values[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])
         ]
         return pa.RecordBatch.from_arrays(
             [*batch.columns[: len(kept)], pa.array(out_bytes, pa.binary())], names=[*kept, out]
         )
 
-    return encoded.select(*kept).mapInArrow(in_batches(rows), schema)
+    return mapped(source, rows, schema)

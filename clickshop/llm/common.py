@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Rows and bytes that Spark puts into one Arrow batch for Python.
 BATCH = {
@@ -58,6 +58,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def field(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def others(df: DataFrame, *made: str) -> list[str]:
+    """The columns of ``df`` but for those named like ``made``, in any case."""
+    return [c for c in df.columns if c.lower() not in made]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once per row, also when lambdas use it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -76,6 +94,20 @@ def in_batches(
     return run
 
 
+def mapped(
+    df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType
+) -> DataFrame:
+    """``mapInArrow`` by position, for column names of any form, such as ones with dots."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    names = [f"c{i}" for i in range(len(schema))]
+    safe = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])
+
+    def renamed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(rows(batch).columns, names=names)
+
+    return plain.mapInArrow(in_batches(renamed), safe).toDF(*schema.names)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column end to end, and its n + 1 offsets; null counts as empty."""
     if column.null_count:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from clickshop.llm.common import in_batches, prepare, text_bytes, written
+from clickshop.llm.common import field, free_name, in_batches, mapped, others, prepare, text_bytes, written
 from clickshop.llm.fm_index import FmIndex
 
 WINDOW = 13
@@ -213,8 +213,8 @@ def find_hits(phrases: Phrases, column: pa.Array) -> tuple[np.ndarray, list, lis
 
 def _pass(documents: DataFrame, items: list[tuple[str, str]], text: str) -> DataFrame:
     """``documents`` with what one block of the benchmark hits."""
-    kept = [c for c in documents.columns if c not in ADDED]
-    rows = documents.select(*kept)
+    kept = others(documents, *ADDED)
+    rows = documents.select(*[field(c) for c in kept])
     schema = T.StructType(list(rows.schema)).add("n_words", T.LongType())
     schema = schema.add("hits", T.ArrayType(HIT)).add("items", T.ArrayType(T.StringType()))
     phrases = documents.sparkSession.sparkContext.broadcast(items)
@@ -229,7 +229,7 @@ def _pass(documents: DataFrame, items: list[tuple[str, str]], text: str) -> Data
         ]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*kept, *ADDED])
 
-    return rows.mapInArrow(in_batches(hits), schema)
+    return mapped(rows, hits, schema)
 
 
 _LATEST: list = [None, None]
@@ -270,14 +270,16 @@ def contamination(
     if blocks == 1:
         return _pass(documents, [tuple(r) for r in source.collect()], text)
     # A block is at most block_bytes unless single items are larger.
-    numbered = written(documents.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    row = free_name(documents, "row")
+    numbered = written(documents.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = None
     for k in range(blocks):
         own = source.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
-        part = _pass(numbered.select("_row", F.col(text).alias("_text")), [tuple(r) for r in own], "_text")
-        part = written(part.drop("_text"), "hits")
+        narrow = numbered.select(F.col(row).alias("row"), F.col(text).alias("text"))
+        part = _pass(narrow, [tuple(r) for r in own], "text")
+        part = written(part.drop("text"), "hits")
         found = part if found is None else found.union(part)
-    by_row = found.groupBy("_row").agg(
+    by_row = found.groupBy("row").agg(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -292,8 +294,8 @@ def contamination(
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     by_row = by_row.mapInArrow(in_batches(merge), by_row.schema)
-    kept = [c for c in numbered.columns if c not in ADDED]
-    return numbered.select(*kept).join(by_row, "_row").drop("_row")
+    kept = [field(c) for c in others(numbered, *ADDED)]
+    return numbered.select(*kept).join(by_row.withColumnRenamed("row", row), row).drop(row)
 
 
 def n_hit() -> F.Column:
@@ -310,6 +312,6 @@ def is_contaminated() -> F.Column:
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that are not contaminated, in their own columns."""
-    own = [f"_{c}" if c in ADDED else c for c in documents.columns]
-    judged = contamination(documents.toDF(*own), benchmark)
-    return judged.filter(~is_contaminated()).select(*own).toDF(*documents.columns)
+    own = [free_name(documents, f"{c}_") if c.lower() in ADDED else c for c in documents.columns]
+    judged = contamination(documents.toDF(*own), benchmark).filter(~is_contaminated())
+    return judged.select(*[field(c) for c in own]).toDF(*documents.columns)

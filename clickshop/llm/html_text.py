@@ -20,7 +20,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clickshop.llm.common import in_batches, prepare
+from clickshop.llm.common import field, mapped, others, prepare
 
 # Elements by what the HTML standard says of them.
 BLOCKS = frozenset(
@@ -243,13 +243,14 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with a column ``text``, which replaces one of that name."""
     prepare(pages.sparkSession)
-    kept = [c for c in pages.columns if c not in (html, "text")]
-    rows = pages.select(*[F.col(c) for c in kept], F.col(html).alias("_html"))
-    schema = pages.select(*kept, F.lit("").alias("text")).schema
+    kept = others(pages, html, "text")
+    own = [field(c) for c in kept]
+    rows = pages.select(*own, F.col(html).alias("_html"))
+    schema = pages.select(*own, F.lit("").alias("text")).schema
 
     def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [main_text(x) for x in batch.column(len(kept)).to_pylist()]
         columns = [*batch.columns[: len(kept)], pa.array(found, pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=[*kept, "text"])
 
-    return rows.mapInArrow(in_batches(texts), schema)
+    return mapped(rows, texts, schema)

@@ -79,8 +79,8 @@ WITH rows AS (
   FROM rows
 ), whole AS (
   SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss
   FROM marked GROUP BY conv_id
 )
 SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars,

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from clickshop.llm.common import in_batches, prepare
+from clickshop.llm.common import field, mapped, others, prepare
 
 # The kinds in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -239,8 +239,8 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 def scan(documents: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with ``base_spans`` and ``spans``, arrays of kind, start and end."""
     prepare(documents.sparkSession)
-    kept = [c for c in documents.columns if c not in ("base_spans", "spans")]
-    rows = documents.select(*kept)
+    kept = others(documents, "base_spans", "spans")
+    rows = documents.select(*[field(c) for c in kept])
     schema = T.StructType(list(rows.schema))
     schema.add("base_spans", T.ArrayType(SPAN)).add("spans", T.ArrayType(SPAN))
     place = kept.index(text)
@@ -254,7 +254,7 @@ def scan(documents: DataFrame, text: str = "text") -> DataFrame:
             [*batch.columns, *columns], names=[*kept, "base_spans", "spans"]
         )
 
-    return rows.mapInArrow(in_batches(spans), schema)
+    return mapped(rows, spans, schema)
 
 
 def digest(spans: Column) -> Column:
@@ -296,4 +296,4 @@ def redact(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
             columns[counted] = pa.array(counts, columns[counted].type)
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return documents.mapInArrow(in_batches(rows), documents.schema)
+    return mapped(documents, rows, documents.schema)

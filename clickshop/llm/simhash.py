@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from clickshop.llm.common import in_batches, prepare, written
+from clickshop.llm.common import field, free_name, in_batches, mapped, others, prepare, written
 from clickshop.llm.components import stars
 
 SEED = 42
@@ -59,8 +59,9 @@ def fingerprint(text: bytes, width: int = 4) -> int:
 def fingerprints(documents: DataFrame, width: int = 4, text: str = "text") -> DataFrame:
     """``documents`` with ``fp``, the fingerprint's 64 bits as a long, in place of the text."""
     prepare(documents.sparkSession)
-    kept = [c for c in documents.columns if c not in (text, "fp")]
-    schema = documents.select(*kept, F.lit(0).cast("bigint").alias("fp")).schema
+    kept = others(documents, text, "fp")
+    own = [field(c) for c in kept]
+    schema = documents.select(*own, F.lit(0).cast("bigint").alias("fp")).schema
 
     def prints(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(len(kept)).cast(pa.binary()).to_pylist()
@@ -68,8 +69,8 @@ def fingerprints(documents: DataFrame, width: int = 4, text: str = "text") -> Da
         columns = [*batch.columns[: len(kept)], pa.array(found.view(np.int64))]
         return pa.RecordBatch.from_arrays(columns, names=[*kept, "fp"])
 
-    rows = documents.select(*[F.col(c) for c in kept], F.col(text).alias("_text"))
-    return rows.mapInArrow(in_batches(prints), schema)
+    rows = documents.select(*own, F.col(text).alias("_text"))
+    return mapped(rows, prints, schema)
 
 
 def segment_plan(bits: int, segments: int) -> list[tuple[int, int, int]]:
@@ -276,13 +277,10 @@ def near_duplicates(
     """``documents`` without the text, with ``fp``, ``root`` and ``component_id``.
 
     ``root`` names the component by its least fingerprint, ``component_id`` by its least
-    ``doc_id``.
+    ``doc_id``.  These replace columns of the same names.
     """
-    prints = written(fingerprints(documents, width), "fingerprints")
-    return _grouped(prints, bits, segments)
-
-
-def _grouped(prints: DataFrame, bits: int, segments: int | None) -> DataFrame:
+    own = [field(c) for c in others(documents, "fp", "root", "component_id")]
+    prints = written(fingerprints(documents.select(*own), width), "fingerprints")
     distinct = written(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints"
     )
@@ -291,9 +289,8 @@ def _grouped(prints: DataFrame, bits: int, segments: int | None) -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = named.select("fp", "root").join(least, "root").withColumnRenamed("fp", "_fp")
-    joined = prints.join(labels, prints["fp"] == labels["_fp"])
-    return joined.drop("_fp")
+    labels = named.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+    return prints.join(labels, "fp")
 
 
 def one_per_group(documents: DataFrame, bits: int = 4, width: int = 4) -> DataFrame:
@@ -301,10 +298,12 @@ def one_per_group(documents: DataFrame, bits: int = 4, width: int = 4) -> DataFr
 
     Of rows that repeat the least id one stays.
     """
-    numbered = documents.withColumn("_row", F.monotonically_increasing_id())
+    row = free_name(documents, "row")
+    numbered = documents.withColumn(row, F.monotonically_increasing_id())
     # The row numbers hold because both reads below are of this one written table.
     rows = written(numbered, "numbered")
-    grouped = near_duplicates(rows.select("doc_id", "text", "_row"), bits, width)
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    kept = grouped.groupBy("root").agg(F.min(rank).alias("r")).select(F.col("r._row"))
-    return rows.join(kept, "_row", "left_semi").select(*documents.columns)
+    narrow = rows.select("doc_id", "text", F.col(row).alias("row"))
+    grouped = near_duplicates(narrow, bits, width)
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    kept = grouped.groupBy("root").agg(F.min(rank).alias("r")).select(F.col("r.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*[field(c) for c in documents.columns])

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickshop.llm.common import in_batches, prepare, text_bytes, work_dir, written
+from clickshop.llm.common import field, mapped, others, prepare, text_bytes, work_dir, written
 from clickshop.llm.pieces import Memo, distinct_pieces, expand
 
 MAGIC = b"VB02"
@@ -94,8 +94,9 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int = 0, text: str = "t
     spark = documents.sparkSession
     prepare(spark)
     vocabulary = spark.sparkContext.broadcast(Path(tokenizer).read_bytes())
-    kept = [c for c in documents.columns if c not in (text, "ids")]
-    schema = documents.select(*kept, F.lit(b"").alias("ids")).schema
+    kept = others(documents, text, "ids")
+    own = [field(c) for c in kept]
+    schema = documents.select(*own, F.lit(b"").alias("ids")).schema
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(len(kept))
@@ -111,8 +112,8 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int = 0, text: str = "t
             [*batch.columns[: len(kept)], binary.cast(pa.binary())], names=[*kept, "ids"]
         )
 
-    source = documents.select(*[F.col(c) for c in kept], F.col(text).alias("_text"))
-    return source.mapInArrow(in_batches(rows), schema)
+    source = documents.select(*own, F.col(text).alias("_text"))
+    return mapped(source, rows, schema)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:

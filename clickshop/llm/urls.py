@@ -18,6 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickshop.llm.common import field, free_name, others
+
 #: Bits of a block, as four longs, and how many of them an entry sets.
 WORDS, PROBES = 4, 6
 #: Entries that share one block on average: about 16 bits an entry.
@@ -136,30 +138,30 @@ def filter_urls(
     blocks = max(1, -(-entries.count() // PER_BLOCK))
     bloom = bloom_blocks(entries, "_url", blocks)
     host, path = host_and_path(F.col(url))
-    made = ("host", "path", "rule", "verdict")
+    fit, page = free_name(pages, "fit"), free_name(pages, "page")
     judged = pages.select(
-        *[F.col(c) for c in pages.columns if c not in made],
+        *[field(c) for c in others(pages, "host", "path", "rule", "verdict")],
         host.alias("host"),
         path.alias("path"),
-        fitting_rule(host, path, rules).alias("_fit"),
-        canonical(F.col(url)).alias("_url"),
+        fitting_rule(host, path, rules).alias(fit),
+        canonical(F.col(url)).alias(page),
     )
-    open_urls = judged.filter(F.col("_fit").isNull() & F.col("_url").isNotNull())
+    open_urls = judged.filter(F.col(fit).isNull() & F.col(page).isNotNull())
     # Pages of one URL agree, so the candidates shrink to distinct URLs before the joins.
-    possible = may_contain(open_urls.select("_url").distinct(), "_url", bloom, blocks)
-    blocked = possible.join(entries, "_url", "left_semi").select(
-        F.col("_url").alias("_blocked")
-    )
+    distinct = open_urls.select(F.col(page).alias("_url")).distinct()
+    possible = may_contain(distinct, "_url", bloom, blocks)
+    blocked = possible.join(entries, "_url", "left_semi")
     return (
-        judged.join(blocked, judged["_url"] == blocked["_blocked"], "left")
-        .withColumn("rule", F.col("_fit.rule"))
+        judged.join(blocked, judged[page] == blocked["_url"], "left")
+        .withColumn("rule", F.col(fit)["rule"])
         .withColumn(
             "verdict",
             F.coalesce(
-                F.col("_fit.verdict"),
-                F.when(F.col("_blocked").isNotNull(), F.lit("block")),
+                F.col(fit)["verdict"],
+                F.when(blocked["_url"].isNotNull(), F.lit("block")),
                 F.lit("allow"),
             ),
         )
-        .drop("_fit", "_url", "_blocked")
+        .drop(fit, page)
+        .drop(blocked["_url"])
     )
