@@ -90,22 +90,37 @@ def _by_words(raw: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
 
 
 class Memo:
-    """A bounded map that forgets what was not asked for while ``limit`` entries came in."""
+    """A bounded map of what was put into it twice or more.
 
-    def __init__(self, limit: int) -> None:
+    Most pieces of a corpus occur once and would only push out the others, so a bitmap of
+    hashes first tells whether a key came before.  The map forgets what was not asked for
+    while ``limit`` entries came in.
+    """
+
+    def __init__(self, limit: int, seen_bits: int = 24) -> None:
         self.limit = limit
         self._new: dict = {}
         self._old: dict = {}
+        self._seen = bytearray(1 << (seen_bits - 3))
+        self._mask = (1 << seen_bits) - 1
 
     def get(self, key):
         found = self._new.get(key)
         if found is None:
             found = self._old.get(key)
             if found is not None:
-                self.put(key, found)
+                self._store(key, found)
         return found
 
     def put(self, key, value) -> None:
+        place = hash(key) & self._mask
+        bit = 1 << (place & 7)
+        if self._seen[place >> 3] & bit:
+            self._store(key, value)
+        else:
+            self._seen[place >> 3] |= bit
+
+    def _store(self, key, value) -> None:
         if len(self._new) >= self.limit:
             self._old, self._new = self._new, {}
         self._new[key] = value

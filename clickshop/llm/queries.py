@@ -31,7 +31,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    path = token_files.token_files(read(spark, sf_dir, "documents"), tokenizer)
+    documents = read(spark, sf_dir, "documents")
+    path = token_files.token_files(documents, tokenizer, public_tokenizers.PATTERN)
     found = token_files.read_ids(spark, path)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -8,13 +8,14 @@ A file is a run of blocks, each followed by one line feed (Spark's text writer a
 its commit protocol makes a lost task leave no half-written file).  A block holds whole
 documents.  All numbers are little-endian:
 
-    4 bytes  magic ``VB02``
+    4 bytes  magic ``VB03``
     8        u64 number of ids before the block
     4 x 4    u32 documents, ids, control bytes, data bytes
     n x 8    i64 doc_id                  (n documents)
     n x 1    u8  1 where the doc_id is null
     n x 4    u32 ids of the document
-    control  2 bits an id, four ids a byte, low bits first: bytes of the rank minus one
+    control  2 bits an id, four ids a byte, low bits first: bytes of the rank minus one;
+             each document starts a new byte
     data     the ranks, 1 to 4 bytes each
 
 Control bytes are apart from the data, so a table of the four lengths that each of the
@@ -34,12 +35,22 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickshop.llm.common import field, mapped, others, prepare, text_bytes, work_dir, written
+from clickshop.llm.common import (
+    field,
+    in_batches,
+    mapped,
+    others,
+    prepare,
+    text_bytes,
+    work_dir,
+    written,
+)
 from clickshop.llm.pieces import Memo, distinct_pieces, expand
 
-MAGIC = b"VB02"
+MAGIC = b"VB03"
 #: Ids that close a block, blocks of a file, and ids of a range of documents.
 BLOCK_IDS = 1 << 16
 FILE_BLOCKS = 256
@@ -53,43 +64,51 @@ _HEAD = np.dtype(
 
 
 class _Encoder:
-    """The library's tokenizer, asked once for each distinct piece."""
+    """The library's tokenizer, asked once for each new match of its pattern."""
 
-    def __init__(self, vocabulary: bytes) -> None:
+    def __init__(self, vocabulary: bytes, pattern: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.split = regex.compile(pattern).findall
         self._pieces = Memo(REMEMBERED)
+        self._words = Memo(REMEMBERED)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         distinct, inverse, bounds = distinct_pieces(data, offsets)
         found = [self._pieces.get(p) for p in distinct]
-        new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            texts = [distinct[i].decode() for i in new]
-            for i, e in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                found[i] = np.array(e.ids, np.uint32).tobytes()
-                self._pieces.put(distinct[i], found[i])
+        matches = {i: self.split(distinct[i].decode()) for i, ids in enumerate(found) if ids is None}
+        words = list({w for own in matches.values() for w in own})
+        known = {w: ids for w in words if (ids := self._words.get(w)) is not None}
+        new = [w for w in words if w not in known]
+        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            known[w] = np.array(e.ids, np.uint32).tobytes()
+            self._words.put(w, known[w])
+        for i, own in matches.items():
+            found[i] = b"".join([known[w] for w in own])
+            self._pieces.put(distinct[i], found[i])
         return expand(found, inverse, bounds)
 
 
 _ENCODERS: dict[tuple, _Encoder] = {}
 
 
-def _encoder(vocabulary: bytes) -> _Encoder:
-    key = (hash(vocabulary), len(vocabulary))
+def _encoder(vocabulary: bytes, pattern: str) -> _Encoder:
+    key = (hash(vocabulary), len(vocabulary), pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = _Encoder(vocabulary)
+        _ENCODERS[key] = _Encoder(vocabulary, pattern)
     return _ENCODERS[key]
 
 
-def encode(documents: DataFrame, tokenizer: str, end_id: int = 0, text: str = "text") -> DataFrame:
+def encode(
+    documents: DataFrame, tokenizer: str, pattern: str, end_id: int = 0, text: str = "text"
+) -> DataFrame:
     """``documents`` with ``ids`` in place of the text: little-endian u32, the end id last.
 
-    ``tokenizer`` is a file of the tokenizers library whose pre-tokenizer is the byte-level
-    pattern; it is read on the driver and broadcast, as it has the vocabulary's size.
+    ``tokenizer`` is a file of the tokenizers library whose pre-tokenizer is byte-level with
+    ``pattern``; it is read on the driver and broadcast, as it has the vocabulary's size.
     """
     spark = documents.sparkSession
     prepare(spark)
@@ -100,51 +119,53 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int = 0, text: str = "t
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(len(kept))
-        flat, bounds = _encoder(vocabulary.value).encode(*text_bytes(column))
+        flat, bounds = _encoder(vocabulary.value, pattern).encode(*text_bytes(column))
         out = np.insert(flat, bounds[1:], end_id).astype("<u4")
-        ends = 4 * (bounds + np.arange(len(bounds)))
-        binary = pa.Array.from_buffers(
-            pa.large_binary(),
-            len(column),
-            [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(out.tobytes())],
-        )
+        binary = _binary(out.tobytes(), 4 * (bounds + np.arange(len(bounds))))
         return pa.RecordBatch.from_arrays(
-            [*batch.columns[: len(kept)], binary.cast(pa.binary())], names=[*kept, "ids"]
+            [*batch.columns[: len(kept)], binary], names=[*kept, "ids"]
         )
 
     source = documents.select(*own, F.col(text).alias("_text"))
     return mapped(source, rows, schema)
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of a block's ranks."""
+def pack(ranks: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray, bytes, np.ndarray]:
+    """Control bytes and data bytes of documents' ranks, each with the documents' bounds."""
     ranks = ranks.astype("<u4")
     extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = extra
+    sizes = np.diff(bounds)
+    slots = np.concatenate(([0], np.cumsum(-(-sizes // 4) * 4)))
+    codes = np.zeros(slots[-1], np.uint8)
+    codes[np.arange(len(ranks)) + np.repeat(slots[:-1] - bounds[:-1], sizes)] = extra
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    keep = np.arange(4) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[keep].tobytes()
-
-
-def unpack(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
-    """The ranks of a block, by table lookup of the lengths."""
-    lengths = _LENGTHS[control].reshape(-1)[:count]
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    ends = np.concatenate(([0], np.cumsum(extra + np.int64(1))))
+    return control.tobytes(), slots // 4, data.tobytes(), ends[bounds]
+
+
+def unpack(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranks of documents of so many ids, by table lookup of the lengths."""
+    sizes = sizes.astype(np.int64)
+    slots = -(-sizes // 4) * 4
+    count = int(sizes.sum())
+    skip = np.repeat(np.cumsum(slots) - slots - np.cumsum(sizes) + sizes, sizes)
+    lengths = _LENGTHS[control].reshape(-1)[np.arange(count) + skip]
     out = np.zeros((count, 4), np.uint8)
     out[np.arange(4) < lengths[:, None]] = data
     return out.view("<u4").reshape(-1)
 
 
-def _block(start: int, docs: list[tuple[int | None, bytes]], rank_of: np.ndarray) -> bytes:
-    ids = np.frombuffer(b"".join(d for _, d in docs), "<u4")
-    control, data = pack(rank_of[ids])
-    head = np.array([(MAGIC, start, len(docs), len(ids), len(control), len(data))], _HEAD)
+def _block(start: int, docs: list[tuple[int | None, int, bytes, bytes]]) -> bytes:
+    doc_ids, sizes, control, data = zip(*docs)
+    control, data = b"".join(control), b"".join(data)
+    head = np.array([(MAGIC, start, len(docs), sum(sizes), len(control), len(data))], _HEAD)
     return b"".join(
         (
             head.tobytes(),
-            np.array([d or 0 for d, _ in docs], "<i8").tobytes(),
-            np.array([d is None for d, _ in docs], np.uint8).tobytes(),
-            np.array([len(x) // 4 for _, x in docs], "<u4").tobytes(),
+            np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
+            np.array([d is None for d in doc_ids], np.uint8).tobytes(),
+            np.array(sizes, "<u4").tobytes(),
             control,
             data,
         )
@@ -158,7 +179,7 @@ def _blocks_of(content: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
         head = np.frombuffer(content, _HEAD, 1, at)[0]
         if head["magic"] != MAGIC:
             raise ValueError("not a token file")
-        docs, count = int(head["docs"]), int(head["ids"])
+        docs = int(head["docs"])
         at += _HEAD.itemsize
         doc_ids = np.frombuffer(content, "<i8", docs, at)
         nulls = np.frombuffer(content, np.uint8, docs, at + 8 * docs)
@@ -168,7 +189,7 @@ def _blocks_of(content: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
         at += len(control)
         data = np.frombuffer(content, np.uint8, int(head["data"]), at)
         at += len(data) + 1  # the line feed
-        yield int(head["start"]), doc_ids, nulls, sizes, unpack(control, data, count)
+        yield int(head["start"]), doc_ids, nulls, sizes, unpack(control, data, sizes)
 
 
 def write_ids(encoded: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
@@ -203,28 +224,47 @@ def write_ids(encoded: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None
     starts = np.cumsum([0] + [of_part.get(k, 0) for k in range(len(cuts) + 1)]).tolist()
     table = spark.sparkContext.broadcast(rank_of)
 
+    def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Documents' ids as ranks in their coding, which is what the shuffle moves."""
+        raw, offsets = text_bytes(batch.column(3))
+        bounds = offsets // 4
+        ranks = table.value[np.frombuffer(raw.tobytes(), "<u4")]
+        control, control_bounds, data, data_bounds = pack(ranks, bounds)
+        columns = [
+            pa.array(np.diff(bounds)),
+            _binary(control, control_bounds),
+            _binary(data, data_bounds),
+        ]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], *columns], names=["part", "doc_id", "tie", "n", "control", "data"]
+        )
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, held, count = None, [], 0
         for batch in batches:
-            for own, doc_id, ids in zip(*[c.to_pylist() for c in batch.columns]):
+            for own, *doc in zip(*[c.to_pylist() for c in batch.columns]):
                 if start is None:
                     start = starts[own]
-                held.append((doc_id, ids))
-                count += len(ids) // 4
+                held.append(doc)
+                count += doc[1]
                 if count >= block_ids:
-                    yield _value(_block(start, held, table.value))
+                    yield _value(_block(start, held))
                     start, held, count = start + count, [], 0
         if held:
-            yield _value(_block(start, held, table.value))
+            yield _value(_block(start, held))
 
     def _value(block: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["value"])
 
     (
-        rows.withColumn("part", part)
-        .repartitionById(len(cuts) + 1, F.col("part").cast("int"))
+        rows.select(part.cast("int").alias("part"), "doc_id", "tie", "ids")
+        .mapInArrow(
+            in_batches(coded),
+            "part int, doc_id long, tie long, n long, control binary, data binary",
+        )
+        .repartitionById(len(cuts) + 1, F.col("part"))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-        .select("part", "doc_id", "ids")
+        .select("part", "doc_id", "n", "control", "data")
         .mapInArrow(blocks, "value binary")
         .select(F.col("value").cast("string"))
         .write.option("maxRecordsPerFile", FILE_BLOCKS)
@@ -232,6 +272,15 @@ def write_ids(encoded: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None
     )
 
 
+def _binary(raw: bytes, bounds: np.ndarray) -> pa.Array:
+    """Slices of one buffer as a binary column."""
+    offsets = pa.py_buffer(bounds.astype(np.int64).tobytes())
+    wide = pa.Array.from_buffers(
+        pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(raw)]
+    )
+    return wide.cast(pa.binary())
+
+
 def _write_ranks(encoded: DataFrame, path: str) -> np.ndarray:
     """Count the ids, write the id of each rank, and give the rank of each id."""
 
@@ -289,8 +338,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def token_files(documents: DataFrame, tokenizer: str, path: str | None = None) -> str:
+def token_files(
+    documents: DataFrame, tokenizer: str, pattern: str, path: str | None = None
+) -> str:
     """Encode ``documents`` and write their token files; gives the folder."""
     path = path or work_dir(documents.sparkSession, "token-files")
-    write_ids(written(encode(documents.select("doc_id", "text"), tokenizer), "ids"), path)
+    encoded = encode(documents.select("doc_id", "text"), tokenizer, pattern)
+    write_ids(written(encoded, "ids"), path)
     return path

@@ -53,18 +53,22 @@ def test_fm_index_finds_every_occurrence(text, size):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
 def test_packed_ranks_round_trip(ranks):
-    control, data = token_files.pack(np.array(ranks, np.uint32))
-    back = token_files.unpack(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), len(ranks))
+    cuts = np.array([0, len(ranks) // 3, len(ranks) // 3, len(ranks)])
+    control, _, data, ends = token_files.pack(np.array(ranks, np.uint32), cuts)
+    assert ends[-1] == len(data)
+    back = token_files.unpack(
+        np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), np.diff(cuts)
+    )
     assert back.tolist() == ranks
 
 
 def test_token_files_over_many_ranges(spark, small, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "RANGE_IDS", 20_000)
     monkeypatch.setattr(token_files, "FILE_BLOCKS", 2)
-    from public_tokenizers import path
+    from public_tokenizers import PATTERN, path
 
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    encoded = token_files.encode(docs.select("doc_id", "text"), path("byte_bpe_50k.json")).cache()
+    encoded = token_files.encode(docs.select("doc_id", "text"), path("byte_bpe_50k.json"), PATTERN).cache()
     token_files.write_ids(encoded, str(tmp_path / "out"), block_ids=3_000)
     back = token_files.read_ids(spark, str(tmp_path / "out"))
     assert {(r.doc_id, bytes(r.ids)) for r in back.collect()} == {
@@ -101,12 +105,30 @@ def codec():
 
 def test_memo_stays_bounded():
     memo = pieces.Memo(3)
+    memo.put("once", 1)
+    assert memo.get("once") is None
     for i in range(10):
+        memo.put(i, i)
         memo.put(i, i)
         memo.get(0)
     assert memo.get(0) == 0 and memo.get(5) is None
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=5))
+def test_library_ids_of_pieces_are_those_of_the_text(encoder, texts):
+    ids, bounds = encoder.encode(*text_bytes(pa.array(texts)))
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    import public_tokenizers as p
+
+    return token_files._Encoder(open(p.path("byte_bpe_50k.json"), "rb").read(), p.PATTERN)
+
+
 # --- SimHash groups
 
 
