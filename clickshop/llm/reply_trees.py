@@ -89,14 +89,16 @@ def paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
             F.col("depth").alias("deeper"),
             F.col("up").alias("next"),
         )
-        level = level.join(above, ["tree", "up"], "left").select(
+        moved = level.filter("up is not null").join(above, ["tree", "up"]).select(
             "tree",
             "node",
-            (F.col("gain") + F.coalesce("more", F.lit(0))).alias("gain"),
+            (F.col("gain") + F.col("more")).alias("gain"),
             F.col("next").alias("up"),
-            (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth"),
+            (F.col("depth") + F.col("deeper")).alias("depth"),
         )
-        level = written(level, "jumps")
+        # Messages that reached their root are final and take no part in the join.
+        done = level.filter("up is null").select("tree", "node", "gain", "up", "depth")
+        level = written(done.union(moved), "jumps")
     parents = rooted.select("tree", F.col("parent").alias("node"))
     leaves = level.filter("up is null").join(parents, ["tree", "node"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc("gain"), F.desc("depth"), "node")
@@ -107,10 +109,11 @@ def paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
     )
     marked = written(marked, "paths")
     for k, jumps in enumerate(levels):  # ancestors 2**k to 2**(k + 1) - 1 steps up
-        up = marked.join(jumps.select("tree", "node", "up"), ["tree", "node"]).select(
+        steps = jumps.filter("up is not null").select("tree", "node", "up")
+        up = marked.join(steps, ["tree", "node"]).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("turn") - 2**k).alias("turn")
         )
-        marked = written(marked.union(up.filter("node is not null")), "paths")
+        marked = written(marked.union(up), "paths")
     return marked
 
 
