@@ -6,15 +6,22 @@ from pyspark.sql import Column, functions as F
 
 MICROS_PER_SECOND = 1_000_000
 SECOND, MINUTE, HOUR, DAY = 1, 60, 3_600, 86_400
+# From here on doubles are whole numbers.
+NO_FRACTION = 2.0**52
+# Amounts below this are added as decimals of ten places.
+DECIMAL_LIMIT = 1e18
 
 
 def round_half_away(x: Column, digits: int) -> Column:
     """Round a double to ``digits`` places, halves away from zero.
 
     Written out as IEEE steps, so that any engine repeating them gets the same bits.
+    A double that large that it holds no fraction of a unit, an infinity and NaN stay.
     """
     scale = 10.0**digits
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale + F.lit(0.0)
+    scaled = F.abs(x) * scale
+    rounded = F.signum(x) * F.floor(scaled + 0.5) / scale + F.lit(0.0)
+    return F.when(scaled < NO_FRACTION, rounded).otherwise(x)
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
@@ -28,10 +35,13 @@ def exact_sum(x: Column) -> Column:
 
     Money arrives as doubles.  Adding those in shuffle order gives totals whose
     last bits change from run to run, and differ again after a lost executor is
-    replaced; decimal addition does not.  Ten decimals are kept, NaN is skipped,
-    and an amount of more than 28 integer digits is an error.
+    replaced; decimal addition does not.  Ten decimals are kept, so an amount below
+    5e-11 adds nothing.  As soon as one amount is NaN, infinite or 1e18 and more, no
+    money total exists; the plain sum of the doubles then shows that.
     """
-    return F.sum(x.cast("decimal(38,10)")).cast("double")
+    plain = F.abs(x) < DECIMAL_LIMIT
+    exact = F.sum(F.when(plain, x).cast("decimal(38,10)")).cast("double")
+    return F.when(F.bool_or(~plain), F.sum(x)).otherwise(exact)
 
 
 def whole_units(later: Column, earlier: Column, seconds: int) -> Column:

@@ -20,11 +20,13 @@ def earliest(value: str) -> Column:
     """``value`` at the group's first instant.
 
     Among events of that instant a known value wins over NULL; a value that only
-    appears later never does.  Each such pick keeps just its order and its value,
-    as the map side sends one per group through the shuffle.
+    appears later never does, and neither does one of an event without a time.  Each
+    such pick keeps just its order and its value, as the map side sends one per group
+    through the shuffle.
     """
     x, time = F.col(value), EVENT_ORDER[0]
-    known = F.when(x.isNotNull(), F.struct(*EVENT_ORDER, x.alias("value")))
+    timed = x.isNotNull() & F.col(time).isNotNull()
+    known = F.when(timed, F.struct(*EVENT_ORDER, x.alias("value")))
     first_known = F.min(known)
     return F.when(first_known[time] == F.min(time), first_known["value"])
 

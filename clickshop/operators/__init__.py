@@ -3,6 +3,7 @@
 from clickshop.operators.items import fct_order_items
 from clickshop.operators.orders import (
     dedupe_purchases,
+    event_gaps,
     fct_orders,
     first_purchase_per_id,
     order_clusters,
@@ -11,6 +12,7 @@ from clickshop.operators.orders import (
 from clickshop.operators.sessions import order_totals_by_session, session_core, sessions
 from clickshop.operators.staging import (
     channel_group,
+    clean_medium,
     event_fields,
     stage_events,
 )
@@ -18,8 +20,10 @@ from clickshop.operators.users import first_sessions, mart_user_ltv, user_metric
 
 __all__ = [
     "channel_group",
+    "clean_medium",
     "dedupe_purchases",
     "event_fields",
+    "event_gaps",
     "fct_order_items",
     "fct_orders",
     "first_purchase_per_id",

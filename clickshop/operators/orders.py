@@ -47,12 +47,14 @@ def usable_purchases(events: DataFrame) -> DataFrame:
     return events.where(F.col("is_purchase") & ~F.col("flag_missing_txn_id"))
 
 
-def dedupe_purchases(events: DataFrame) -> DataFrame:
+def dedupe_purchases(events: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The first event of every order, keyed by ``order_key``.
 
-    Carries whatever columns ``events`` has, so select first to read less.
+    Only ``columns`` of the events, by default all, are read and shuffled, besides
+    those that decide.
     """
-    starts = _bursts(events).where("starts_order")
+    columns = columns or events.columns
+    starts = _bursts(events, [*dict.fromkeys([*EVENT_ORDER, *columns])]).where("starts_order")
     # An id may literally be spelled like another id's numbered key, so the key
     # itself decides once more.
     per_key = Window.partitionBy("order_key").orderBy(*[F.col("first")[c] for c in EVENT_ORDER])
@@ -60,7 +62,7 @@ def dedupe_purchases(events: DataFrame) -> DataFrame:
         starts.withColumn("rank", F.row_number().over(per_key))
         .where("rank = 1")
         .select(
-            *[F.col("first")[c].alias(c) for c in events.columns],
+            *[F.col("first")[c].alias(c) for c in columns],
             "seconds_since_prev_event",
             "order_cluster",
             "order_key",
@@ -68,10 +70,26 @@ def dedupe_purchases(events: DataFrame) -> DataFrame:
     )
 
 
+def event_gaps(events: DataFrame) -> DataFrame:
+    """Every usable purchase event with the silence since its predecessor of the same id.
+
+    A hot id is one window partition here, sorted outside memory if need be: unlike the
+    orders, this report has a row for every event of it.
+    """
+    at = F.col("event_timestamp")
+    before = F.lag(at).over(Window.partitionBy("transaction_id").orderBy(*EVENT_ORDER))
+    return usable_purchases(events).select(
+        "event_id",
+        "transaction_id",
+        F.timestamp_micros(at).alias("event_at"),
+        whole_units(at, before, SECOND).alias("seconds_since_prev_event"),
+    )
+
+
 def order_starts(events: DataFrame) -> DataFrame:
     """Where each id starts a new order, with the silence before it."""
     return (
-        _bursts(events)
+        _bursts(events, list(EVENT_ORDER))
         .where("starts_order")
         .select(
             "transaction_id",
@@ -85,7 +103,7 @@ def order_starts(events: DataFrame) -> DataFrame:
 def order_clusters(events: DataFrame) -> DataFrame:
     """Every order of every id: its extent and how many events reported it."""
     return (
-        _bursts(events)
+        _bursts(events, list(EVENT_ORDER))
         .groupBy("transaction_id", "order_cluster", "order_key")
         .agg(
             F.timestamp_micros(F.min("first_us")).alias("first_event_at"),
@@ -124,8 +142,8 @@ def fct_orders(deduped: DataFrame) -> DataFrame:
     )
 
 
-def _bursts(events: DataFrame) -> DataFrame:
-    """One row per id and clock hour, tagged with the order it belongs to."""
+def _bursts(events: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per id and clock hour, tagged with its order; ``columns`` of its first event."""
     at = F.col("event_timestamp")
     merged = (
         usable_purchases(events)
@@ -134,7 +152,7 @@ def _bursts(events: DataFrame) -> DataFrame:
             F.min(at).alias("first_us"),
             F.max(at).alias("last_us"),
             F.count(F.lit(1)).alias("events"),
-            F.min_by(F.struct(*events.columns), F.struct(*EVENT_ORDER)).alias("first"),
+            F.min_by(F.struct(*columns), F.struct(*EVENT_ORDER)).alias("first"),
         )
     )
     per_id = Window.partitionBy("transaction_id")

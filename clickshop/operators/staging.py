@@ -98,6 +98,13 @@ def event_fields(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_medium(raw: DataFrame) -> DataFrame:
+    """Events per first-touch medium, and the medium with "none" as unknown."""
+    medium = F.col("traffic_source.medium")
+    counted = raw.groupBy(medium.alias("medium")).agg(F.count(F.lit(1)).alias("events"))
+    return counted.select("medium", _unless(F.col("medium"), NO_MEDIUM).alias("medium_clean"), "events")
+
+
 def channel_group(medium: Column, source: Column) -> Column:
     """Marketing channel of a session's raw medium and source."""
     pairs = [(name, channel) for channel, names in CHANNEL_MEDIA.items() for name in names]

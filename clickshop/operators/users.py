@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickshop.functions import exact_sum, ratio
 from clickshop.functions.picks import SESSION_ORDER
@@ -19,9 +19,15 @@ FIRST_TOUCH = [
 ]
 
 
-def first_sessions(sessions: DataFrame) -> DataFrame:
-    """The earliest session of every user."""
-    first = F.min_by(F.struct(*sessions.columns), F.struct(*SESSION_ORDER))
+def first_session(columns: list[str]) -> Column:
+    """``columns`` of a group's earliest session, as a struct."""
+    return F.min_by(F.struct(*columns), F.struct(*SESSION_ORDER))
+
+
+def first_sessions(sessions: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The earliest session of every user; only ``columns``, by default all, are read."""
+    columns = columns or sessions.columns
+    first = first_session(columns)
     return sessions.groupBy("user_pseudo_id").agg(first.alias("first")).select("first.*")
 
 
@@ -39,7 +45,7 @@ def user_metrics(sessions: DataFrame) -> DataFrame:
         orders.alias("purchases"),
         F.count_if("converted").alias("converting_sessions"),
         ratio(revenue, orders, 2).alias("avg_order_value"),
-        F.min_by(F.struct(*FIRST_TOUCH), F.struct(*SESSION_ORDER)).alias("first"),
+        first_session(FIRST_TOUCH).alias("first"),
     )
     # Sessions without a user are no one's first session.
     known = F.col("user_pseudo_id").isNotNull()

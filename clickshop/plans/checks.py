@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickshop.functions import exact_sum, one_row, round_half_away
-from clickshop.operators.orders import usable_purchases
+from clickshop.operators.orders import dedupe_purchases, usable_purchases
+from clickshop.operators.sessions import session_core
+from clickshop.plans.marts import DAILY_DIMENSIONS
 
 Tables = Mapping[str, DataFrame]
 
@@ -229,6 +231,58 @@ def check_report(tables: Tables, checks: list[Check] | None = None) -> DataFrame
     return reduce(DataFrame.unionByName, reports).withColumn("status", status)
 
 
+def not_null_report(events: DataFrame) -> DataFrame:
+    """The rows of ``check_report`` for ``NOT_NULL_CHECKS``, from staged events.
+
+    Orders and their items come from one deduplication, with items counted inside their
+    array; sessions need no orders to be counted.
+    """
+    items = F.coalesce("items", F.array().cast(events.schema["items"].dataType))
+    orders = dedupe_purchases(events, ["purchase_revenue", "items"]).select(
+        F.col("order_key").isNull().alias("no_key"),
+        F.col("purchase_revenue").isNull().alias("no_revenue"),
+        F.size(items).cast("bigint").alias("lines"),
+        F.size(F.filter(items, lambda i: i["item_id"].isNull())).cast("bigint").alias("no_id"),
+    )
+    rows, lines = F.count(F.lit(1)), F.coalesce(F.sum("lines"), F.lit(0).cast("bigint"))
+    unkeyed = F.coalesce(F.sum(F.when(F.col("no_key"), F.col("lines"))), F.lit(0).cast("bigint"))
+    order_side = {
+        "int_purchase_events_deduped_order_key": (rows, F.count_if("no_key")),
+        "fct_orders_order_key": (rows, F.count_if("no_key")),
+        "fct_orders_revenue": (rows, F.count_if("no_revenue")),
+        "fct_order_items_order_key": (lines, unkeyed),
+        "fct_order_items_item_id": (lines, F.coalesce(F.sum("no_id"), F.lit(0).cast("bigint"))),
+    }
+    core = session_core(events)
+    users = core.select("user_pseudo_id").distinct()
+    days = core.select(*DAILY_DIMENSIONS).distinct()
+    parts = [
+        (orders, order_side),
+        (core, {"int_sessions_session_id": (rows, F.count_if(F.col("session_id").isNull()))}),
+        (
+            users,
+            {"int_user_metrics_user_pseudo_id": (rows, F.count_if(F.col("user_pseudo_id").isNull()))},
+        ),
+        (
+            days,
+            {"mart_daily_performance_session_date": (rows, F.count_if(F.col("session_date").isNull()))},
+        ),
+    ]
+    reports = []
+    for relation, counts in parts:
+        structs = [
+            F.struct(
+                F.lit(f"not_null_{name}").alias("check_name"),
+                examined.alias("examined"),
+                violations.alias("violations"),
+            )
+            for name, (examined, violations) in counts.items()
+        ]
+        reports.append(relation.agg(F.array(*structs).alias("r")).select(F.inline("r")))
+    status = F.when(F.col("violations") > 0, "fail").otherwise("pass")
+    return reduce(DataFrame.unionByName, reports).withColumn("status", status)
+
+
 def _row_report(relation: DataFrame, checks: list[RowCheck]) -> DataFrame:
     counts = relation.agg(
         F.count(F.lit(1)).alias("examined"),

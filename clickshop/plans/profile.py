@@ -86,8 +86,12 @@ def site_funnel(sessions: DataFrame) -> DataFrame:
 
 def device_conversion(sessions: DataFrame) -> DataFrame:
     """Users, buyers and conversion per device."""
-    per_user = _known_users(sessions, "device_category").agg((F.count_if("converted") > 0).alias("bought"))
-    users, buyers = F.count(F.lit(1)), F.count_if("bought")
+    per_user = sessions.groupBy("device_category", "user_pseudo_id").agg(
+        (F.count_if("converted") > 0).alias("bought")
+    )
+    # Sessions without a user make their device known, but count no user.
+    users = F.count("user_pseudo_id")
+    buyers = F.count_if(F.col("bought") & F.col("user_pseudo_id").isNotNull())
     return per_user.groupBy("device_category").agg(
         users.alias("users"),
         buyers.alias("buyers"),
@@ -97,10 +101,10 @@ def device_conversion(sessions: DataFrame) -> DataFrame:
 
 def channel_arpu(sessions: DataFrame) -> DataFrame:
     """Users, revenue and revenue per user of each channel, and against organic."""
-    per_user = _known_users(sessions, "channel_group").agg(
+    per_user = sessions.groupBy("channel_group", "user_pseudo_id").agg(
         exact_sum(F.col("session_revenue")).alias("revenue")
     )
-    users, revenue = F.count(F.lit(1)), exact_sum(F.col("revenue"))
+    users, revenue = F.count("user_pseudo_id"), exact_sum(F.col("revenue"))
     channels = per_user.groupBy("channel_group").agg(
         users.alias("users"), revenue.alias("revenue"), ratio(revenue, users, 2).alias("arpu")
     )
@@ -128,13 +132,23 @@ def country_totals(sessions: DataFrame) -> DataFrame:
 
 def category_totals(items: DataFrame) -> DataFrame:
     """Orders, revenue and products per top category."""
-    revenue, skus = exact_sum(F.col("item_revenue")), F.count_distinct("item_id")
-    return items.groupBy("category_l1").agg(
-        F.count_distinct("order_key").alias("transactions"),
+    # One nested grouping per key: two distinct counts in one aggregate would copy every line.
+    per_item = items.groupBy("category_l1", "item_id").agg(
+        exact_sum(F.col("item_revenue")).alias("revenue")
+    )
+    revenue, skus = exact_sum(F.col("revenue")), F.count("item_id")
+    products = per_item.groupBy("category_l1").agg(
         revenue.alias("revenue"),
         skus.alias("skus"),
         ratio(revenue, skus, 2).alias("revenue_per_sku"),
     )
+    per_order = items.select(F.col("category_l1").alias("category"), "order_key").distinct()
+    orders = per_order.groupBy("category").agg(F.count("order_key").alias("transactions"))
+    # One row per category on either side.
+    same = products["category_l1"].eqNullSafe(orders["category"])
+    return products.join(orders, same).select(
+        "category_l1", "transactions", "revenue", "skus", "revenue_per_sku"
+    )
 
 
 def monthly_orders(orders: DataFrame) -> DataFrame:
@@ -302,10 +316,6 @@ def long_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.withColumn("is_long_session", F.col("session_duration_min") > LONG_MINUTES)
 
 
-def _known_users(sessions: DataFrame, group: str):
-    return sessions.where(F.col("user_pseudo_id").isNotNull()).groupBy(group, "user_pseudo_id")
-
-
 def _in_sessions(events: DataFrame) -> DataFrame:
     return events.where(F.col("ga_session_id").isNotNull())
 

@@ -17,11 +17,24 @@ def scan_events(
 ) -> DataFrame:
     """Events of the dates ``start`` to ``end`` (``yyyyMMdd``, both included).
 
-    Only the folders in range are listed as input, and only the declared nested
-    fields are read.  ``with_event_id`` also reads the source's own event id.
+    The files of other dates are not listed: the folder is asked for its day folders
+    only, and the reader gets those in range.  Only the declared nested fields are
+    read.  ``with_event_id`` also reads the source's own event id.
     """
     schema = f"{RAW_EVENT}, event_id bigint" if with_event_id else RAW_EVENT
-    return in_date_range(spark.read.schema(schema).parquet(path), start, end)
+    days = [d for d in _days(spark, path) if start <= d.rpartition("=")[2] <= end]
+    reader = spark.read.schema(schema).option("basePath", path)
+    if not days:
+        return spark.createDataFrame([], schema)
+    return in_date_range(reader.parquet(*[f"{path.rstrip('/')}/{d}" for d in days]), start, end)
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Names of the day folders: one listing of one folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(folder)]
+    return sorted(n for n in names if n.startswith("event_date="))
 
 
 def in_date_range(raw: DataFrame, start: str, end: str) -> DataFrame:

@@ -17,7 +17,8 @@ class Store:
     """Writes relations by name and reads them back.
 
     A relation read back starts from files: whatever built it is never run again,
-    also not after an executor is lost.  With ``database`` the relations become
+    also not after an executor is lost, if ``path`` or the warehouse is on storage
+    that all executors share.  With ``database`` the relations become
     catalog tables, otherwise folders below ``path``.
     """
 
@@ -31,9 +32,13 @@ class Store:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Replace relation ``name`` and return it as read back."""
-        writer = conforming(df, name).write.mode("overwrite").format("parquet")
-        if name in PARTITIONED:
-            writer = writer.partitionBy(PARTITIONED[name])
+        rows = conforming(df, name)
+        day = PARTITIONED.get(name)
+        if day is not None:  # few files a day, and several for a day that is too large
+            rows = rows.hint("rebalance", day)
+        writer = rows.write.mode("overwrite").format("parquet")
+        if day is not None:
+            writer = writer.partitionBy(day)
         if self.database is not None:
             writer.saveAsTable(f"{self.database}.{name}")
         else:

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickshop.functions import exact_sum
-
 # The columns used of each table.
 TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -22,14 +20,12 @@ TABLES = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
     "p_retailprice double",
 }
-# Microseconds of 2024-01-01 and of a day; item slots of an order.
+# Microseconds of 2024-01-01 and of a day.
 FIRST_DAY_MICROS = 1_704_067_200_000_000
 DAY_MICROS = 86_400_000_000
-LINE_SLOTS = 8
 
-# The number in props, which is always of the form {"k": 12}.  Filters
-# on derived columns repeat this expression, so it is cut out rather than parsed.
-K_TEXT = "substring_index(substring_index(props, ':', -1), '}', 1)"
+# Fixed value: the number in props.
+K_TEXT = "get_json_object(props, '$.k')"
 
 # Event time after the first day, from user u, day d and time of day.
 MOVED = f"""
@@ -75,9 +71,11 @@ TEXT_PARAMS = {
 RAW_FIELDS = {
     "event_date": "date_format(date_add(date'2024-01-01', "
     f"cast(moved div {DAY_MICROS} as int)), 'yyyyMMdd')",
-    "event_timestamp": f"moved + {FIRST_DAY_MICROS}",
+    "event_timestamp": "if(event_type = 'error' and event_id % 40 = 7, null, "
+    f"moved + {FIRST_DAY_MICROS})",
     "event_name": "event_name",
-    "user_pseudo_id": "if(u < 4, 'u_whale', 'u' || u)",
+    "user_pseudo_id": "case when event_type = 'click' and event_id % 53 = 5 then null "
+    "when u < 4 then 'u_whale' else 'u' || u end",
     "user_id": "cast(null as string)",
     "platform": "'WEB'",
     "event_params": "event_params",
@@ -85,7 +83,8 @@ RAW_FIELDS = {
         'source', case u % 11 when 0 then '(data deleted)'
                               when 1 then 'shop.googlemerchandisestore.com'
                               when 2 then '<Other>' else 'google' end,
-        'medium', case u % 11 when 1 then 'referral' when 2 then '<Other>' else 'organic' end,
+        'medium', case u % 11 when 1 then 'referral' when 2 then '<Other>' when 3 then '(none)'
+                              else 'organic' end,
         'name', 'n' || (u % 3))""",
     "device": """named_struct(
         'category', elt(cast(u % 3 as int) + 1, 'desktop', 'mobile', 'tablet'),
@@ -107,19 +106,19 @@ RAW_FIELDS = {
     "event_id": "event_id",
 }
 
-# An item from a line slot and its part.
+# An item from a product line and its part.
 ITEM = """named_struct(
     'item_id', 'P' || l_partkey,
     'item_name', p_name,
-    'item_brand', if(slot = 7, '(not set)', p_brand),
+    'item_brand', if(l_linenumber = 7, '(not set)', p_brand),
     'item_variant', if(l_returnflag = 'N', '(not set)', l_returnflag),
     'item_category', if(l_linestatus = 'O', 'Home/' || p_type || '/' || p_brand || '/', p_type),
-    'price', case slot when 6 then 0D when 5 then null else p_retailprice end,
-    'quantity', if(slot = 4, null, quantity),
-    'item_revenue', if(slot = 3, null, revenue),
-    'promotion_id', if(l_tax = 0, '(not set)', 'promo' || slot),
-    'promotion_name', if(l_tax = 0, '(not set)', 'promo' || slot),
-    'item_list_index', if(slot = 1, null, cast(slot as string)))"""
+    'price', case l_linenumber when 6 then 0D when 5 then null else p_retailprice end,
+    'quantity', if(l_linenumber = 4, null, cast(l_quantity as bigint)),
+    'item_revenue', if(l_linenumber = 3, null, l_extendedprice),
+    'promotion_id', if(l_tax = 0, '(not set)', 'promo' || l_linenumber),
+    'promotion_name', if(l_tax = 0, '(not set)', 'promo' || l_linenumber),
+    'item_list_index', if(l_linenumber = 1, null, cast(l_linenumber as string)))"""
 
 
 def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +131,7 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = [_param(k, when, number=x) for k, (when, x) in INT_PARAMS.items()]
     params += [_param(k, when, text=x) for k, (when, x) in TEXT_PARAMS.items()]
     return (
-        _spread(_table(spark, sf_dir, "events"), "event_id")
+        _table(spark, sf_dir, "events")
         .selectExpr(
             "event_id",
             "event_type",
@@ -153,24 +152,15 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product lines of each order number, as an array of at most ``LINE_SLOTS``.
+    """Product lines of each order number, one array entry per line.
 
-    Lines of an order that share a slot are added up first, so neither a group nor
-    an array can outgrow its bound, however many lines one order has.
+    An order is one event, so its lines belong into one row.
     """
-    slots = (
-        _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey")
-        .groupBy("l_orderkey", F.expr(f"pmod(l_linenumber, {LINE_SLOTS})").alias("slot"))
-        .agg(
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-            exact_sum(F.col("l_extendedprice")).alias("revenue"),
-            *[F.min(c).alias(c) for c in ("l_partkey", "l_returnflag", "l_linestatus", "l_tax")],
-        )
+    lines = _table(spark, sf_dir, "lineitem").join(
+        _table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left"
     )
-    return (
-        slots.join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left")
-        .groupBy(F.col("l_orderkey").alias("event_id"))
-        .agg(F.collect_list(F.expr(ITEM)).alias("items"))
+    return lines.groupBy(F.col("l_orderkey").alias("event_id")).agg(
+        F.collect_list(F.expr(ITEM)).alias("items")
     )
 
 
@@ -179,17 +169,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(table: DataFrame, key: str) -> DataFrame:
-    """Share out a table that is read in fewer splits than there are cores.
-
-    Large tables have more splits than that and are left alone.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, key)
-
-
 def _param(key: str, present: str, text: str = "null", number: str = "null") -> str:
     """SQL of one event parameter; its key and value are NULL where it is absent."""
     return (

@@ -69,3 +69,36 @@ def test_one_row_joins_rows_side_by_side(spark):
     left = spark.range(3).agg(F.count(F.lit(1)).alias("a"))
     right = spark.range(3).agg(F.max("id").alias("b"), F.max(F.lit(None).cast("date")).alias("c"))
     assert only(one_row(left, right)) == {"a": 3, "b": 2, "c": None}
+
+
+@pytest.mark.parametrize("value", [1e19, -1e19, 9.3e16, 1e300, math.inf, -math.inf])
+def test_numbers_without_fraction_are_not_rounded(spark, value):
+    assert result(spark, round_half_away(F.lit(value), 2)) == value
+
+
+def test_nan_and_null_stay_when_rounded(spark):
+    assert math.isnan(result(spark, round_half_away(F.lit(math.nan), 2)))
+    assert result(spark, round_half_away(F.lit(None).cast("double"), 2)) is None
+
+
+@pytest.mark.parametrize(
+    ("amounts", "total"),
+    [
+        ([1.0, math.inf], math.inf),
+        ([1.0, -math.inf, None], -math.inf),
+        ([1e29, 1.0], 1e29),
+        ([1e18, 1e18], 2e18),
+        ([9e17] * 12, 1.08e19),
+        ([1e-11, 1e-11], 0.0),
+        ([1e-10, 0.1, 0.2], 0.3000000001),
+        ([None], None),
+    ],
+)
+def test_sums_of_extreme_amounts(spark, amounts, total):
+    df = spark.createDataFrame([(a,) for a in amounts], "x double")
+    assert df.agg(exact_sum(F.col("x"))).first()[0] == total
+
+
+def test_a_sum_with_nan_is_nan(spark):
+    df = spark.createDataFrame([(1.0,), (math.nan,)], "x double")
+    assert math.isnan(df.agg(exact_sum(F.col("x"))).first()[0])

@@ -177,3 +177,30 @@ def test_shared_ids(shop):
     )
     shared = profile.ids_shared_by_users(dedupe_purchases(events))
     assert values(shared, "transaction_id", "users") == [("S", 2)]
+
+
+def test_groups_of_unknown_users_stay(shop):
+    visits = sessions_of(
+        shop.events(
+            {"user": "ann"},
+            {"user": None, "device": ("tv", "x", "en", "x"), "params": {"medium": "cpc"}},
+        )
+    )
+    devices = profile.device_conversion(visits)
+    assert values(devices, "device_category", "users", "buyers") == [("desktop", 1, 0), ("tv", 0, 0)]
+    channels = profile.channel_arpu(visits)
+    assert values(channels, "channel_group", "users") == [("Other", 1), ("Paid Search", 0)]
+
+
+def test_category_totals_count_orders_and_products_once(shop):
+    lines = [{"id": "a"}, {"id": "a", "position": "2"}, {"id": None, "category": None}]
+    events = shop.events(
+        {"name": "purchase", "txn": "T1", "items": lines},
+        {"name": "purchase", "txn": "T2", "items": lines[:1], "at": SECOND},
+    )
+    totals = profile.category_totals(fct_order_items(dedupe_purchases(events)))
+    assert "Expand" not in totals._jdf.queryExecution().executedPlan().toString()
+    assert values(totals, "category_l1", "transactions", "skus", "revenue") == [
+        ("Home", 2, 1, 15.0),
+        (None, 1, 0, 5.0),
+    ]

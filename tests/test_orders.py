@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickshop.operators import (
     dedupe_purchases,
+    event_gaps,
     fct_order_items,
     fct_orders,
     first_purchase_per_id,
@@ -209,3 +210,12 @@ def test_text_prices_are_cast_safely(shop):
         ),
     )
     assert values(fct_order_items(text), "item_id", "item_price") == [("a", None), ("b", 2.5)]
+
+
+def test_every_usable_purchase_has_its_gap(shop):
+    events = shop.events(buy("T", 0), buy("T", 5 * SECOND), buy("U", SECOND), buy(None, 0))
+    assert values(event_gaps(events), "transaction_id", "seconds_since_prev_event") == [
+        ("T", 5),
+        ("T", None),
+        ("U", None),
+    ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from parity import compare
+from parity import compare, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,11 +15,15 @@ def db():
     return compare.connect(SF_DIR)
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+OWN = list(oracle.statements())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+def test_every_query_of_the_library_has_sql():
+    assert set(OWN) <= set(contract.queries())
+    assert set(contract._reports()) == set(OWN)
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, db, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert compare.difference(df, db, contract.oracle_sql()[name]) is None

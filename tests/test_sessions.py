@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import DAY, MINUTE, SECOND, only, values
+from pyspark.sql import functions as F
 
 from clickshop.operators import (
     dedupe_purchases,
@@ -70,6 +71,19 @@ def test_first_touch_prefers_known_values_only_at_the_first_instant(shop):
     assert (row["source"], row["medium"], row["campaign"]) == ("mail", "cpc", None)
 
 
+def test_an_event_without_a_time_hides_no_first_touch(shop):
+    known = {"source": "mail", "medium": "email"}
+    events = shop.events({"event_id": 1, "params": known}, {"event_id": 2, "params": {"source": "x"}})
+    untimed = F.when(F.col("event_id") == 1, F.col("event_timestamp"))
+    row = only(sessions_of(events.withColumn("event_timestamp", untimed)))
+    assert (row["source"], row["medium"], row["device_category"]) == ("mail", "email", "desktop")
+
+
+def test_first_sessions_of_some_columns(shop):
+    visits = sessions_of(shop.events({}, {"session": 2, "at": SECOND}))
+    assert values(first_sessions(visits, ["session_id"]), "session_id") == ["ann-1"]
+
+
 def test_flags_count_null_as_not_met(shop):
     row = only(sessions_of(shop.events({"first": (None, None, None)})))
     assert (row["has_gdpr_deleted"], row["is_internal"]) == (False, False)
