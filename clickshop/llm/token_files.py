@@ -30,6 +30,7 @@ table writes no file and reads back empty.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -63,14 +64,27 @@ _HEAD = np.dtype(
 )
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes are themselves, others follow 255."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+
+
 class _Encoder:
-    """The library's tokenizer, asked once for each new match of its pattern."""
+    """The library's BPE model, asked once for each new match of the pattern.
+
+    Matches go to the model itself, in the byte-level alphabet: the tokenizer around it
+    would split and map each of them again, which takes twice the time.  Strings of special
+    tokens are ordinary text to the model.
+    """
 
     def __init__(self, vocabulary: bytes, pattern: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.model = self.tokenizer.model
+        self._letters = _byte_letters()
         self.split = regex.compile(pattern).findall
         self._pieces = Memo(REMEMBERED)
         self._words = Memo(REMEMBERED)
@@ -81,10 +95,11 @@ class _Encoder:
         matches = {i: self.split(distinct[i].decode()) for i, ids in enumerate(found) if ids is None}
         words = list({w for own in matches.values() for w in own})
         known = {w: ids for w in words if (ids := self._words.get(w)) is not None}
-        new = [w for w in words if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, np.uint32).tobytes()
-            self._words.put(w, known[w])
+        for w in words:
+            if w not in known:
+                tokens = self.model.tokenize(w.encode().decode("latin-1").translate(self._letters))
+                known[w] = array("I", [t.id for t in tokens]).tobytes()
+                self._words.put(w, known[w])
         for i, own in matches.items():
             found[i] = b"".join([known[w] for w in own])
             self._pieces.put(distinct[i], found[i])

@@ -126,7 +126,9 @@ def test_library_ids_of_pieces_are_those_of_the_text(encoder, texts):
 def encoder():
     import public_tokenizers as p
 
-    return token_files._Encoder(open(p.path("byte_bpe_50k.json"), "rb").read(), p.PATTERN)
+    own = token_files._Encoder(open(p.path("byte_bpe_50k.json"), "rb").read(), p.PATTERN)
+    own.tokenizer.encode_special_tokens = True
+    return own
 
 
 # --- SimHash groups
