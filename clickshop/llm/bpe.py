@@ -30,7 +30,7 @@ _BITS = 9
 _LOW = (1 << _BITS) - 1
 _NONE = -1
 #: Pieces and pre-tokens that a worker remembers, in two generations.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Bytes up to which pre-tokens share a queue.
 SHORT = 64
 
@@ -77,8 +77,7 @@ class Codec:
     """Ranks and pattern of one vocabulary."""
 
     def __init__(self, rank_file: bytes, pattern: str) -> None:
-        lines = [line.split() for line in rank_file.splitlines() if line]
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
+        self.ranks = read_ranks(rank_file)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.split = regex.compile(pattern).findall
         self._pieces = Memo(REMEMBERED)
@@ -232,6 +231,12 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def read_ranks(rank_file: bytes) -> dict[bytes, int]:
+    """Rank of each token of a rank file."""
+    lines = [line.split() for line in rank_file.splitlines() if line]
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
 _CODECS: dict[tuple, Codec] = {}
 
 
@@ -244,6 +249,18 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+_TOKENS: dict[tuple, dict[int, bytes]] = {}
+
+
+def tokens(rank_file: bytes) -> dict[int, bytes]:
+    """Token of each rank, all that decoding needs, built once in each process."""
+    key = (hash(rank_file), len(rank_file))
+    if key not in _TOKENS:
+        _TOKENS.clear()
+        _TOKENS[key] = {rank: token for token, rank in read_ranks(rank_file).items()}
+    return _TOKENS[key]
+
+
 def encode(
     documents: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "ids"
 ) -> DataFrame:
@@ -252,7 +269,7 @@ def encode(
     The rank file is read once on the driver and broadcast; its size is the vocabulary's.
     """
     spark = documents.sparkSession
-    prepare(spark)
+    prepare(spark, share=2)
     ranks = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
     kept = others(documents, text, ids)
     own = [field(c) for c in kept]
@@ -272,11 +289,11 @@ def encode(
 
 
 def decode(
-    encoded: DataFrame, rank_file: str, pattern: str, ids: str = "ids", out: str = "decoded"
+    encoded: DataFrame, rank_file: str, ids: str = "ids", out: str = "decoded"
 ) -> DataFrame:
     """``encoded`` with the bytes that its ids stand for, in the binary column ``out``."""
     spark = encoded.sparkSession
-    prepare(spark)
+    prepare(spark, share=2)
     ranks = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
     kept = others(encoded, out)
     source = encoded.select(*[field(c) for c in kept])
@@ -284,12 +301,12 @@ def decode(
     place = kept.index(ids)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        of = codec(ranks.value, pattern)
+        token = tokens(ranks.value).__getitem__
         column = batch.column(place)
         bounds = column.offsets.to_numpy()
         values = column.values.to_numpy(zero_copy_only=False)
         out_bytes = [
-            of.decode(values[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])
+            b"".join(map(token, values[a:b].tolist())) for a, b in zip(bounds[:-1], bounds[1:])
         ]
         return pa.RecordBatch.from_arrays(
             [*batch.columns[: len(kept)], pa.array(out_bytes, pa.binary())], names=[*kept, out]

@@ -23,10 +23,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def prepare(spark: SparkSession) -> None:
-    """Make Python workers ready: small Arrow batches, and this package on their path."""
+def prepare(spark: SparkSession, share: int = 1) -> None:
+    """Make Python workers ready: small Arrow batches, and this package on their path.
+
+    ``share`` divides the batches further, for operators whose workers hold much else.
+    """
     for key, value in BATCH.items():
-        spark.conf.set(key, value)
+        spark.conf.set(key, str(max(1, int(value) // share)))
     context = spark.sparkContext
     if "clickshop.zip" in context._python_includes:
         return

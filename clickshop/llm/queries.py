@@ -103,7 +103,7 @@ def bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN)
-    both = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    both = bpe.decode(encoded, ranks)
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

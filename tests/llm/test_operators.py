@@ -203,12 +203,6 @@ def test_best_paths_by_score(spark):
     assert sorted(r[0] for r in both) == [["q", "high", "more"], ["q", "low", "far"]]
 
 
-CONTROL = st.lists(
-    st.sampled_from(["<", "[", "\\", "s>", "/s>", "INST]", "/INST]", "<SYS>>", "</SYS>>", "<ROLE>>", " ", "\n", "é"]),
-    max_size=12,
-).map("".join)
-
-
 def test_templates_are_reversible(spark):
     rng = random.Random(5)
     marks = ["<", "[", "\\", "s>", "/s>", "INST]", "/INST]", "<SYS>>", "</SYS>>", "<ROLE>>", "</ROLE>>", " ", "\n", "é"]
