@@ -40,9 +40,12 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KEYWORDS = ("passw", "secret", "token", "api")
 
-URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+# Escapes of an escape's first character are taken together with it: a chain of them
+# is one step, however long it is.
+URL_UNIT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
+URL_ESCAPE = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 SLASH_ESCAPE = re.compile(
-    r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})"
+    r"\\(?:u005[cC])*(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8}))"
 )
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
@@ -157,7 +160,7 @@ def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
 
 def _url_text(m: re.Match) -> str | None:
     try:
-        return bytes.fromhex(m[0].replace("%", "")).decode()
+        return bytes.fromhex("".join(URL_UNIT.findall(m[0]))).decode()
     except UnicodeDecodeError:
         return None
 
