@@ -132,23 +132,26 @@ def country_totals(sessions: DataFrame) -> DataFrame:
 
 def category_totals(items: DataFrame) -> DataFrame:
     """Orders, revenue and products per top category."""
-    # One nested grouping per key: two distinct counts in one aggregate would copy every line.
-    per_item = items.groupBy("category_l1", "item_id").agg(
-        exact_sum(F.col("item_revenue")).alias("revenue")
+    # Orders inside a category, then its products inside that: one pass, no line copied.
+    # An order's share rides on one of its products, so that it counts once.
+    per_order = items.groupBy("category_l1", "order_key").agg(
+        exact_sum(F.col("item_revenue")).alias("revenue"), F.collect_set("item_id").alias("ids")
+    )
+    parts = per_order.select(
+        "category_l1", "order_key", "revenue", F.posexplode_outer("ids").alias("pos", "item_id")
+    )
+    once = F.coalesce(F.col("pos") == 0, F.lit(True))
+    per_item = parts.groupBy("category_l1", "item_id").agg(
+        F.count_if(once & F.col("order_key").isNotNull()).alias("transactions"),
+        exact_sum(F.when(once, F.col("revenue"))).alias("revenue"),
     )
     revenue, skus = exact_sum(F.col("revenue")), F.count("item_id")
-    products = per_item.groupBy("category_l1").agg(
+    return per_item.groupBy("category_l1").agg(
+        F.sum("transactions").alias("transactions"),
         revenue.alias("revenue"),
         skus.alias("skus"),
         ratio(revenue, skus, 2).alias("revenue_per_sku"),
     )
-    per_order = items.select(F.col("category_l1").alias("category"), "order_key").distinct()
-    orders = per_order.groupBy("category").agg(F.count("order_key").alias("transactions"))
-    # One row per category on either side.
-    same = products["category_l1"].eqNullSafe(orders["category"])
-    return products.join(orders, same).select(
-        "category_l1", "transactions", "revenue", "skus", "revenue_per_sku"
-    )
 
 
 def monthly_orders(orders: DataFrame) -> DataFrame:
