@@ -29,6 +29,7 @@ table writes no file and reads back empty.
 
 from __future__ import annotations
 
+import gc
 import math
 from array import array
 from collections.abc import Iterator
@@ -90,6 +91,14 @@ class _Encoder:
         self._words = Memo(REMEMBERED)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many texts end to end, and the texts' bounds in them."""
+        gc.disable()  # nothing here is cyclic, and each collection would walk the memory
+        try:
+            return self._encode(data, offsets)
+        finally:
+            gc.enable()
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         distinct, inverse, bounds = distinct_pieces(data, offsets)
         found = [self._pieces.get(p) for p in distinct]
         matches = {i: self.split(distinct[i].decode()) for i, ids in enumerate(found) if ids is None}
