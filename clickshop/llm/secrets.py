@@ -1,7 +1,8 @@
 """Secret scans through nested encodings.
 
 Base patterns run over a text.  A worklist then unwraps encoded runs, layer by layer:
-URL escapes, backslash escapes, base64, hexadecimal bytes and compressed data.  Each new
+URL escapes, backslash escapes, base64, hexadecimal bytes and compressed data.  Decoded
+bytes need not be text: every readable stretch of them counts, in UTF-16 too.  Each new
 layer is scanned again and unwrapped again until nothing new comes out; a layer that was
 seen before in the same text is not opened twice, which ends cycles.  Every layer carries
 a map to the original text, so a secret found three layers down is reported as a span of
@@ -21,6 +22,7 @@ import lzma
 import re
 import zlib
 from collections import deque
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -50,7 +52,14 @@ SLASH_ESCAPE = re.compile(
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
-_READABLE = re.compile(r"[^\x00-\x08\x0E-\x1F\x7F-\x9F\uFFFD]*")
+# No pattern or encoding uses other characters than these, so decoded bytes are read in
+# stretches of them.  A shorter one cannot hold a match ("token=" and 8 characters), nor
+# an encoding of one.
+STRETCH = re.compile(r"[\t\n\r\x20-\x7E]{14,}")
+WIDE_STRETCH = re.compile(r"(?:[\t\n\r\x20-\x7E]\x00){14,}|(?:\x00[\t\n\r\x20-\x7E]){14,}")
+PACKED = re.compile(rb"\x1F\x8B\x08|x[\x01\x5E\x9C\xDA]|BZh[1-9]|\xFD7zXZ\x00", re.DOTALL)
+BYTES = re.compile(r"[\x00-\xFF]+")
+BINARY = re.compile(r"[\x00-\x08\x0E-\x1F\x7F-\xFF]")
 #: A deflate stream cannot exceed this ratio.  The other formats can, so a bomb of theirs
 #: is opened up to ``UNPACKED_MOST`` bytes.
 UNPACKED_PER_BYTE = 1100
@@ -87,53 +96,58 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or xz data; None if it is none, or damaged."""
+def _unpacked(data: memoryview) -> tuple[bytes, int]:
+    """The content of gzip, zlib, bzip2 or xz data, and the bytes it took; none if damaged."""
     limit = UNPACKED_PER_BYTE * len(data) + 64
     try:
         if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, limit)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            return zlib.decompressobj(15).decompress(data, limit)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, UNPACKED_MOST)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, UNPACKED_MOST)
+            opened = zlib.decompressobj(31)
+        elif data[:1] == b"x":
+            opened = zlib.decompressobj(15)
+        elif data[:3] == b"BZh":
+            opened, limit = bz2.BZ2Decompressor(), UNPACKED_MOST
+        else:
+            opened, limit = lzma.LZMADecompressor(), UNPACKED_MOST
+        inner = opened.decompress(data, limit)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    return None
+        return b"", 0
+    return inner, len(data) - len(opened.unused_data)
 
 
-def _as_text(data: bytes) -> tuple[str | None, bool]:
-    """A decoded run as text, and whether compressed layers were opened on the way."""
-    packed = False
-    while (inner := _unpacked(data)) is not None:
-        data, packed = inner, True
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None, packed
-    return (text if _READABLE.fullmatch(text) else None), packed
+def _fixed(text: str, start: int, end: int) -> _Layer:
+    """A layer all of whose characters come from one place."""
+    return _Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text)))
 
 
-def _whole(layer: _Layer, a: int, b: int, text: str) -> _Layer:
-    """A layer all of whose characters come from one run."""
-    start, end = int(layer.at[a]), int(layer.to[b - 1])
-    return _Layer(text, np.full(len(text), start), np.full(len(text), end))
+def _of_bits(layer: _Layer, a: int, b: int, data: bytes, bits: int) -> _Layer:
+    """Bytes decoded from characters with ``bits`` bits each, one character a byte."""
+    ends = np.arange(1, len(data) + 1) * 8
+    first = a + (ends - 8) // bits
+    last = np.minimum(a + (ends - 1) // bits, b - 1)
+    return _Layer(data.decode("latin-1"), layer.at[first], layer.to[last])
 
 
-def _from_bytes(layer: _Layer, a: int, b: int, data: bytes, bits: int) -> _Layer | None:
-    """A run of characters with ``bits`` bits each, as text with a map per character."""
-    text, packed = _as_text(data)
-    if not text:
-        return None
-    if packed:
-        return _whole(layer, a, b, text)
-    sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
-    ends = np.cumsum(sizes)
-    first = a + (ends - sizes) * 8 // bits
-    last = np.minimum(a + (ends * 8 - 1) // bits, b - 1)
-    return _Layer(text, layer.at[first], layer.to[last])
+def _stretches(layer: _Layer) -> Iterator[_Layer]:
+    """The readable parts of decoded bytes, and what is packed within them."""
+    for m in STRETCH.finditer(layer.text):
+        a, b = m.span()
+        yield _Layer(m[0], layer.at[a:b], layer.to[a:b])
+    yield from _binary(layer)
+
+
+def _binary(layer: _Layer) -> Iterator[_Layer]:
+    """UTF-16 text and compressed data among the characters below 256 of a layer."""
+    for m in WIDE_STRETCH.finditer(layer.text):
+        a, b = m.span()
+        yield _Layer(m[0].replace("\x00", ""), layer.at[a:b:2], layer.to[a + 1 : b : 2])
+    for run in BYTES.finditer(layer.text):
+        data = run[0].encode("latin-1")
+        for m in PACKED.finditer(data):
+            inner, used = _unpacked(memoryview(data)[m.start() :])
+            if inner:
+                first = run.start() + m.start()
+                start, end = layer.at[first], layer.to[first + used - 1]
+                yield from _stretches(_fixed(inner.decode("latin-1"), int(start), int(end)))
 
 
 def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
@@ -158,11 +172,16 @@ def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     return _Layer("".join(parts), np.concatenate(at), np.concatenate(to))
 
 
-def _url_text(m: re.Match) -> str | None:
+def _url_bytes(m: re.Match) -> str:
+    return bytes.fromhex("".join(URL_UNIT.findall(m[0]))).decode("latin-1")
+
+
+def _url_text(m: re.Match) -> str:
+    text = _url_bytes(m)
     try:
-        return bytes.fromhex("".join(URL_UNIT.findall(m[0]))).decode()
+        return text.encode("latin-1").decode()
     except UnicodeDecodeError:
-        return None
+        return text
 
 
 def _slash_text(m: re.Match) -> str | None:
@@ -170,14 +189,21 @@ def _slash_text(m: re.Match) -> str | None:
     return chr(code) if code < 0xD800 or 0xDFFF < code < 0x110000 else None
 
 
-def _inner(layer: _Layer) -> list[_Layer]:
+def _inner(layer: _Layer) -> Iterator[_Layer]:
     """The layers directly inside one."""
     text = layer.text
-    found: list[_Layer | None] = []
-    if "%" in text:
-        found.append(_unescaped(layer, URL_ESCAPE, _url_text))
-    if "\\" in text:
-        found.append(_unescaped(layer, SLASH_ESCAPE, _slash_text))
+    if "%" in text and (plain := _unescaped(layer, URL_ESCAPE, _url_text)):
+        yield plain
+        raw = _unescaped(layer, URL_ESCAPE, _url_bytes)
+        if BINARY.search(raw.text):
+            yield from _binary(raw)
+            if "+" in text:  # a space in forms
+                spaced = layer._replace(text=text.replace("+", " "))
+                yield from _binary(_unescaped(spaced, URL_ESCAPE, _url_bytes))
+    if "\\" in text and (plain := _unescaped(layer, SLASH_ESCAPE, _slash_text)):
+        yield plain
+        if BINARY.search(plain.text):
+            yield from _binary(plain)
     for m in BASE64_RUN.finditer(text):
         run = m[0].rstrip("=")
         if len(run) % 4 == 1:
@@ -186,11 +212,10 @@ def _inner(layer: _Layer) -> list[_Layer]:
             data = base64.b64decode(run.encode().translate(_URL_SAFE) + b"=" * (-len(run) % 4))
         except binascii.Error:
             continue
-        found.append(_from_bytes(layer, m.start(), m.start() + len(run), data, 6))
+        yield from _stretches(_of_bits(layer, m.start(), m.start() + len(run), data, 6))
     for m in HEX_RUN.finditer(text):
         run = m[0][: len(m[0]) // 2 * 2]
-        found.append(_from_bytes(layer, m.start(), m.start() + len(run), bytes.fromhex(run), 4))
-    return [x for x in found if x is not None]
+        yield from _stretches(_of_bits(layer, m.start(), m.start() + len(run), bytes.fromhex(run), 4))
 
 
 def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:

@@ -266,6 +266,38 @@ def test_a_long_chain_of_escapes_ends_at_once():
     assert base == found == [("hex", 1, 100_001)]
 
 
+PLAIN = "password=hunter2hunter2"
+
+
+def nested(text: str) -> list[tuple[int, int]]:
+    base, found = secrets.all_spans(text)
+    return [(s.start, s.end) for s in found if s.kind == "assign" and s not in base]
+
+
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.b16encode, lambda b: base64.b64encode(gzip.compress(b))])
+@pytest.mark.parametrize(
+    "data",
+    [
+        b"A=1\0" + PLAIN.encode() + b"\0B=2",
+        b"\x1b[0mlog\n" + PLAIN.encode(),
+        PLAIN.encode("utf-16"),
+        PLAIN.encode("utf-16-be"),
+        b"caf\xe9 " + PLAIN.encode(),
+    ],
+)
+def test_layers_that_are_not_plain_text(encode, data):
+    inner = encode(data).decode()
+    (span,) = nested(f"é {inner} after")
+    assert 2 <= span[0] < span[1] <= 2 + len(inner)
+
+
+@pytest.mark.parametrize("data", [b"\xff " + PLAIN.encode(), gzip.compress(PLAIN.encode()), PLAIN.encode("utf-16")])
+def test_url_escapes_of_bytes_that_are_not_text(data):
+    inner = "".join(f"%{b:02X}" for b in data)
+    assert nested(f"see ?q={inner} after") == [(7, 7 + len(inner))]
+    assert nested(f"see ?q={quote(data)} after")
+
+
 def test_redaction_leaves_clean_texts(spark):
     rows = [(1, f"a {SECRET} b", 0), (2, "nothing here", 12), (3, None, None)]
     out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
