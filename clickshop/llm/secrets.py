@@ -16,7 +16,6 @@ empty result.  Other columns pass through.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
@@ -49,8 +48,18 @@ URL_ESCAPE = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 SLASH_ESCAPE = re.compile(
     r"\\(?:u005[cC])*(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8}))"
 )
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
+# Lines of a wrapped run belong together, indented or not.
+BASE64_RUN = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=\r?\n))"
+    r"(?:\r?\n[\t\x20]*+[A-Za-z0-9+/_-]++)*+"
+)
+HEX_RUN = re.compile(
+    r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{32,}+|[0-9A-Fa-f]++(?=\r?\n))"
+    r"(?:\r?\n[\t\x20]*+[0-9A-Fa-f]++)*+"
+)
+BASE64_LEAST, HEX_LEAST = 16, 32
+LINE = re.compile(r"[^\t\n\r\x20]+")
+_BREAKS = str.maketrans("", "", "\t\n\r\x20")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
 # No pattern or encoding uses other characters than these, so decoded bytes are read in
 # stretches of them.  A shorter one cannot hold a match ("token=" and 8 characters), nor
@@ -119,12 +128,43 @@ def _fixed(text: str, start: int, end: int) -> _Layer:
     return _Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text)))
 
 
-def _of_bits(layer: _Layer, a: int, b: int, data: bytes, bits: int) -> _Layer:
+def _of_bits(at: np.ndarray, to: np.ndarray, data: bytes, bits: int) -> _Layer:
     """Bytes decoded from characters with ``bits`` bits each, one character a byte."""
     ends = np.arange(1, len(data) + 1) * 8
-    first = a + (ends - 8) // bits
-    last = np.minimum(a + (ends - 1) // bits, b - 1)
-    return _Layer(data.decode("latin-1"), layer.at[first], layer.to[last])
+    return _Layer(data.decode("latin-1"), at[(ends - 8) // bits], to[(ends - 1) // bits])
+
+
+def _decoded(layer: _Layer, pattern: re.Pattern, least: int, bits: int) -> Iterator[_Layer]:
+    """The bytes of each run of base64 (6 bits) or hexadecimal digits (4 bits).
+
+    A run may have joined its neighbours, such as the parts of a path, so decoding starts
+    from each place within a group of characters that make whole bytes.
+    """
+    for a, b in _runs(layer.text, pattern):
+        run, at, to = layer.text[a:b], layer.at[a:b], layer.to[a:b]
+        digits = run.translate(_BREAKS)
+        if len(digits) < least:
+            continue
+        if len(digits) < len(run):
+            own = np.array([c not in "\t\n\r\x20" for c in run])
+            at, to = at[own], to[own]
+        for first in range(2 if bits == 4 else 4):
+            part = digits[first:]
+            if bits == 4:
+                data = bytes.fromhex(part[: len(part) // 2 * 2])
+            else:
+                part = part[: len(part) - (len(part) % 4 == 1)].encode().translate(_URL_SAFE)
+                data = base64.b64decode(part + b"=" * (-len(part) % 4))
+            yield _of_bits(at[first:], to[first:], data, bits)
+
+
+def _runs(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Runs with all their lines, and each line alone: the next may be mere words."""
+    for m in pattern.finditer(text):
+        yield m.span()
+        if "\n" in m[0]:
+            for line in LINE.finditer(text, *m.span()):
+                yield line.span()
 
 
 def _stretches(layer: _Layer) -> Iterator[_Layer]:
@@ -204,18 +244,9 @@ def _inner(layer: _Layer) -> Iterator[_Layer]:
         yield plain
         if BINARY.search(plain.text):
             yield from _binary(plain)
-    for m in BASE64_RUN.finditer(text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run.encode().translate(_URL_SAFE) + b"=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        yield from _stretches(_of_bits(layer, m.start(), m.start() + len(run), data, 6))
-    for m in HEX_RUN.finditer(text):
-        run = m[0][: len(m[0]) // 2 * 2]
-        yield from _stretches(_of_bits(layer, m.start(), m.start() + len(run), bytes.fromhex(run), 4))
+    for pattern, least, bits in ((BASE64_RUN, BASE64_LEAST, 6), (HEX_RUN, HEX_LEAST, 4)):
+        for decoded in _decoded(layer, pattern, least, bits):
+            yield from _stretches(decoded)
 
 
 def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:

@@ -298,6 +298,32 @@ def test_url_escapes_of_bytes_that_are_not_text(data):
     assert nested(f"see ?q={quote(data)} after")
 
 
+@pytest.mark.parametrize("before", ["https://host.example.com/cb/", "a-", "ab_", "abc/", "x+y"])
+@pytest.mark.parametrize("after", ["", "/tail", "-1"])
+def test_base64_beside_its_neighbours(before, after):
+    inner = base64.b64encode(PLAIN.encode()).decode().rstrip("=")
+    ((start, end),) = nested(f"{before}{inner}{after}")
+    assert len(before) <= start < end <= len(before) + len(inner)
+
+
+@pytest.mark.parametrize("width", [10, 60, 76])
+@pytest.mark.parametrize("new_line", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("form", ["plain", "gzip", "hex"])
+def test_wrapped_runs(width, new_line, form):
+    data = random.Random(3).randbytes(300).hex("-").encode() + b" " + PLAIN.encode() + b" end"
+    data = gzip.compress(data) if form == "gzip" else data
+    inner = data.hex() if form == "hex" else base64.b64encode(data).decode()
+    lines = new_line.join(inner[i : i + width] for i in range(0, len(inner), width))
+    start, end = max(nested(f"key:\n{lines}\n."), key=lambda s: s[1] - s[0])
+    assert 5 <= start < end <= 5 + len(lines)
+    assert end - start >= (len(lines) - 2 if form == "gzip" else len(PLAIN) * 4 // 3)
+
+
+def test_a_line_before_other_words_ends_with_its_own_secret():
+    inner = base64.b64encode(PLAIN.encode() + b"x").decode()
+    assert (0, len(inner)) in nested(f"{inner}\nhello and more")
+
+
 def test_redaction_leaves_clean_texts(spark):
     rows = [(1, f"a {SECRET} b", 0), (2, "nothing here", 12), (3, None, None)]
     out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
