@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -69,10 +70,17 @@ WIDE_STRETCH = re.compile(r"(?:[\t\n\r\x20-\x7E]\x00){14,}|(?:\x00[\t\n\r\x20-\x
 PACKED = re.compile(rb"\x1F\x8B\x08|x[\x01\x5E\x9C\xDA]|BZh[1-9]|\xFD7zXZ\x00", re.DOTALL)
 BYTES = re.compile(r"[\x00-\xFF]+")
 BINARY = re.compile(r"[\x00-\x08\x0E-\x1F\x7F-\xFF]")
-#: A deflate stream cannot exceed this ratio.  The other formats can, so a bomb of theirs
-#: is opened up to ``UNPACKED_MOST`` bytes.
-UNPACKED_PER_BYTE = 1100
-UNPACKED_MOST = 64 << 20
+_MAGIC = (b"\x1f\x8b", b"x", b"BZh", b"\xfd7zXZ\x00")
+#: Compressed data is fed and opened in blocks, and scanned in pieces of about ``PIECE``
+#: bytes.  A piece repeats the last ``OVERLAP`` bytes of the one before, and more where an
+#: encoded run or compressed data within it goes on.
+BLOCK = 1 << 16
+PIECE = 4 << 20
+OVERLAP = 1 << 14
+# The end of a piece, backwards: what may belong to a run that the next piece continues.
+_OPEN_END = re.compile(
+    rb"""(?:\x00?[A-Za-z0-9+/_=%\\{}:"'\r\n-]|[\t\x20]++\n|\x20{64,}+)*+"""
+)
 
 
 class Span(NamedTuple):
@@ -87,6 +95,7 @@ class _Layer(NamedTuple):
     text: str
     at: np.ndarray
     to: np.ndarray
+    binary: bool = False
 
 
 def base_spans(text: str) -> list[Span]:
@@ -105,27 +114,92 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def _unpacked(data: memoryview) -> tuple[bytes, int]:
-    """The content of gzip, zlib, bzip2 or xz data, and the bytes it took; none if damaged."""
-    limit = UNPACKED_PER_BYTE * len(data) + 64
-    try:
-        if data[:2] == b"\x1f\x8b":
-            opened = zlib.decompressobj(31)
-        elif data[:1] == b"x":
-            opened = zlib.decompressobj(15)
-        elif data[:3] == b"BZh":
-            opened, limit = bz2.BZ2Decompressor(), UNPACKED_MOST
-        else:
-            opened, limit = lzma.LZMADecompressor(), UNPACKED_MOST
-        inner = opened.decompress(data, limit)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return b"", 0
-    return inner, len(data) - len(opened.unused_data)
+class _Packed:
+    """Compressed data of one kind, from ``first`` of ``data`` on, member after member."""
+
+    def __init__(self, data: bytes, first: int) -> None:
+        self.data = data
+        self.kind = next(i for i, magic in enumerate(_MAGIC) if data.startswith(magic, first))
+        self.first = first
+        #: Past the last whole member; the end of the data if a member is cut off or damaged.
+        self.end = first
+        self.whole = self.damaged = False
+
+    def _decoder(self):
+        if self.kind < 2:
+            return zlib.decompressobj((31, 15)[self.kind])
+        return bz2.BZ2Decompressor() if self.kind == 2 else lzma.LZMADecompressor(lzma.FORMAT_XZ)
+
+    def _member(self, at: int) -> Iterator[bytes]:
+        decoder, rest = self._decoder(), b""
+        while not decoder.eof:
+            if not rest and (self.kind < 2 or decoder.needs_input):
+                rest = self.data[at : at + BLOCK]
+                at += len(rest)
+                if not rest:
+                    if self.kind < 2:
+                        yield decoder.flush()
+                    break
+            out = decoder.decompress(rest, BLOCK)
+            rest = decoder.unconsumed_tail if self.kind < 2 else b""
+            yield out
+        self.whole = decoder.eof
+        self.end = at - len(decoder.unused_data)
+
+    def blocks(self) -> Iterator[bytes]:
+        """What the members hold, up to where the data ends or is damaged."""
+        at = self.first
+        while True:
+            try:
+                yield from filter(None, self._member(at))
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                if not self.whole:
+                    self.end, self.damaged = len(self.data), True
+                return
+            at = self.end
+            while self.data.startswith(b"\x00", at):  # padding
+                at += 1
+            if not self.whole or not self.data.startswith(_MAGIC[self.kind], at):
+                return
+
+
+def _pieces(blocks: Iterator[bytes]) -> Iterator[bytes]:
+    """Blocks as pieces that overlap, so that each match and each run is whole in one."""
+    held, most, fresh = bytearray(), PIECE, False
+    for block in blocks:
+        held += block
+        fresh = True
+        if len(held) >= most:
+            piece = bytes(held)
+            yield piece
+            keep = max(OVERLAP, _open_end(piece), len(piece) - _unfinished(piece))
+            held, fresh = held[-keep:], False
+            most = max(PIECE, 2 * keep)
+    if fresh:
+        yield bytes(held)
+
+
+def _open_end(piece: bytes) -> int:
+    """Bytes at the end that a run takes which may go on; one character over and over is none."""
+    n = _OPEN_END.match(piece[::-1]).end()
+    return 0 if piece.count(piece[-1:], len(piece) - n) == n else n
+
+
+def _unfinished(piece: bytes) -> int:
+    """Where the first compressed data starts that the piece may not hold whole."""
+    at = 0
+    while m := PACKED.search(piece, at):
+        packed = _Packed(piece, m.start())
+        deque(packed.blocks(), maxlen=0)
+        if not packed.damaged and packed.end == len(piece):
+            return m.start()
+        at = m.start() + 1 if packed.damaged else packed.end
+    return len(piece)
 
 
 def _fixed(text: str, start: int, end: int) -> _Layer:
-    """A layer all of whose characters come from one place."""
-    return _Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text)))
+    """Unpacked bytes, all of whose characters come from one place."""
+    return _Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text)), True)
 
 
 def _of_bits(at: np.ndarray, to: np.ndarray, data: bytes, bits: int) -> _Layer:
@@ -146,7 +220,7 @@ def _decoded(layer: _Layer, pattern: re.Pattern, least: int, bits: int) -> Itera
         if len(digits) < least:
             continue
         if len(digits) < len(run):
-            own = np.array([c not in "\t\n\r\x20" for c in run])
+            own = np.frombuffer(run.encode(), np.uint8) > 32
             at, to = at[own], to[own]
         for first in range(2 if bits == 4 else 4):
             part = digits[first:]
@@ -181,13 +255,16 @@ def _binary(layer: _Layer) -> Iterator[_Layer]:
         a, b = m.span()
         yield _Layer(m[0].replace("\x00", ""), layer.at[a:b:2], layer.to[a + 1 : b : 2])
     for run in BYTES.finditer(layer.text):
-        data = run[0].encode("latin-1")
-        for m in PACKED.finditer(data):
-            inner, used = _unpacked(memoryview(data)[m.start() :])
-            if inner:
-                first = run.start() + m.start()
-                start, end = layer.at[first], layer.to[first + used - 1]
-                yield from _stretches(_fixed(inner.decode("latin-1"), int(start), int(end)))
+        data, at = run[0].encode("latin-1"), 0
+        while m := PACKED.search(data, at):
+            packed = _Packed(data, m.start())
+            found = any([len(block) for block in packed.blocks()])
+            at = m.start() + 1 if packed.damaged else packed.end
+            if found:
+                start = int(layer.at[run.start() + m.start()])
+                end = int(layer.to[run.start() + packed.end - 1])
+                for piece in _pieces(_Packed(data, m.start()).blocks()):
+                    yield _fixed(piece.decode("latin-1"), start, end)
 
 
 def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
@@ -261,21 +338,37 @@ def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     found = set(base)
     if _encoded(text):
         at = np.arange(len(text))
-        work = deque([_Layer(text, at, at + 1)])
-        seen = {(text, 0, len(text))}
+        top = _Layer(text, at, at + 1)
+        seen = {_mark(top)}
+        # Layers still to open, breadth first; unpacked pieces are finished one by one.
+        work = [(iter(()), deque([top]))]
         while work:
-            for layer in _inner(work.popleft()):
-                # The same text from the same place is a cycle or a second way to it.
-                mark = (layer.text, int(layer.at[0]), int(layer.to[-1]))
-                if mark in seen:
-                    continue
-                seen.add(mark)
-                for kind, a, b in base_spans(layer.text):
-                    found.add(Span(kind, int(layer.at[a]), int(layer.to[b - 1])))
-                work.append(layer)
+            inner, queue = work[-1]
+            layer = next(inner, None)
+            if layer is None:
+                work.pop()
+                if queue:
+                    work.append((_inner(queue.popleft()), queue))
+                continue
+            # The same text from the same place is a cycle or a second way to it.
+            mark = _mark(layer)
+            if mark in seen:
+                continue
+            seen.add(mark)
+            if layer.binary:
+                work.append((_stretches(layer), deque()))
+                continue
+            for kind, a, b in base_spans(layer.text):
+                found.add(Span(kind, int(layer.at[a]), int(layer.to[b - 1])))
+            queue.append(layer)
     return ordered(base), ordered(found)
 
 
+def _mark(layer: _Layer) -> tuple:
+    text = hashlib.blake2b(layer.text.encode(), digest_size=16).digest()
+    return text, layer.binary, int(layer.at[0]), int(layer.to[-1])
+
+
 def _encoded(text: str) -> bool:
     return (
         "%" in text

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
+import lzma
 import random
+import zlib
 from urllib.parse import quote
 
 import numpy as np
@@ -324,6 +327,33 @@ def test_a_line_before_other_words_ends_with_its_own_secret():
     assert (0, len(inner)) in nested(f"{inner}\nhello and more")
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("first", [b"nothing here", b"pass", b""])
+def test_every_member_of_compressed_data(pack, first):
+    rest = PLAIN.encode().removeprefix(first)
+    inner = base64.b64encode(pack(first) + pack(rest)).decode()
+    assert (4, 4 + len(inner.rstrip("="))) in nested(f"see {inner} after")
+
+
+def test_compressed_data_has_no_prefix_limit():
+    rows = b"\xe9 a line of some log, and more \0\n" * (70 << 15)
+    inner = base64.b64encode(lzma.compress(rows + PLAIN.encode())).decode()
+    assert len(rows) > 64 << 20
+    assert nested(inner) == [(0, len(inner.rstrip("=")))]
+
+
+@pytest.mark.parametrize("wrap", [bytes, base64.b64encode, base64.encodebytes, gzip.compress, lambda b: b.hex().encode()])
+def test_runs_and_data_across_pieces(monkeypatch, wrap):
+    monkeypatch.setattr(secrets, "PIECE", 4096)
+    monkeypatch.setattr(secrets, "OVERLAP", 64)
+    monkeypatch.setattr(secrets, "BLOCK", 1000)
+    noise = random.Random(1).randbytes(20_000)
+    for size in (4000, 4070, 4090, 9000):
+        data = b"." * size + wrap(gzip.compress(noise + PLAIN.encode())) + b" " * 90 + PLAIN.encode()[:4]
+        inner = base64.b64encode(gzip.compress(data)).decode()
+        assert nested(inner) == [(0, len(inner.rstrip("=")))]
+
+
 def test_redaction_leaves_clean_texts(spark):
     rows = [(1, f"a {SECRET} b", 0), (2, "nothing here", 12), (3, None, None)]
     out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
