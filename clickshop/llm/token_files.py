@@ -76,8 +76,8 @@ class _Encoder:
     """The library's BPE model, asked once for each new match of the pattern.
 
     Matches go to the model itself, in the byte-level alphabet: the tokenizer around it
-    would split and map each of them again, which takes twice the time.  Strings of special
-    tokens are ordinary text to the model.
+    would split and map each of them again, which takes twice the time.  A text that holds
+    an added token of the file, such as ``<|endoftext|>``, goes to the tokenizer whole.
     """
 
     def __init__(self, vocabulary: bytes, pattern: str) -> None:
@@ -85,6 +85,8 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content.encode() for t in added if t.content]
         self._letters = _byte_letters()
         self.split = regex.compile(pattern).findall
         self._pieces = Memo(REMEMBERED)
@@ -99,6 +101,35 @@ class _Encoder:
             gc.enable()
 
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = self._with_added(data, offsets)
+        if not own:
+            return self._by_pieces(data, offsets)
+        sizes, raw = np.diff(offsets), data.tobytes()
+        rest = np.ones(len(sizes), bool)
+        rest[own] = False
+        flat, bounds = self._by_pieces(
+            data[np.repeat(rest, sizes)], np.concatenate(([0], np.cumsum(sizes * rest)))
+        )
+        texts = [raw[offsets[i] : offsets[i + 1]].decode() for i in own]
+        found = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        counts = np.diff(bounds)
+        counts[own] = [len(ids) for ids in found]
+        flat = np.insert(flat, np.repeat(bounds[own], counts[own]), np.concatenate(found))
+        return flat, np.concatenate(([0], np.cumsum(counts)))
+
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """The texts that hold an added token."""
+        raw, own = data.tobytes(), set()
+        for token in self._added:
+            at = raw.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, side="right")) - 1
+                if at + len(token) <= offsets[i + 1]:
+                    own.add(i)
+                at = raw.find(token, at + 1)
+        return sorted(own)
+
+    def _by_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         distinct, inverse, bounds = distinct_pieces(data, offsets)
         found = [self._pieces.get(p) for p in distinct]
         matches = {i: self.split(distinct[i].decode()) for i, ids in enumerate(found) if ids is None}

@@ -134,6 +134,25 @@ def encoder():
     return own
 
 
+@pytest.mark.parametrize(
+    "texts",
+    [
+        ["a <|endoftext|> b", "plain words", "", "<|endoftext|><|endoftext|>", None, " x<|endoftext|>"],
+        ["<|endoftext|>"],
+        ["cut <|endof", "text|> here", "<|endoftext|", ">"],
+    ],
+)
+def test_added_tokens_are_those_of_the_library(texts):
+    import public_tokenizers as p
+    from tokenizers import Tokenizer
+
+    file = p.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(file)
+    ids, bounds = token_files._Encoder(open(file, "rb").read(), p.PATTERN).encode(*text_bytes(pa.array(texts)))
+    got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 # --- SimHash groups
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 from clickshop.llm import substrings
@@ -52,6 +55,16 @@ def test_token_files(spark, tables):
         at += r.n_tokens
 
 
+def test_token_files_hold_the_ids_of_the_default_call(spark, tricky):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = []
+    for doc, text in given(tricky, "documents", "doc_id", "text"):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        expected.append((doc, len(ids), brute.crc(ids.tobytes())))
+    rows = run(spark, tricky, "op1_token_files").collect()
+    assert ordered((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == ordered(expected)
+
+
 def test_decontamination(spark, tables):
     documents = given(tables, "documents", "doc_id", "text")
     expected = brute.decontamination(documents, given(tables, "benchmark", "item_id", "text"))
