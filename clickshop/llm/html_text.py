@@ -2,7 +2,8 @@
 
 The standard library's parser emits events; block-level tags cut them into lines, each
 with its text, the tags within it and the element that holds it.  Lines inside
-boilerplate elements (menus, forms, adverts, comments, ...) are set aside.  The rest get
+boilerplate elements (menus, forms, adverts, comments, ...) are set aside, unless a form or
+a class name only wraps the page's content (``_wrappers``).  The rest get
 a text-to-tag ratio, smoothed by a Gaussian; lines at or above the threshold form the
 content cluster, and the element that encloses the cluster is the content region, whose
 lines are all kept, short ones too.
@@ -48,7 +49,14 @@ MARKS = frozenset(
     " breadcrumbs newsletter subscribe signup login popup modal overlay pagination pager toolbar"
     " widget search copyright skip alert".split()
 )
+# First words of class names that tell what a page has around it, not what the part is.
+STATES = frozenset("no not has with without".split())
+# Marks of parts with text of their own, which may be longer than the article.
+OTHERS_TEXT = frozenset("comment comments disqus reply replies related recommended".split())
 HOLDERS = frozenset("article main".split())
+# Why an element is set aside: nothing, a form, a class name, a class name of other texts,
+# or for certain.
+NONE, FORM, CLASS, OTHER, SURE = range(5)
 #: Elements that an opening tag of the key closes, up to the nearest holder.
 CLOSES = {
     "li": ("li",),
@@ -63,13 +71,13 @@ SIGMA = 1.0
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "chrome")
+    __slots__ = ("tag", "parent", "depth", "mark")
 
-    def __init__(self, tag: str, parent: _Element | None, chrome: bool) -> None:
+    def __init__(self, tag: str, parent: _Element | None, mark: int) -> None:
         self.tag = tag
         self.parent = parent
         self.depth = parent.depth + 1 if parent else 0
-        self.chrome = chrome
+        self.mark = mark
 
 
 class _Line:
@@ -90,7 +98,7 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.top = _Element("", None, False)
+        self.top = _Element("", None, NONE)
         self.lines: list[_Line] = []
         self._parts: list[str] = []
         self._tags = 0
@@ -102,27 +110,31 @@ class _Lines(HTMLParser):
             self.lines.append(_Line(text, self._tags, self.top))
         self._parts, self._tags = [], 0
 
-    def _is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in CHROME:
-            return True
+    def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
+        if tag in CHROME and tag != "form":
+            return SURE
         in_article = self._within(HOLDERS)
         if tag == "header" and not in_article:
-            return True
+            return SURE
         if tag in HOLDERS or tag in ("html", "body"):
-            return False
+            return NONE
+        mark = FORM if tag == "form" else NONE
         for name, value in attrs:
             if name == "role" and value and value.lower() in ROLES:
-                return True
+                mark = max(mark, FORM if (tag, value.lower()) == ("form", "form") else SURE)
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
+                return SURE
             if name in ("class", "id") and value:
                 for part in value.split():
                     words = _words_of(part)
-                    if words and (words[0] in MARKS or words[-1] in MARKS):
-                        return True
+                    if not words or words[0] in STATES:
+                        continue
+                    ends = {words[0], words[-1]} & MARKS
+                    if ends:
+                        mark = max(mark, OTHER if ends & OTHERS_TEXT else CLASS)
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
-        return False
+                return SURE
+        return mark
 
     def _within(self, tags: frozenset[str]) -> bool:
         e: _Element | None = self.top
@@ -148,12 +160,11 @@ class _Lines(HTMLParser):
             return
         if tag in UNSEEN:
             self._unseen += 1
-            self.top = _Element(tag, self.top, True)
-        elif tag in BLOCKS or self._is_chrome(tag, attrs):
+            self.top = _Element(tag, self.top, SURE)
+        elif (mark := self._mark(tag, attrs)) or tag in BLOCKS:
             if tag not in BLOCKS:
                 self.flush()
-            chrome = self.top.chrome or self._is_chrome(tag, attrs)
-            self.top = _Element(tag, self.top, chrome)
+            self.top = _Element(tag, self.top, mark)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -218,6 +229,44 @@ def _enclosing(cluster: list[_Line]) -> _Element:
     return region
 
 
+def _wrappers(lines: list[_Line]) -> set[int]:
+    """Marked elements that wrap the content rather than stand beside it.
+
+    A class name does so around the main part, a form also around an article.  Without an
+    article or main part left, each does around more than half of the text, but for
+    comments and the like, which may be longer than the article.
+    """
+    marked: dict[int, _Element] = {}
+    weight: dict[int, int] = {}
+    holds: dict[int, set[str]] = {}
+    total = 0
+    for line in lines:
+        around = list(_ancestors(line.holder))
+        if any(e.mark == SURE for e in around):
+            continue
+        total += len(line.text)
+        tags: set[str] = set()
+        for e in around:
+            if e.mark:
+                marked[id(e)] = e
+                weight[id(e)] = weight.get(id(e), 0) + len(line.text)
+                holds.setdefault(id(e), set()).update(tags)
+            if e.tag in HOLDERS:
+                tags.add(e.tag)
+    found = {
+        i for i, e in marked.items() if "main" in holds[i] or (e.mark == FORM and holds[i])
+    }
+    if not any(e.tag in HOLDERS for x in _kept(lines, found) for e in _ancestors(x.holder)):
+        found |= {i for i, e in marked.items() if e.mark != OTHER and 2 * weight[i] > total}
+    return found
+
+
+def _kept(lines: list[_Line], wrappers: set[int]) -> list[_Line]:
+    return [
+        x for x in lines if all(not e.mark or id(e) in wrappers for e in _ancestors(x.holder))
+    ]
+
+
 def main_text(html: str | None) -> str:
     """The main text: content lines in page order, joined by two line feeds."""
     if not html:
@@ -226,7 +275,11 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = [x for x in parser.lines if not x.holder.chrome]
+    lines = (
+        _kept(parser.lines, _wrappers(parser.lines))
+        or [x for x in parser.lines if all(e.mark != SURE for e in _ancestors(x.holder))]
+        or parser.lines
+    )
     if not lines:
         return ""
     articles = [x for x in lines if any(e.tag in HOLDERS for e in _ancestors(x.holder))]

@@ -400,6 +400,25 @@ def test_main_text(page):
     assert html_text.main_text(page) == WANTED
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form id='aspnetForm'>{ARTICLE}</form></body>",
+        f"<body><a>Skip to it</a><form><nav>Menu</nav><article>{ARTICLE}</article><button>Go</button></form></body>",
+        f"<body><div class='container no-sidebar'>{ARTICLE}</div></body>",
+        f"<div class='has-sidebar'><article>{ARTICLE}</article></div><p>All rights reserved</p>",
+        f"<div class='sidebar-open'><main>{ARTICLE}</main></div><p>All rights reserved</p>",
+        f"<div class='menu-closed'><article>{ARTICLE}</article></div>",
+        f"<nav>{ARTICLE}</nav>",
+        f"<div>{ARTICLE}</div><div id='comments'><article>{'<p>A comment that goes on and on.</p>' * 40}</article></div>",
+        f"<article>{ARTICLE}<div class='comments'><article>{'<p>A comment that goes on and on.</p>' * 40}</article></div></article>",
+        f"<article>{ARTICLE}</article><form>{'<p>A question of a long survey of readers.</p>' * 40}</form>",
+    ],
+)
+def test_wrappers_do_not_hide_the_article(page):
+    assert html_text.main_text(page) == WANTED
+
+
 def test_smoothing_keeps_the_mean_level():
     assert html_text._smooth([2.0, 2.0, 2.0]) == pytest.approx([2.0, 2.0, 2.0])
 
