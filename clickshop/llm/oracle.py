@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickshop.llm import quality
+from clickshop.llm import collocations, quality
 from clickshop.llm.queries import CONTROL_TEXT, LISTED_HOSTS, URL_RULES
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -129,8 +129,51 @@ SELECT page_id, host, path,
 FROM named"""
 
 
+def phrase_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), parts AS (
+  SELECT lang, size, unnest([words[i : i + size - 1] for i in range(1, len(words) - size + 2)]) AS part
+  FROM cut, (SELECT unnest(generate_series(1, {collocations.LONGEST})) AS size)
+  WHERE len(words) >= size
+), counts AS (
+  SELECT lang, size, array_to_string(part, ' ') AS phrase, any_value(part) AS words, count(*) AS f
+  FROM parts GROUP BY lang, size, phrase
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT * FROM counts WHERE size >= 2 AND f >= {collocations.LEAST}
+), kept AS (
+  SELECT * FROM candidates AS c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates AS d
+    WHERE d.lang = c.lang AND d.size > c.size AND 100 * d.f >= 100 * c.f
+      AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+  SELECT lang, phrase, f, size, words, unnest(generate_series(1, size - 1)) AS k FROM kept
+), scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r, t.n,
+    ((1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts AS c
+  JOIN counts AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : c.k], ' ')
+  JOIN counts AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.k + 1 :], ' ')
+  JOIN totals AS t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {collocations.TOP}"""
+
+
 def statements() -> dict[str, str]:
     return {
+        "op11_collocations": phrase_sql(),
         "op3_quality_rules": quality_sql(),
         "op5_chat_format": chat_sql(),
         "op10_url_filter": url_sql(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickshop.llm import bpe, decontaminate, html_text, quality, reply_trees, secrets, simhash, substrings, token_files, urls
+from clickshop.llm import bpe, collocations, decontaminate, html_text, quality, reply_trees, secrets, simhash, substrings, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,10 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, listed, URL_RULES).drop("url")
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -163,6 +167,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": secret_scan,
         "op9_html_text": extract_html,
         "op10_url_filter": url_filter,
+        "op11_collocations": phrase_collocations,
         "pipeline": pipeline,
     }
 
