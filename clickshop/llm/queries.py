@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickshop.llm import bpe, collocations, decontaminate, html_text, quality, reply_trees, secrets, simhash, substrings, token_files, urls
+from clickshop.llm import bpe, collocations, decontaminate, html_text, licenses, periodic_runs, quality, reply_trees, secrets, simhash, substrings, token_files, urls
 from clickshop.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +149,41 @@ def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("notices", lambda n: n["base"])
+    starts = F.transform(base, lambda n: n["first_word"])
+    base_labels = F.array_sort(F.array_distinct(F.transform(base, lambda n: n["label"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(base_labels, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = periodic_runs.repeated_tail(F.col("text"), F.col("doc_id"))
+    found = periodic_runs.periodic_runs(documents.withColumn("text", text))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    milli = F.expr("(1000 * best.length) div best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        milli.alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -168,6 +203,8 @@ def queries() -> dict[str, Query]:
         "op9_html_text": extract_html,
         "op10_url_filter": url_filter,
         "op11_collocations": phrase_collocations,
+        "op12_license_scan": license_scan,
+        "op13_periodic_runs": period_runs,
         "pipeline": pipeline,
     }
 
