@@ -1,10 +1,9 @@
 """Phrase collocations per language, counted through broadcast double-array tries.
 
 Texts become shards of word numbers, at most ``SHARD`` words each, with a gap between pieces.
-A phrase of k + 1 words is a candidate only if its first k and its last k words are frequent,
-and if what the shards report could reach the least count: a shard of a share s of all words
-reports phrases found ``s * least`` times or more, and every silent shard is taken to
-hold as many as it may without reporting.  No frequent phrase can be missed so.
+A phrase of k + 1 words is a candidate only if its first k and its last k words are frequent;
+of these, each shard names the pairs of states and words it holds and how often, and a pair whose
+sum stays below the least count goes.  No frequent phrase can be missed so.
 
 The candidates of a length are cut into blocks of about ``BLOCK``.  Each block is a level of
 a trie, kept as a double array (base and check) over the block's own states and words, and
@@ -28,9 +27,9 @@ import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from clickshop.llm.common import others, prepare, text_bytes, work_dir, written
+from clickshop.llm.common import prepare, text_bytes, work_dir, written
 
-SHARD = 1 << 22
+SHARD = 1 << 19
 BLOCK = 1 << 20
 LEAST = 100
 LONGEST = 5
@@ -43,6 +42,10 @@ _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _IN_WORD = ~_BREAK
 _IN_WORD[[0x20, 0x09]] = False
 _GAP = -1
+_AT_ONCE = 1 << 16
+_HELD = 1 << 21
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_FAN = 64
 
 
 def collocations(
@@ -50,14 +53,14 @@ def collocations(
 ) -> DataFrame:
     """The ``top`` phrases of each language by association, with their counts."""
     spark = documents.sparkSession
-    prepare(spark)
+    prepare(spark, share=4)
     shards = _shards(documents, shard)
     words = _word_counts(shards)
     totals = written(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     places, phrases = _encode(shards, words.filter(F.col("f") >= least), block)
     levels = [phrases]
     for size in range(1, longest):
-        counted = _next_level(places, size, least, block, last=size + 1 == longest)
+        counted = _next_level(places, size, least, block)
         if counted is None:
             break
         places, edges = counted
@@ -115,7 +118,7 @@ def _shards(documents: DataFrame, shard: int) -> DataFrame:
         lists = [pa.array([0, len(counts)], pa.int32()), merged.dictionary.cast(pa.string())]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([places.tobytes()], pa.binary()),
+                pa.array([_packed(places)], pa.binary()),
                 pa.ListArray.from_arrays(*lists),
                 pa.ListArray.from_arrays(lists[0], pa.array(counts, pa.int64())),
             ],
@@ -149,71 +152,65 @@ def _word_counts(shards: DataFrame) -> DataFrame:
     return written(summed.select(lang.alias("lang"), word.alias("word"), "f"), "words")
 
 
-def _blocks(df: DataFrame, columns: list[str], block: int) -> Iterator[pa.Table]:
-    """``df`` in parts of about ``block`` rows, by hash; each part alone reaches the driver."""
-    rows = df.count()
-    parts = max(1, math.ceil(rows / block)) if rows else 0
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte place by byte place, so that the many high zeros pack to nothing."""
+    width = numbers.dtype.itemsize
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, width).T.tobytes()
+    return bytes([width]) + len(numbers).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width, n = packed[0], int.from_bytes(packed[1:9], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(packed[9:], decompressed_size=width * n), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(f"i{width}").reshape(-1)
+
+
+def _blocks(df: DataFrame, columns: list[str], block: int) -> Iterator[tuple[pa.Table, bool]]:
+    """``df`` in parts of about ``block`` rows, by hash, and if one is the last; each part alone reaches the driver."""
+    parts = math.ceil(df.count() / block)
     for part in range(parts):
-        yield df.filter(F.pmod(F.xxhash64(*columns), F.lit(parts)) == part).toArrow()
+        table = df.filter(F.pmod(F.xxhash64(*columns), F.lit(parts)) == part).toArrow()
+        if len(table):
+            yield table, part == parts - 1
 
 
 def _encode(shards: DataFrame, frequent: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     """Places as numbers of frequent words (0: none), and these words by number."""
     spark = shards.sparkSession
-    coded = shards.select("codes", "entries", F.lit(None).cast("binary").alias("ids"))
+    coded = shards.select("codes", "entries", F.lit(None).cast("binary").alias("words"))
     path, first = work_dir(spark, "vocabulary"), 1
     _empty(spark, "id long, lang string, phrase string, size int, f long").write.parquet(path)
-    blocks = 0
-    for table in _blocks(frequent, ["lang", "word"], block):
-        if not len(table):
-            continue
-        entries = pc.binary_join_element_wise(
-            table["lang"].cast(pa.string()), table["word"].cast(pa.string()), " "
-        ).combine_chunks()
+    for table, _ in _blocks(frequent, ["lang", "word"], block):
+        if first > 1:  # one block's workers at a time
+            coded = written(coded, "numbered")
+        entries = pc.binary_join_element_wise(*[table[c].combine_chunks().cast(pa.string()) for c in ("lang", "word")], " ")
         numbers = pa.array(np.arange(first, first + len(table)), pa.int64())
         level = pa.table([numbers, table["lang"], table["word"], table["f"]], ["id", "lang", "phrase", "f"])
         found = spark.createDataFrame(level).withColumn("size", F.lit(1))
         found.select("id", "lang", "phrase", "size", "f").write.mode("append").parquet(path)
         coded = coded.mapInArrow(_numbered(spark.sparkContext.broadcast((entries, first))), coded.schema)
-        blocks += 1
         first += len(table)
-        if blocks > 1:  # one block's workers at a time
-            coded = written(coded, "numbered")
-    places = written(coded.mapInArrow(_as_places, "words binary, states binary, n long"), "places")
-    return places, spark.read.parquet(path)
+    places = written(coded.select("words"), "places")
+    return places.select("words", F.col("words").alias("states")), spark.read.parquet(path)
 
 
 def _numbered(block: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, first = block.value
         for batch in batches:
-            for codes, entries, ids in zip(*batch.columns):
-                found = pc.index_in(entries.values, value_set=known.cast(entries.values.type)).fill_null(-1).to_numpy(zero_copy_only=False)
-                held = np.zeros(len(found), np.int32) if ids.as_py() is None else np.frombuffer(ids.as_buffer(), np.int32).copy()
-                held[found >= 0] = found[found >= 0] + first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([codes.as_py()], pa.binary()), pa.array([entries.as_py()], pa.list_(pa.string())), pa.array([held.tobytes()], pa.binary())],
-                    names=["codes", "entries", "ids"],
-                )
+            found = pc.index_in(batch.column(1).flatten(), value_set=known)
+            numbers = np.append(pc.add(found.cast(pa.int64()), first).fill_null(0).to_numpy(zero_copy_only=False), 0).astype(np.int32)
+            at, rows = 0, []
+            for (codes, held), size in zip(_arrays(batch, 0, 2), pc.list_value_length(batch.column(1)).to_pylist()):
+                words = numbers[np.where(codes < 0, len(numbers) - 1, codes + at)]  # the last one is for gaps
+                rows.append(_packed(np.maximum(words, held)))
+                at += size
+            columns = [batch.column(0), batch.column(1), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return run
 
 
-def _as_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for codes, entries, ids in zip(*batch.columns):
-            numbers = np.zeros(len(entries.values) + 1, np.int32)  # the last one is for gaps
-            if ids.as_py() is not None:
-                numbers[:-1] = np.frombuffer(ids.as_buffer(), np.int32)
-            words = numbers[np.frombuffer(codes.as_buffer(), np.int32)]
-            yield _place_row(words.tobytes(), words.tobytes(), np.count_nonzero(words))
-
-
-def _place_row(words: bytes, states: bytes, n: int) -> pa.RecordBatch:
-    columns = [pa.array([words], pa.binary()), pa.array([states], pa.binary()), pa.array([n], pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["words", "states", "n"])
-
-
 class DoubleArray:
     """A level of a trie: from a state by a word to the edge's number, in order of ``keys``.
 
@@ -224,8 +221,8 @@ class DoubleArray:
     def __init__(self, keys: np.ndarray) -> None:
         keys = np.sort(keys)
         self.keys = keys
-        self.states, rows = np.unique(keys >> 32, return_inverse=True)
-        self.words, symbols = np.unique(keys & 0xFFFFFFFF, return_inverse=True)
+        self.states, rows = np.unique((keys >> 32).astype(np.int32), return_inverse=True)
+        self.words, symbols = np.unique((keys & 0xFFFFFFFF).astype(np.int32), return_inverse=True)
         self.base = np.zeros(len(self.states), np.int64)
         degrees = np.bincount(rows, minlength=len(self.states))
         firsts = np.cumsum(degrees) - degrees
@@ -261,10 +258,13 @@ class DoubleArray:
         self.target[at] = np.arange(len(keys))
 
     def step(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The edges' numbers, -1 where there is none, for all places at once."""
-        out = np.full(len(states), -1, np.int64)
-        if not len(self.keys):
-            return out
+        """The edges' numbers, -1 where there is none, for all places."""
+        out = np.full(len(states), -1, np.int32)
+        for at in range(0, len(states) if len(self.keys) else 0, _AT_ONCE):
+            self._step(states[at : at + _AT_ONCE], words[at : at + _AT_ONCE], out[at : at + _AT_ONCE])
+        return out
+
+    def _step(self, states: np.ndarray, words: np.ndarray, out: np.ndarray) -> None:
         row = np.minimum(np.searchsorted(self.states, states), len(self.states) - 1)
         symbol = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         own = np.flatnonzero((self.states[row] == states) & (self.words[symbol] == words))
@@ -273,106 +273,161 @@ class DoubleArray:
         own, slot = own[inside], slot[inside]
         met = self.check[slot] == row[own]
         out[own[met]] = self.target[slot[met]]
-        return out
 
 
 def _steps(words: np.ndarray, states: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places with a frequent phrase of ``size`` words there and one word on; state and next word."""
     if len(words) <= size:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
     at = np.flatnonzero((states[:-size] > 0) & (states[1 : len(states) - size + 1] > 0))
-    return at, states[at].astype(np.int64), words[at + size].astype(np.int64)
+    return at, states[at], words[at + size]
 
 
-def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    for batch in batches:
-        for words, states, n in zip(*batch.columns):
-            yield np.frombuffer(words.as_buffer(), np.int32), np.frombuffer(states.as_buffer(), np.int32), n.as_py()
+def _arrays(batch: pa.RecordBatch, *columns: int) -> Iterator[list[np.ndarray]]:
+    """Rows of packed numbers; a null stands for zeros."""
+    for row in zip(*[batch.column(c) for c in columns]):
+        given = [None if x.as_py() is None else _unpacked(x.as_py()) for x in row]
+        yield [np.zeros_like(given[0]) if x is None else x for x in given]
 
 
-def _next_level(
-    places: DataFrame, size: int, least: int, block: int, last: bool
-) -> tuple[DataFrame, DataFrame] | None:
-    """Places with states of one word more, and the frequent edges to them; None without any."""
+def _next_level(places: DataFrame, size: int, least: int, block: int) -> tuple[DataFrame, DataFrame] | None:
+    """Places with states of one word more, and the edges to them; None without any."""
     spark = places.sparkSession
-    candidates = _candidates(places, size, least)
     path, first = work_dir(spark, "edges"), 1
-    _empty(spark, "id long, state long, word long, f long").write.parquet(path)
     moved = places.withColumn("next", F.lit(None).cast("binary"))
-    blocks = 0
-    for table in _blocks(candidates, ["key"], block):
-        if not len(table):
-            continue
-        trie = spark.sparkContext.broadcast(DoubleArray(table["key"].to_numpy()))
-        hits = places.mapInArrow(_counted(trie, size), "edge int, hits long").groupBy("edge").agg(F.sum("hits").alias("f"))
-        hits = hits.filter(F.col("f") >= least).toArrow().sort_by("edge")  # at most a block
-        own = hits["edge"].to_numpy()
-        if not len(own):
-            continue
-        keys, numbers = trie.value.keys[own], np.arange(first, first + len(own))
-        first += len(own)
-        edges = pa.table([pa.array(numbers), pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), hits["f"]], ["id", "state", "word", "f"])
+    for table, last in _blocks(_candidates(places, size, least), ["key"], block):
+        if first > 1:  # one block's workers at a time
+            moved = written(moved, "moved")
+        trie = DoubleArray(table["key"].to_numpy())
+        moved = moved.mapInArrow(_advanced(spark.sparkContext.broadcast(trie), first, size, last), moved.schema)
+        ids = pa.array(np.arange(first, first + len(trie.keys)))
+        edges = pa.table([ids, pa.array(trie.keys >> 32), pa.array(trie.keys & 0xFFFFFFFF)], ["id", "state", "word"])
         spark.createDataFrame(edges).write.mode("append").parquet(path)
-        if not last:
-            moved = moved.mapInArrow(_advanced(trie, own, int(numbers[0]), size), moved.schema)
-            blocks += 1
-            if blocks > 1:  # one block's workers at a time
-                moved = written(moved, "moved")
+        first += len(trie.keys)
     if first == 1:
         return None
-    if not last:
-        places = written(moved.select("words", F.col("next").alias("states"), "n"), "places")
-    return places, spark.read.parquet(path)
+    places = written(moved.select("words", F.col("next").alias("states")), "places")
+    return places, spark.read.parquet(path).join(_counts(places).filter(F.col("f") >= least), "id")
 
 
 def _candidates(places: DataFrame, size: int, least: int) -> DataFrame:
-    total = places.agg(F.sum("n")).first()[0] or 1
-
-    def silent(n: int) -> int:
-        """The most places of a phrase that a shard of n words need not report."""
-        return max(0, (least * n - 1) // total)
+    parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def told(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """The shard's keys, summed where they come from, in one packed row a part."""
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        part = ((keys.astype(np.uint64) * _ODD >> np.uint64(33)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        for i, own in enumerate(np.split(order, ends[:-1])):
+            if len(own):
+                yield _vectors(i, _packed(np.diff(keys[own], prepend=0)), _packed(counts[own]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, states, n in _arrays(batches):
-            _, state, word = _steps(words, states, size)
-            keys, counts = np.unique(state << 32 | word, return_counts=True)
-            told = counts > silent(n)
-            gain = counts[told] - silent(n)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[told], pa.int64()), pa.array(gain, pa.int64())], names=["key", "gain"])
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for words, states in _arrays(batch, 0, 1):
+                _, state, word = _steps(words, states, size)
+                held.append(state.astype(np.int64) << 32 | word)
+                if sum(map(len, held)) >= _HELD:
+                    yield from told(held)
+                    held = []
+        if held:
+            yield from told(held)
 
-    slack = places.agg(F.sum(F.greatest(F.lit(0), F.expr(f"({least} * n - 1) div {total}")))).first()[0] or 0
-    found = places.mapInArrow(run, "key long, gain long").groupBy("key").agg(F.sum("gain").alias("gain"))
-    return written(found.filter(F.col("gain") + slack >= least).select("key"), "candidates")
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The frequent keys of a partition, whose parts come from all shards."""
+        held = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for batch in batches:
+            for keys, counts in zip(batch.column(1), batch.column(2)):
+                held.append((np.cumsum(_unpacked(keys.as_py())), _unpacked(counts.as_py())))
+                if sum(len(k) for k, _ in held[1:]) >= max(_HELD, len(held[0][0])):
+                    held = [_summed_keys(held)]
+        keys, counts = _summed_keys(held)
+        keys = keys[counts >= least]
+        for at in range(0, len(keys), _AT_ONCE):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + _AT_ONCE])], names=["key"])
 
+    told_of = places.mapInArrow(run, "part long, keys binary, hits binary")
+    return written(told_of.repartition(parts, "part").mapInArrow(merged, "key long"), "candidates")
 
-def _counted(trie: Broadcast, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, states, _ in _arrays(batches):
-            _, state, word = _steps(words, states, size)
-            edges = trie.value.step(state, word)
-            hits = np.bincount(edges[edges >= 0], minlength=len(trie.value.keys))
-            own = np.flatnonzero(hits)
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(hits[own], pa.int64())], names=["edge", "hits"])
 
-    return run
+def _vectors(part: int, *vectors: bytes) -> pa.RecordBatch:
+    columns = [pa.array([part], pa.int64()), *[pa.array([v], pa.binary()) for v in vectors]]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "keys", "hits"][: len(columns)])
+
 
+def _summed_keys(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(keys, kind="stable")
+    keys, sums = keys[order], np.concatenate([[0], np.cumsum(counts[order])])
+    last = np.flatnonzero(np.append(keys[1:] != keys[:-1], True)[: len(keys)])
+    return keys[last], np.diff(sums[last + 1], prepend=0)
 
-def _advanced(trie: Broadcast, own: np.ndarray, first: int, size: int):
+
+def _advanced(trie: Broadcast, first: int, size: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = np.zeros(len(trie.value.keys) + 1, np.int32)  # infrequent edges lead nowhere
-        number[own] = np.arange(first, first + len(own))
         for batch in batches:
-            for row, (words, states, n) in zip(batch.column(3), _arrays([batch.select([0, 1, 2])])):
+            kept, rows = [], []
+            for words, states, held in _arrays(batch, 0, 1, 2):
                 at, state, word = _steps(words, states, size)
-                after = np.zeros(len(words), np.int32) if row.as_py() is None else np.frombuffer(row.as_buffer(), np.int32).copy()
-                found = number[trie.value.step(state, word)]
-                after[at[found > 0]] = found[found > 0]
-                kept = _place_row(words.tobytes(), states.tobytes(), n)
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([after.tobytes()], pa.binary())], names=["words", "states", "n", "next"])
+                edges = trie.value.step(state, word)
+                after = held.copy()
+                after[at[edges >= 0]] = edges[edges >= 0] + first
+                if last:  # only words that a live state may take next
+                    own = _steps(words, after, size + 1)[0] + size + 1
+                    left = np.zeros_like(words)
+                    left[own] = words[own]
+                    words = left
+                kept.append(_packed(words))
+                rows.append(_packed(after))
+            columns = [pa.array(kept, pa.binary()), batch.column(1), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return run
 
 
+def _accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many places accept each state, as vectors of ``_AT_ONCE`` states."""
+    hits = np.zeros(0, np.int64)
+    for batch in batches:
+        for (states,) in _arrays(batch, 1):
+            more = np.bincount(states, minlength=len(hits))
+            more[: len(hits)] += hits
+            hits = more
+    hits[:1] = 0  # no state
+    for part in range(0, len(hits), _AT_ONCE):
+        yield _vectors(part // _AT_ONCE, hits[part : part + _AT_ONCE].tobytes())
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            hits = np.frombuffer(data.as_buffer(), np.int64)
+            total = sums.setdefault(part, np.zeros(_AT_ONCE, np.int64))
+            total[: len(hits)] += hits
+    return sums
+
+
+def _counts(places: DataFrame) -> DataFrame:
+    """Each state's places: vectors of tasks, summed in two rounds."""
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, total in _summed(batches).items():
+            yield _vectors(part, total.tobytes())
+
+    def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, total in _summed(batches).items():
+            own = np.flatnonzero(total)
+            rows = [pa.array(own + part * _AT_ONCE, pa.int64()), pa.array(total[own], pa.int64())]
+            yield pa.RecordBatch.from_arrays(rows, names=["id", "f"])
+
+    vectors = places.mapInArrow(_accepted, "part long, keys binary").withColumn("salt", F.spark_partition_id() % _FAN)
+    salted = vectors.repartition("part", "salt").select("part", "keys").mapInArrow(once, "part long, keys binary")
+    return salted.repartition("part").mapInArrow(twice, "id long, f long")
+
+
 def _spelled(edges: DataFrame, before: DataFrame, words: DataFrame, size: int) -> DataFrame:
     start = before.select(F.col("id").alias("state"), "lang", "phrase")
     end = words.select(F.col("id").alias("word"), F.col("phrase").alias("added"))
