@@ -284,10 +284,11 @@ def _steps(words: np.ndarray, states: np.ndarray, size: int) -> tuple[np.ndarray
 
 
 def _arrays(batch: pa.RecordBatch, *columns: int) -> Iterator[list[np.ndarray]]:
-    """Rows of packed numbers; a null stands for zeros."""
+    """Rows of packed numbers; a null stands for as many zeros as the first column has numbers."""
     for row in zip(*[batch.column(c) for c in columns]):
         given = [None if x.as_py() is None else _unpacked(x.as_py()) for x in row]
-        yield [np.zeros_like(given[0]) if x is None else x for x in given]
+        size = 0 if given[0] is None else len(given[0])
+        yield [np.zeros(size, np.int32) if x is None else x for x in given]
 
 
 def _next_level(places: DataFrame, size: int, least: int, block: int) -> tuple[DataFrame, DataFrame] | None:

@@ -179,7 +179,8 @@ def runs_sql() -> str:
 WITH given AS (
   SELECT row_number() OVER () AS row_id, doc_id,
     list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}+'), lambda w: w <> '') AS words,
-    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {bits}::BIGINT[]), lambda c, x: {step})) AS h
+    CASE WHEN doc_id IS NOT NULL THEN
+      xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {bits}::BIGINT[]), lambda c, x: {step})) END AS h
   FROM documents
 ), drawn AS (
   SELECT *, len(words) AS n, (h // 10) % nullif(len(words), 0) AS a, h // 10 AS g FROM given

@@ -27,7 +27,6 @@ def lower(text: str | None) -> str:
 
 def token_ids(texts: list[str | None]) -> list[bytes]:
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     found = [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
     return [np.array(ids, "<u4").tobytes() for ids in found]
 
@@ -151,3 +150,78 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+# --- licences
+
+
+def licenses(documents: Rows, phrases: dict[str, str]) -> Rows:
+    """Id, words, places, first and last place, labels of the base phrases, by comparing word lists."""
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    rows = []
+    for doc, text in documents:
+        w = word.findall(lower(text))
+        places = []
+        for phrase, label in phrases.items():
+            own = phrase.split()
+            places += [(i, label) for i in range(len(w)) if w[i : i + len(own)] == own]
+        starts = [i for i, _ in places]
+        labels = ",".join(sorted({x for _, x in places}))
+        rows.append((doc, len(w), len(places), min(starts, default=None), max(starts, default=None), labels))
+    return rows
+
+
+def license_terms(tokens: list[str], label_of, freedom, exception: float) -> tuple[set[str], float]:
+    """A complete licence expression, by recursive descent."""
+    at = 0
+
+    def unit():
+        nonlocal at
+        if tokens[at] == "(":
+            at += 1
+            found = either()
+            at += 1
+            return found
+        label = label_of(tokens[at])
+        at += 1
+        if at < len(tokens) and tokens[at] == "with":
+            score = freedom(label)
+            found = {f"{label}-with-{label_of(tokens[at + 1])}"}, max(score, exception) if score else 0.0
+            at += 2
+            return found
+        return {label}, freedom(label)
+
+    def level(word, below, better):
+        nonlocal at
+        labels, score = below()
+        while at < len(tokens) and tokens[at] == word:
+            at += 1
+            more, other = below()
+            labels, score = labels | more, better(score, other)
+        return labels, score
+
+    def both():
+        return level("and", unit, min)
+
+    def either():
+        return level("or", both, max)
+
+    return either()
+
+
+# --- runs of words
+
+
+def word_runs(words: list) -> Rows:
+    """Start, length and least period of all maximal runs of four periods and six words or more."""
+    least = {}
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                least.setdefault((i, j - i + q), q)
+            i = j + 1
+    return sorted((start, length, q) for (start, length), q in least.items())

@@ -9,12 +9,12 @@ import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
-from clickshop.llm import substrings
+from clickshop.llm import licenses, substrings
 from parity import compare
 
 from . import brute
 
-SQL = ["op3_quality_rules", "op5_chat_format", "op10_url_filter"]
+SQL = ["op3_quality_rules", "op5_chat_format", "op10_url_filter", "op11_collocations", "op13_periodic_runs"]
 
 
 def given(sf_dir: str, table: str, *columns: str) -> list[tuple]:
@@ -116,6 +116,20 @@ def test_html_rows(spark, tables):
     assert all(r.n_chars == len(r.text) for r in rows)
 
 
+def test_license_scan_base(spark, tables):
+    rows = run(spark, tables, "op12_license_scan").collect()
+    expected = brute.licenses(given(tables, "documents", "doc_id", "text"), licenses.BASE_PHRASES)
+    assert ordered(tuple(r)[:6] for r in rows) == ordered(expected)
+    assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_license_scan_all_phrases(spark, tables):
+    found = licenses.scan(spark.read.parquet(f"{tables}/documents.parquet")).collect()
+    expected = brute.licenses(given(tables, "documents", "doc_id", "text"), licenses.BASE_PHRASES | licenses.MORE_PHRASES)
+    got = [(r.doc_id, r.n_words, len(r.notices), ",".join(sorted({n.label for n in r.notices}))) for r in found]
+    assert ordered(got) == ordered((e[0], e[1], e[2], e[5]) for e in expected)
+
+
 @pytest.mark.parametrize("name", [n for n in contract.queries() if n[:2] == "op" and n[2].isdigit()])
 def test_empty_tables(spark, empty, name):
     rows = run(spark, empty, name).collect()
