@@ -21,6 +21,9 @@ from clickshop.functions.picks import EVENT_ORDER
 # Fixed value: seconds between two events of one id that make them two orders.
 MAX_GAP_SECONDS = 3_600
 
+# Slices of ``event_gaps`` for each shuffle partition, so that they even out.
+SLICES_PER_TASK = 4
+
 _HOUR_MICROS = HOUR * MICROS_PER_SECOND
 
 # Staged columns that fct_orders reads, for callers that want orders only.
@@ -56,8 +59,8 @@ def dedupe_purchases(events: DataFrame, columns: list[str] | None = None) -> Dat
     columns = columns or events.columns
     starts = _bursts(events, [*dict.fromkeys([*EVENT_ORDER, *columns])]).where("starts_order")
     # An id may literally be spelled like another id's numbered key, so the key
-    # itself decides once more.
-    per_key = Window.partitionBy("order_key").orderBy(*[F.col("first")[c] for c in EVENT_ORDER])
+    # itself decides once more.  Both ids have one stem, so no row moves for that.
+    per_key = Window.partitionBy("stem", "order_key").orderBy(*[F.col("first")[c] for c in EVENT_ORDER])
     return (
         starts.withColumn("rank", F.row_number().over(per_key))
         .where("rank = 1")
@@ -73,16 +76,35 @@ def dedupe_purchases(events: DataFrame, columns: list[str] | None = None) -> Dat
 def event_gaps(events: DataFrame) -> DataFrame:
     """Every usable purchase event with the silence since its predecessor of the same id.
 
-    A hot id is one window partition here, sorted outside memory if need be: unlike the
-    orders, this report has a row for every event of it.
+    Events are cut into slices of even size by id and time, so a hot id spans as many tasks as it
+    fills.  Within a slice an event looks back one row; the first event of an id in a
+    slice takes the last time of the id's slice before.  Only these first events of an id
+    meet in one window, one per slice; the others stay spread by slice.
     """
     at = F.col("event_timestamp")
-    before = F.lag(at).over(Window.partitionBy("transaction_id").orderBy(*EVENT_ORDER))
-    return usable_purchases(events).select(
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = (
+        usable_purchases(events)
+        .select("transaction_id", *EVENT_ORDER)
+        .repartitionByRange(SLICES_PER_TASK * tasks, "transaction_id", *EVENT_ORDER)
+        .withColumn("slice", F.spark_partition_id())
+    )
+    own = Window.partitionBy("transaction_id", "slice")
+    in_time = own.orderBy(*EVENT_ORDER)
+    looked_back = sliced.select(
+        "*",
+        F.lag(at).over(in_time).alias("before"),
+        (F.row_number().over(in_time) == 1).alias("opens"),
+        F.max(at).over(own).alias("last"),
+    )
+    apart = F.when(F.col("opens"), -1).otherwise(F.col("slice"))
+    slices = Window.partitionBy("transaction_id", "lane").orderBy("slice")
+    carried = F.when(F.col("opens"), F.lag("last").over(slices)).otherwise(F.col("before"))
+    return looked_back.withColumn("lane", apart).select(
         "event_id",
         "transaction_id",
         F.timestamp_micros(at).alias("event_at"),
-        whole_units(at, before, SECOND).alias("seconds_since_prev_event"),
+        whole_units(at, carried, SECOND).alias("seconds_since_prev_event"),
     )
 
 
@@ -104,12 +126,13 @@ def order_clusters(events: DataFrame) -> DataFrame:
     """Every order of every id: its extent and how many events reported it."""
     return (
         _bursts(events, list(EVENT_ORDER))
-        .groupBy("transaction_id", "order_cluster", "order_key")
+        .groupBy("stem", "transaction_id", "order_cluster", "order_key")
         .agg(
             F.timestamp_micros(F.min("first_us")).alias("first_event_at"),
             F.timestamp_micros(F.max("last_us")).alias("last_event_at"),
             F.sum("events").alias("purchase_events"),
         )
+        .drop("stem")
     )
 
 
@@ -155,19 +178,26 @@ def _bursts(events: DataFrame, columns: list[str]) -> DataFrame:
             F.min_by(F.struct(*columns), F.struct(*EVENT_ORDER)).alias("first"),
         )
     )
-    per_id = Window.partitionBy("transaction_id")
+    per_id = Window.partitionBy("stem", "transaction_id")
     in_time = per_id.orderBy("hour_us")
     silence = whole_units(F.col("first_us"), F.lag("last_us").over(in_time), SECOND)
     gap = F.col("seconds_since_prev_event")
     so_far = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        merged.withColumn("seconds_since_prev_event", silence)
+        merged.withColumn("stem", order_stem(F.col("transaction_id")))
+        .repartition("stem")  # serves the windows by id and, later, by key
+        .withColumn("seconds_since_prev_event", silence)
         .withColumn("starts_order", gap.isNull() | (gap > MAX_GAP_SECONDS))
         .withColumn("order_cluster", F.sum(F.col("starts_order").cast("bigint")).over(so_far))
         .withColumn("order_key", _order_key(F.max("order_cluster").over(per_id)))
     )
 
 
+def order_stem(transaction_id: Column) -> Column:
+    """What ids share whose orders could get one key: an id without numbers of orders at its end."""
+    return F.regexp_replace(transaction_id, r"(_c[0-9]+)+$", "")
+
+
 def _order_key(clusters: Column) -> Column:
     txn = F.col("transaction_id")
     numbered = F.concat(txn, F.lit("_c"), F.col("order_cluster").cast("string"))

@@ -219,3 +219,37 @@ def test_every_usable_purchase_has_its_gap(shop):
         ("T", None),
         ("U", None),
     ]
+
+
+def _hot_purchases(spark, rows: int):
+    """Purchases of which every third has one id, in one second of one hour or spread."""
+    n = F.col("id")
+    hot = n % 3 == 0
+    return spark.range(rows).select(
+        n.alias("event_id"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("T"), n % 50)).alias("transaction_id"),
+        F.when(n % 101 == 7, None).when(hot, n * 7 % 900_000).otherwise(n * n % 997 * SECOND).alias("event_timestamp"),
+        F.lit(True).alias("is_purchase"),
+        (n % 7 == 1).alias("flag_missing_txn_id"),
+    )
+
+
+def test_gaps_of_a_hot_id_over_many_slices(spark):
+    events = _hot_purchases(spark, 20_000)
+    last: dict[str, int | None] = {}
+    expected = []
+    rows = [r for r in events.collect() if not r.flag_missing_txn_id]
+    by_time = lambda r: (r.event_timestamp is not None, r.event_timestamp or 0, r.event_id)
+    for r in sorted(rows, key=by_time):
+        at, before = r.event_timestamp, last.get(r.transaction_id)
+        gap = None if at is None or before is None else (at - before) // SECOND
+        expected.append((r.event_id, r.transaction_id, gap))
+        last[r.transaction_id] = at
+    found = event_gaps(events).select("event_id", "transaction_id", "seconds_since_prev_event")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_gaps_spread_a_hot_id_over_tasks(spark):
+    gaps = event_gaps(_hot_purchases(spark, 60_000))
+    sizes = sorted(r["count"] for r in gaps.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]

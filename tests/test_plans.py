@@ -92,7 +92,7 @@ def test_dedupe_merges_before_its_first_shuffle(events):
     steps = re.findall(r"(Exchange|SortAggregate|Window|WindowGroupLimit) \(", tree)
     # From the scan upwards: merge per hour, shuffle, merge, then the windows.
     assert steps[::-1][:4] == ["SortAggregate", "Exchange", "SortAggregate", "Exchange"]
-    assert steps.count("Exchange") == 3
+    assert steps.count("Exchange") == 2
 
 
 def test_sessions_are_reduced_before_their_only_shuffle(events):
