@@ -1,31 +1,118 @@
-"""Build every relation from raw events, in dependency order."""
+"""Build every relation from raw events, in dependency order, or again for some days."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickshop import operators as ops
+from clickshop.operators.orders import order_stem, usable_purchases
 from clickshop.plans import audit, marts
 from clickshop.sources import Store
+from clickshop.sources.store import NO_DAY, PARTITIONED, Draft
+
+_SESSION = ["user_pseudo_id", "ga_session_id"]
 
 
 def build(raw: DataFrame, store: Store, as_of: Column | None = None) -> dict[str, DataFrame]:
     """Write all relations to ``store`` and return them as read back.
 
     Each relation is written once and read from storage by everything built on
-    it, so shared inputs (staged events, orders, sessions) are computed once.
+    it, so shared inputs (staged events, orders, sessions) are computed once.  Readers see
+    them all together when the last one is written.
+    """
+    draft = store.begin()
+    events = draft.write("stg_events", ops.stage_events(raw))
+    deduped = draft.write("int_purchase_events_deduped", ops.dedupe_purchases(events))
+    orders = draft.write("fct_orders", ops.fct_orders(deduped))
+    draft.write("fct_order_items", ops.fct_order_items(deduped))
+    draft.write("int_sessions", ops.sessions(events, orders))
+    _write_reports(draft, as_of)
+    draft.commit()
+    return store.tables()
+
+
+def replace_days(raw: DataFrame, store: Store, days: list[str], as_of: Column | None = None) -> dict[str, DataFrame]:
+    """Build anew what the events of ``days`` (``yyyy-MM-dd``) change, given all events of these days.
+
+    The result equals a build from all events.  An order may go on over midnight, and an id that
+    gets a second order renames its first one, so all orders of ids that the days' purchases name,
+    before or now, are settled again from all their events; so are all sessions that
+    the days' events or those orders belong to.  Days of orders, items and sessions that hold none of them
+    keep their files.  Reports are small and written again.  Readers see the change at once.
     """
-    events = store.write("stg_events", ops.stage_events(raw))
-    deduped = store.write("int_purchase_events_deduped", ops.dedupe_purchases(events))
-    orders = store.write("fct_orders", ops.fct_orders(deduped))
-    items = store.write("fct_order_items", ops.fct_order_items(deduped))
-    sessions = store.write("int_sessions", ops.sessions(events, orders))
-    users = store.write("int_user_metrics", ops.user_metrics(sessions))
-    store.write("mart_user_ltv", ops.mart_user_ltv(users))
-    store.write("mart_daily_performance", marts.mart_daily_performance(sessions))
-    store.write("mart_funnel", marts.mart_funnel(sessions))
-    store.write("mart_landing_pages", marts.mart_landing_pages(events, sessions))
-    store.write("mart_product_performance", marts.mart_product_performance(items))
-    store.write("mart_retention", marts.mart_retention(sessions))
-    store.write("mart_data_quality", audit.mart_data_quality(events, sessions, as_of))
+    draft = store.begin()
+    before = {name: draft.read(name) for name in PARTITIONED}
+    staged = ops.stage_events(raw).where(_day("stg_events").isin(days))
+    events = draft.replace_days("stg_events", staged, set(days))
+    changed = [df.where(_day("stg_events").isin(days)) for df in (before["stg_events"], events)]
+
+    named = [usable_purchases(df).select(order_stem(F.col("transaction_id")).alias("stem")) for df in changed]
+    stems = draft.stash(_union(named).distinct())
+    again = ops.dedupe_purchases(_of_stems(events.where("is_purchase"), stems))
+    deduped = _replaced(draft, "int_purchase_events_deduped", again, lambda df, keep=True: _of_stems(df, stems, keep))
+    purchase_days = deduped.pop("days")
+    of_days = draft.read("int_purchase_events_deduped").where(_day("int_purchase_events_deduped").isin(*purchase_days))
+    orders = draft.replace_days("fct_orders", ops.fct_orders(of_days), purchase_days)
+    draft.replace_days("fct_order_items", ops.fct_order_items(of_days), purchase_days)
+
+    moved = [df.select(*_SESSION) for df in (*changed, deduped["out"], deduped["again"])]
+    touched = draft.stash(_union(moved).where(F.col("ga_session_id").isNotNull()).distinct())
+    old = _of_sessions(before["int_sessions"], touched)
+    # A session starts on its first event's day, so older days hold none of its dated events.
+    first = old.agg(F.min("session_date"), F.bool_or(F.col("session_date").isNull())).first()
+    dated = [str(d) for d in (first[0], *days) if d is not None and d != NO_DAY]
+    since = None if first[1] or not dated else min(dated)
+    recent = events if since is None else events.where(_since("event_date_dt", since))
+    own = ops.sessions(_of_sessions(recent, touched), _of_sessions(orders, touched))
+    _replaced(draft, "int_sessions", own, lambda df, keep=True: _of_sessions(df, touched, keep))
+    _write_reports(draft, as_of)
+    draft.commit()
     return store.tables()
+
+
+def _write_reports(draft: Draft, as_of: Column | None) -> None:
+    events, sessions = draft.read("stg_events"), draft.read("int_sessions")
+    users = draft.write("int_user_metrics", ops.user_metrics(sessions))
+    draft.write("mart_user_ltv", ops.mart_user_ltv(users))
+    draft.write("mart_daily_performance", marts.mart_daily_performance(sessions))
+    draft.write("mart_funnel", marts.mart_funnel(sessions))
+    draft.write("mart_landing_pages", marts.mart_landing_pages(events, sessions))
+    draft.write("mart_product_performance", marts.mart_product_performance(draft.read("fct_order_items")))
+    draft.write("mart_retention", marts.mart_retention(sessions))
+    draft.write("mart_data_quality", audit.mart_data_quality(events, sessions, as_of))
+
+
+def _replaced(draft: Draft, name: str, again: DataFrame, part) -> dict:
+    """Put ``again`` in place of the rows of ``part`` and tell both, and the days they lie in."""
+    old = draft.read(name)
+    out, again = part(old), draft.stash(again)
+    found = out.select(_day(name).alias("day")).union(again.select(_day(name).alias("day"))).distinct()
+    days = {r.day for r in found.collect()}  # one row a day
+    stay = part(old.where(_day(name).isin(*days)), keep=False) if days else None
+    rows = again if stay is None else stay.unionByName(again)
+    draft.replace_days(name, rows, days)
+    return {"out": out, "again": again, "days": days}
+
+
+def _day(name: str) -> Column:
+    return F.coalesce(F.col(PARTITIONED[name]).cast("string"), F.lit(NO_DAY))
+
+
+def _since(column: str, day: str) -> Column:
+    return F.col(column).isNull() | (F.col(column) >= F.lit(day).cast("date"))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _of_stems(df: DataFrame, stems: DataFrame, keep: bool = True) -> DataFrame:
+    same = order_stem(df["transaction_id"]).eqNullSafe(stems["stem"])
+    return df.join(stems, same, "left_semi" if keep else "left_anti")
+
+
+def _of_sessions(df: DataFrame, touched: DataFrame, keep: bool = True) -> DataFrame:
+    same = reduce(Column.__and__, [df[c].eqNullSafe(touched[c]) for c in _SESSION])
+    return df.join(touched, same, "left_semi" if keep else "left_anti")

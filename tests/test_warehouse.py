@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import _comparable
+from conftest import DAY, T0
 from clickshop.plans import checks
-from clickshop.plans.warehouse import build
+from clickshop.plans.warehouse import build, replace_days
 from clickshop.schemas import RELATIONS
-from clickshop.sources import Store, events_from_tables, scan_events, write_events
+from clickshop.sources import Store, events_from_tables, files, scan_events, write_events
+from clickshop.sources.store import CommitConflict
 from parity import compare, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -112,3 +114,103 @@ def test_source_without_event_ids_gives_the_same_orders_twice(spark, raw_path, t
 def test_store_needs_one_place(spark):
     with pytest.raises(ValueError, match="either"):
         Store(spark)
+
+
+# --- days replaced alone, commits
+
+
+def as_rows(df) -> list[str]:
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.mark.parametrize(
+    ("first", "then"),
+    [
+        (("20240101", "20240110"), [("20240111", "20240111"), ("20240112", "20240115")]),
+        # Days that come late, and again.
+        (("20240105", "20240131"), [("20240101", "20240104"), ("20240110", "20240110")]),
+    ],
+)
+def test_replacing_days_equals_a_build_of_all(spark, raw_path, tmp_path, first, then):
+    as_of = F.lit(oracle.AS_OF).cast("timestamp")
+    grown, whole = (Store(spark, path=str(tmp_path / n)) for n in ("grown", "whole"))
+    build(scan_events(spark, raw_path, *first, with_event_id=True), grown, as_of)
+    kept = grown.folders("stg_events")
+    for start, end in then:
+        raw = scan_events(spark, raw_path, start, end, with_event_id=True)
+        days = [str(r[0]) for r in raw.selectExpr("to_date(event_date, 'yyyyMMdd')").distinct().collect()]
+        replace_days(raw, grown, days, as_of)
+        kept = {day: f for day, f in kept.items() if day not in days}
+    ranges = [first, *then]
+    raw = scan_events(spark, raw_path, min(a for a, _ in ranges), max(b for _, b in ranges), with_event_id=True)
+    expected = build(raw, whole, as_of)
+    found = grown.tables()
+    for name in RELATIONS:
+        assert as_rows(found[name]) == as_rows(expected[name]), name
+    now = grown.folders("stg_events")
+    assert kept and all(now[day] == folder for day, folder in kept.items())
+
+
+def test_only_touched_days_are_written(spark, shop, tmp_path):
+    def buy(txn: str, at: int, user: str, session: int) -> dict:
+        return {"name": "purchase", "txn": txn, "at": at, "revenue": 1.0, "user": user, "session": session, "date": f"202403{at // DAY + 1:02d}"}
+
+    minute = 60_000_000
+    raw = shop.raw(
+        buy("A", 0, "u", 1), buy("B", DAY, "v", 1), buy("C", 3 * DAY - minute, "w", 1),
+        buy("C", 3 * DAY + minute, "w", 1), buy("A", 3 * DAY, "x", 2),
+    )
+    day = F.floor((F.col("event_timestamp") - T0) / DAY)
+    store = Store(spark, path=str(tmp_path))
+    build(raw.where(day < 3), store)
+    names = ("int_purchase_events_deduped", "fct_orders", "fct_order_items", "int_sessions")
+    before = {name: store.folders(name) for name in names}
+    reader = store.read("fct_orders")
+    old = as_rows(reader)
+    tables = replace_days(raw.where(day == 3), store, ["2024-03-04"])
+    # C goes on over midnight; A has a second order now, which renames its first one.
+    orders = {(r.order_key, str(r.order_date)) for r in tables["fct_orders"].collect()}
+    assert orders == {("A_c1", "2024-03-01"), ("A_c2", "2024-03-04"), ("B", "2024-03-02"), ("C", "2024-03-03")}
+    for name in names[:2]:
+        after = store.folders(name)
+        assert after["2024-03-02"] == before[name]["2024-03-02"]
+        assert after["2024-03-01"] != before[name]["2024-03-01"]
+    assert store.folders("int_sessions")["2024-03-02"] == before["int_sessions"]["2024-03-02"]
+    assert as_rows(reader) == old  # a frame read before still reads the old files
+    store.expire()
+    assert as_rows(store.read("fct_orders")) == as_rows(tables["fct_orders"])
+    assert len(files.children(spark, f"{tmp_path}/_commits")) == 1
+
+
+def test_readers_see_old_or_new_only(spark, raw_path, tmp_path):
+    store = Store(spark, path=str(tmp_path))
+    raw = scan_events(spark, raw_path, "20240101", "20240103", with_event_id=True)
+    build(raw, store)
+    old = {name: as_rows(df) for name, df in store.tables().items()}
+    draft = store.begin()
+    draft.write("fct_orders", store.read("fct_orders").limit(1))
+    draft.write("mart_funnel", store.read("mart_funnel").limit(0))
+    assert {name: as_rows(df) for name, df in store.tables().items()} == old
+    assert draft.read("fct_orders").count() == 1
+    draft.commit()
+    assert store.read("fct_orders").count() == 1 and store.read("mart_funnel").count() == 0
+
+
+def test_the_second_of_two_writers_fails(spark, raw_path, tmp_path):
+    store = Store(spark, path=str(tmp_path))
+    build(scan_events(spark, raw_path, "20240101", "20240102", with_event_id=True), store)
+    one, two = store.begin(), store.begin()
+    for draft, rows in ((one, 1), (two, 0)):
+        draft.write("mart_funnel", store.read("mart_funnel").limit(rows))
+    one.commit()
+    with pytest.raises(CommitConflict):
+        two.commit()
+    assert store.read("mart_funnel").count() == 1
+    assert not [n for n in files.children(spark, f"{tmp_path}/_commits") if n.endswith(".part")]
+
+
+def test_rows_of_other_days_are_refused(spark, raw_path, tmp_path):
+    store = Store(spark, path=str(tmp_path))
+    build(scan_events(spark, raw_path, "20240101", "20240102", with_event_id=True), store)
+    with pytest.raises(ValueError, match="other days"):
+        store.begin().replace_days("fct_orders", store.read("fct_orders"), {"1999-01-01"})
