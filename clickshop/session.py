@@ -21,3 +21,17 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only where all run in one process, as in tests, a local folder serves instead.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
+    return named.rstrip("/")

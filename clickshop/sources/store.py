@@ -76,9 +76,10 @@ class Store:
         return {name: self.load(name, manifest) for name in RELATIONS}
 
     def register_views(self) -> None:
-        """Make every relation available to SQL under its own name."""
-        for name, df in self.tables().items():
-            df.createOrReplaceTempView(name)
+        """Make every relation that the store holds available to SQL under its own name."""
+        manifest = self._newest()[1]
+        for name in manifest if self.database is None else RELATIONS:
+            self.load(name, manifest).createOrReplaceTempView(name)
 
     def load(self, name: str, manifest: Manifest) -> DataFrame:
         if self.database is not None:
