@@ -1,23 +1,29 @@
 """HTML extraction: the main text of a page from a stream of parser events.
 
 The standard library's parser emits events; block-level tags cut them into lines, each
-with its text, the tags within it and the element that holds it.  Lines inside
-boilerplate elements (menus, forms, adverts, comments, ...) are set aside, unless a form or
-a class name only wraps the page's content (``_wrappers``).  The rest get
-a text-to-tag ratio, smoothed by a Gaussian; lines at or above the threshold form the
-content cluster, and the element that encloses the cluster is the content region, whose
-lines are all kept, short ones too.
+with its text, the tags within it and the element that holds it.  A line's text-to-tag ratio,
+smoothed over its neighbours by a Gaussian, is its score.  Names of elements and classes only weigh it:
+menus, forms, adverts, comments and the like count little or nothing, and so does what lies
+outside the articles of a page that has some; a form or class that wraps the content does not count as one.
+The threshold is half the mean score.  Lines give their element what they
+have above it, or take from it what they lack; the container with the greatest sum is the content
+region, widened to the article or main part it lies in.  All its lines are kept, short ones too, but for
+boilerplate elements within it whose sum is below zero, and, where the region is the whole page, other
+containers with such a sum; what holds a first heading stays.
 
 Null and empty html give an empty text.  Each row is read on its own, so repeated rows
-and ids change nothing; an empty table gives an empty result.  Other columns pass through.
+and ids change nothing; an empty table gives an empty result.  A page of any length and depth is read whole,
+in time and memory in proportion to it.  End tags that HTML lets one omit need not be there.  Other columns pass
+through, but for one named ``text``, which is replaced.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections import Counter
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -49,14 +55,25 @@ MARKS = frozenset(
     " breadcrumbs newsletter subscribe signup login popup modal overlay pagination pager toolbar"
     " widget search copyright skip alert".split()
 )
-# First words of class names that tell what a page has around it, not what the part is.
-STATES = frozenset("no not has with without".split())
+# Words beside a mark that leave it one; any other word makes it a name of its own.
+PLAIN = frozenset(
+    "area bar block bottom box button buttons col container content entry fixed global group inner item items"
+    " left link links list main outer page panel post primary right row secondary section site sticky text"
+    " top wrap wrapper".split()
+)
 # Marks of parts with text of their own, which may be longer than the article.
 OTHERS_TEXT = frozenset("comment comments disqus reply replies related recommended".split())
 HOLDERS = frozenset("article main".split())
-# Why an element is set aside: nothing, a form, a class name, a class name of other texts,
+PAGE = frozenset(["", "html", "body"])
+# Blocks that hold a text but no content region.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 hr li dt dd pre blockquote caption figcaption summary legend address".split())
+# What may stand in a head; anything else ends one that is open.
+HEAD = frozenset("title meta link style script noscript base template".split())
+# Why an element counts little: nothing, a form, a class name, a class name of other texts,
 # or for certain.
 NONE, FORM, CLASS, OTHER, SURE = range(5)
+WEIGHTS = {NONE: 1.0, FORM: 0.02, CLASS: 0.02, OTHER: 0.0, SURE: 0.0}
+BESIDE_ARTICLE = 0.02
 #: Elements that an opening tag of the key closes, up to the nearest holder.
 CLOSES = {
     "li": ("li",),
@@ -65,19 +82,28 @@ CLOSES = {
     "tr": ("tr", "td", "th"),
     "td": ("td", "th"),
     "th": ("td", "th"),
+    "tbody": ("tr", "td", "th", "tbody", "thead"),
+    "tfoot": ("tr", "td", "th", "tbody", "thead"),
     "option": ("option",),
 }
 SIGMA = 1.0
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "mark")
+    __slots__ = ("tag", "parent", "mark", "article", "chars", "sum", "weight", "holds", "title", "wraps", "cut", "inside")
 
     def __init__(self, tag: str, parent: _Element | None, mark: int) -> None:
         self.tag = tag
         self.parent = parent
-        self.depth = parent.depth + 1 if parent else 0
         self.mark = mark
+        #: The nearest article or main part around, itself included.
+        self.article: _Element | None = self if tag in HOLDERS else parent and parent.article
+        self.chars = 0  # of lines within
+        self.sum = 0.0  # of what lines within have above the threshold
+        self.holds: set[str] = set()  # articles and main parts within
+        self.title = False  # a first heading within
+        self.wraps = self.cut = self.inside = False
+        self.weight = 1.0
 
 
 class _Line:
@@ -94,12 +120,14 @@ def _words_of(name: str) -> list[str]:
 
 
 class _Lines(HTMLParser):
-    """Cuts the event stream into lines."""
+    """Cuts the event stream into lines and keeps the elements, parents first."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.top = _Element("", None, NONE)
+        self.elements = [self.top]
         self.lines: list[_Line] = []
+        self._open = [Counter()]  # tags open below each article, so that an end tag is found at once
         self._parts: list[str] = []
         self._tags = 0
         self._unseen = 0
@@ -113,7 +141,7 @@ class _Lines(HTMLParser):
     def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if tag in CHROME and tag != "form":
             return SURE
-        in_article = self._within(HOLDERS)
+        in_article = self.top.article is not None
         if tag == "header" and not in_article:
             return SURE
         if tag in HOLDERS or tag in ("html", "body"):
@@ -126,32 +154,39 @@ class _Lines(HTMLParser):
                 return SURE
             if name in ("class", "id") and value:
                 for part in value.split():
-                    words = _words_of(part)
-                    if not words or words[0] in STATES:
-                        continue
-                    ends = {words[0], words[-1]} & MARKS
-                    if ends:
-                        mark = max(mark, OTHER if ends & OTHERS_TEXT else CLASS)
+                    words = set(_words_of(part))
+                    if words & MARKS and words <= MARKS | PLAIN and not (in_article and "header" in words):
+                        mark = max(mark, OTHER if words & OTHERS_TEXT else CLASS)
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return SURE
         return mark
 
-    def _within(self, tags: frozenset[str]) -> bool:
-        e: _Element | None = self.top
-        while e is not None:
-            if e.tag in tags:
-                return True
-            e = e.parent
-        return False
+    def _push(self, tag: str, mark: int) -> None:
+        self.top = _Element(tag, self.top, mark)
+        self.elements.append(self.top)
+        self._open[-1][tag] += 1
+        if tag in HOLDERS:
+            self._open.append(Counter())
+
+    def _pop(self) -> _Element:
+        closed = self.top
+        self.top = closed.parent or closed
+        if closed.tag in HOLDERS:
+            self._open.pop()
+        self._open[-1][closed.tag] -= 1
+        if closed.tag in UNSEEN:
+            self._unseen -= 1
+        return closed
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.top.tag == "head" and tag not in HEAD:
+            self._pop()
         if tag in BLOCKS:
             self.flush()
             if self.top.tag == "p":  # a block ends an open paragraph
-                self.top = self.top.parent
-            closing = CLOSES.get(tag, ())
-            if self.top.tag in closing:
-                self.top = self.top.parent
+                self._pop()
+            while self.top.tag in CLOSES.get(tag, ()):
+                self._pop()
         else:
             self._tags += 1
         if tag == "br":
@@ -160,11 +195,12 @@ class _Lines(HTMLParser):
             return
         if tag in UNSEEN:
             self._unseen += 1
-            self.top = _Element(tag, self.top, SURE)
+            self._push(tag, SURE)
         elif (mark := self._mark(tag, attrs)) or tag in BLOCKS:
             if tag not in BLOCKS:
                 self.flush()
-            self.top = _Element(tag, self.top, mark)
+            self._push(tag, mark)
+            self.top.title = tag == "h1"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -173,124 +209,106 @@ class _Lines(HTMLParser):
             self.flush()
 
     def handle_endtag(self, tag: str) -> None:
-        e: _Element | None = self.top
-        while e is not None and e.tag != tag:
-            # An end tag inside an article never closes what lies outside it.
-            e = None if e.tag in HOLDERS and tag not in ("body", "html") else e.parent
-        if tag in BLOCKS or e is not None:
+        # An end tag inside an article never closes what lies outside it, but for the page's own.
+        scopes = self._open if tag in PAGE else self._open[-1:]
+        closes = tag in HOLDERS and len(self._open) > 1 and self.top.article.tag == tag or any(x[tag] for x in scopes)
+        if tag in BLOCKS or closes:
             self.flush()
-        if e is None:
-            if tag not in BLOCKS:
-                self._tags += 1
-            return
-        while True:
-            closed = self.top
-            self.top = closed.parent or closed
-            if closed.tag in UNSEEN:
-                self._unseen -= 1
-            if closed is e:
-                return
+        if closes:
+            while self._pop().tag != tag:
+                pass
+        elif tag not in BLOCKS:
+            self._tags += 1
 
     def handle_data(self, data: str) -> None:
+        if self.top.tag == "head" and not data.isspace():
+            self._pop()
         if not self._unseen:
             self._parts.append(data)
 
 
 def _smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     reach = max(1, math.ceil(2 * sigma))
-    kernel = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)]
-    out = []
-    for i in range(len(values)):
-        total = weight = 0.0
-        for k, w in enumerate(kernel):
-            j = i + k - reach
-            if 0 <= j < len(values):
-                total += w * values[j]
-                weight += w
-        out.append(total / weight)
-    return out
-
-
-def _ancestors(e: _Element | None) -> Iterator[_Element]:
-    while e is not None:
-        yield e
-        e = e.parent
-
-
-def _enclosing(cluster: list[_Line]) -> _Element:
-    """The element that holds the cluster; widened to the article or main part around it."""
-    shared = list(_ancestors(cluster[0].holder))
-    for line in cluster[1:]:
-        own = set(map(id, _ancestors(line.holder)))
-        shared = [e for e in shared if id(e) in own]
-    region = shared[0]
-    if region.tag not in ("", "html", "body"):
-        region = next((e for e in shared if e.tag in HOLDERS), region)
-    return region
+    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    around = np.convolve(np.ones(len(values)), kernel)[reach:-reach]
+    return (np.convolve(values, kernel)[reach:-reach] / around).tolist()
 
 
-def _wrappers(lines: list[_Line]) -> set[int]:
-    """Marked elements that wrap the content rather than stand beside it.
+def _weigh(elements: list[_Element], lines: list[_Line]) -> None:
+    """Each element's weight, from its mark and those around it.
 
-    A class name does so around the main part, a form also around an article.  Without an
-    article or main part left, each does around more than half of the text, but for
-    comments and the like, which may be longer than the article.
+    A mark for a form or a class name does not count if the element wraps the content: around an
+    article or, for a class, a main part, or around more than half of its article's text, or of
+    the page's where it has no article.
     """
-    marked: dict[int, _Element] = {}
-    weight: dict[int, int] = {}
-    holds: dict[int, set[str]] = {}
     total = 0
     for line in lines:
-        around = list(_ancestors(line.holder))
-        if any(e.mark == SURE for e in around):
-            continue
+        line.holder.chars += len(line.text)
         total += len(line.text)
-        tags: set[str] = set()
-        for e in around:
-            if e.mark:
-                marked[id(e)] = e
-                weight[id(e)] = weight.get(id(e), 0) + len(line.text)
-                holds.setdefault(id(e), set()).update(tags)
-            if e.tag in HOLDERS:
-                tags.add(e.tag)
-    found = {
-        i for i, e in marked.items() if "main" in holds[i] or (e.mark == FORM and holds[i])
-    }
-    if not any(e.tag in HOLDERS for x in _kept(lines, found) for e in _ancestors(x.holder)):
-        found |= {i for i, e in marked.items() if e.mark != OTHER and 2 * weight[i] > total}
-    return found
-
-
-def _kept(lines: list[_Line], wrappers: set[int]) -> list[_Line]:
-    return [
-        x for x in lines if all(not e.mark or id(e) in wrappers for e in _ancestors(x.holder))
-    ]
+    for e in reversed(elements):
+        if (up := e.parent) is not None:
+            up.chars += e.chars if e.mark < OTHER else 0
+            up.holds |= e.holds | ({e.tag} & HOLDERS if e.chars else set())
+            up.title |= e.title
+    has_article = bool(elements[0].holds)
+    for e in elements:
+        up = e.parent
+        if up is None:
+            e.weight = BESIDE_ARTICLE if has_article else 1.0
+            continue
+        e.weight = up.weight
+        if e.tag in HOLDERS and up.article is None:
+            e.weight /= BESIDE_ARTICLE
+        if e.mark in (FORM, CLASS):
+            base = up.article or (None if has_article else elements[0])
+            e.wraps = "main" in e.holds or (e.mark == FORM and bool(e.holds)) or (base is not None and 2 * e.chars > base.chars)
+        if not e.wraps:
+            e.weight *= WEIGHTS[e.mark]
+
+
+def _region(elements: list[_Element], lines: list[_Line]) -> _Element:
+    """The content region; marks in elements below it what is cut."""
+    ratio = _smooth([len(x.text) / (1 + x.tags) for x in lines])
+    scores = [r * x.holder.weight for r, x in zip(ratio, lines)]
+    if not any(scores):  # all is boilerplate: the ratio alone decides
+        scores = ratio
+        for e in elements:
+            e.mark = NONE
+    threshold = _threshold(scores)
+    for score, line in zip(scores, lines):
+        line.holder.sum += score - threshold
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.sum += e.sum
+    region = max((e for e in elements if e.tag not in LEAVES), key=lambda e: e.sum)
+    region = region.article or region
+    whole = region.tag in PAGE
+    for e in elements:
+        up = e.parent
+        e.inside = e is region or (up is not None and up.inside)
+        if up is not None and up.inside:
+            odd = (e.mark != NONE and not e.wraps) or (whole and e.tag not in LEAVES and e.tag not in PAGE)
+            e.cut = up.cut or (e.sum < 0 and odd and not (e.title and e.mark <= CLASS))
+    return region
+
+
+def _threshold(scores: list[float]) -> float:
+    return sum(scores) / len(scores) / 2
 
 
 def main_text(html: str | None) -> str:
-    """The main text: content lines in page order, joined by two line feeds."""
+    """The main text: the region's lines in page order, joined by two line feeds."""
     if not html:
         return ""
     parser = _Lines()
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = (
-        _kept(parser.lines, _wrappers(parser.lines))
-        or [x for x in parser.lines if all(e.mark != SURE for e in _ancestors(x.holder))]
-        or parser.lines
-    )
-    if not lines:
+    if not parser.lines:
         return ""
-    articles = [x for x in lines if any(e.tag in HOLDERS for e in _ancestors(x.holder))]
-    ratio = _smooth([len(x.text) / (1 + x.tags) for x in lines])
-    threshold = sum(ratio) / len(ratio) / 2
-    cluster = [x for x, r in zip(lines, ratio) if r >= threshold]
-    if articles:
-        inside = set(map(id, articles))
-        cluster = [x for x in cluster if id(x) in inside] or articles
-    region = _enclosing(cluster)
-    return "\n\n".join(x.text for x in lines if any(e is region for e in _ancestors(x.holder)))
+    _weigh(parser.elements, parser.lines)
+    _region(parser.elements, parser.lines)
+    return "\n\n".join(x.text for x in parser.lines if x.holder.inside and not x.holder.cut)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
