@@ -1,8 +1,9 @@
 """Secret scans through nested encodings.
 
 Base patterns run over a text.  A worklist then unwraps encoded runs, layer by layer:
-URL escapes, backslash escapes, base64, hexadecimal bytes and compressed data.  Decoded
-bytes need not be text: every readable stretch of them counts, in UTF-16 too.  Each new
+URL escapes, backslash and octal escapes, base64, hexadecimal bytes and compressed data
+(gzip, zlib of any window, bzip2, xz, members of zip files, and raw deflate where it is all that a run
+or a layer decodes to).  Decoded bytes need not be text: every readable stretch of them counts, in UTF-16 too.  Each new
 layer is scanned again and unwrapped again until nothing new comes out; a layer that was
 seen before in the same text is not opened twice, which ends cycles.  Every layer carries
 a map to the original text, so a secret found three layers down is reported as a span of
@@ -10,7 +11,8 @@ the text itself.
 
 Positions are code points, the end exclusive.  Null and empty texts have no spans; rows
 are read one by one, so repeated rows and ids change nothing; an empty table gives an
-empty result.  Other columns pass through.
+empty result.  A text of any length is scanned whole; one task holds it.  Other columns pass through,
+but for those named ``base_spans`` and ``spans``, which are replaced.
 """
 
 from __future__ import annotations
@@ -47,7 +49,8 @@ KEYWORDS = ("passw", "secret", "token", "api")
 URL_UNIT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 URL_ESCAPE = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 SLASH_ESCAPE = re.compile(
-    r"\\(?:u005[cC])*(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8}))"
+    r"\\(?:u005[cC])*(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8})|([0-3][0-7]{2}))"
+    r"|%(?:25)*u([0-9A-Fa-f]{4})"
 )
 # Lines of a wrapped run belong together, indented or not.
 BASE64_RUN = re.compile(
@@ -55,22 +58,30 @@ BASE64_RUN = re.compile(
     r"(?:\r?\n[\t\x20]*+[A-Za-z0-9+/_-]++)*+"
 )
 HEX_RUN = re.compile(
-    r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{32,}+|[0-9A-Fa-f]++(?=\r?\n))"
+    r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{28,}+|[0-9A-Fa-f]++(?=\r?\n))"
     r"(?:\r?\n[\t\x20]*+[0-9A-Fa-f]++)*+"
 )
-BASE64_LEAST, HEX_LEAST = 16, 32
+BASE64_LEAST, HEX_LEAST = 16, 28
 LINE = re.compile(r"[^\t\n\r\x20]+")
 _BREAKS = str.maketrans("", "", "\t\n\r\x20")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
 # No pattern or encoding uses other characters than these, so decoded bytes are read in
 # stretches of them.  A shorter one cannot hold a match ("token=" and 8 characters), nor
 # an encoding of one.
+STRETCH_LEAST = 14
 STRETCH = re.compile(r"[\t\n\r\x20-\x7E]{14,}")
 WIDE_STRETCH = re.compile(r"(?:[\t\n\r\x20-\x7E]\x00){14,}|(?:\x00[\t\n\r\x20-\x7E]){14,}")
-PACKED = re.compile(rb"\x1F\x8B\x08|x[\x01\x5E\x9C\xDA]|BZh[1-9]|\xFD7zXZ\x00", re.DOTALL)
+# A zlib header: deflate, a window of 256 bytes to 32 KB, no preset dictionary, a multiple of 31.
+_ZLIB = [bytes([8 + 16 * w, f]) for w in range(8) for f in range(256) if (256 * (8 + 16 * w) + f) % 31 == 0 and not f & 32]
+# gzip, zlib, bzip2, xz, and a deflated member of a zip file.
+_MAGIC = (rb"\x1F\x8B\x08", b"|".join(map(re.escape, _ZLIB)), rb"BZh[1-9]", rb"\xFD7zXZ\x00", rb"PK\x03\x04.{4}\x08\x00")
+_KINDS = [re.compile(b"(?:%b)" % magic, re.DOTALL) for magic in _MAGIC]
+PACKED = re.compile(b"|".join(_MAGIC), re.DOTALL)
+GZIP, ZLIB, BZIP2, XZ, ZIP, DEFLATE = range(6)
+_WINDOW = {GZIP: 31, ZLIB: 15, ZIP: -15, DEFLATE: -15}
+_ZIP_HEADER = 30
 BYTES = re.compile(r"[\x00-\xFF]+")
 BINARY = re.compile(r"[\x00-\x08\x0E-\x1F\x7F-\xFF]")
-_MAGIC = (b"\x1f\x8b", b"x", b"BZh", b"\xfd7zXZ\x00")
 #: Compressed data is fed and opened in blocks, and scanned in pieces of about ``PIECE``
 #: bytes.  A piece repeats the last ``OVERLAP`` bytes of the one before, and more where an
 #: encoded run or compressed data within it goes on.
@@ -117,31 +128,34 @@ def base_spans(text: str) -> list[Span]:
 class _Packed:
     """Compressed data of one kind, from ``first`` of ``data`` on, member after member."""
 
-    def __init__(self, data: bytes, first: int) -> None:
+    def __init__(self, data: bytes, first: int, kind: int | None = None) -> None:
         self.data = data
-        self.kind = next(i for i, magic in enumerate(_MAGIC) if data.startswith(magic, first))
+        self.kind = next(i for i, magic in enumerate(_KINDS) if magic.match(data, first)) if kind is None else kind
         self.first = first
         #: Past the last whole member; the end of the data if a member is cut off or damaged.
         self.end = first
         self.whole = self.damaged = False
 
     def _decoder(self):
-        if self.kind < 2:
-            return zlib.decompressobj((31, 15)[self.kind])
-        return bz2.BZ2Decompressor() if self.kind == 2 else lzma.LZMADecompressor(lzma.FORMAT_XZ)
+        if self.kind in _WINDOW:
+            return zlib.decompressobj(_WINDOW[self.kind])
+        return bz2.BZ2Decompressor() if self.kind == BZIP2 else lzma.LZMADecompressor(lzma.FORMAT_XZ)
 
     def _member(self, at: int) -> Iterator[bytes]:
-        decoder, rest = self._decoder(), b""
+        decoder, rest, flate = self._decoder(), b"", self.kind in _WINDOW
+        if self.kind == ZIP:
+            names = self.data[at + _ZIP_HEADER - 4 : at + _ZIP_HEADER]
+            at += _ZIP_HEADER + int.from_bytes(names[:2], "little") + int.from_bytes(names[2:], "little")
         while not decoder.eof:
-            if not rest and (self.kind < 2 or decoder.needs_input):
+            if not rest and (flate or decoder.needs_input):
                 rest = self.data[at : at + BLOCK]
                 at += len(rest)
                 if not rest:
-                    if self.kind < 2:
+                    if flate:
                         yield decoder.flush()
                     break
             out = decoder.decompress(rest, BLOCK)
-            rest = decoder.unconsumed_tail if self.kind < 2 else b""
+            rest = decoder.unconsumed_tail if flate else b""
             yield out
         self.whole = decoder.eof
         self.end = at - len(decoder.unused_data)
@@ -159,7 +173,7 @@ class _Packed:
             at = self.end
             while self.data.startswith(b"\x00", at):  # padding
                 at += 1
-            if not self.whole or not self.data.startswith(_MAGIC[self.kind], at):
+            if not self.whole or self.kind == DEFLATE or not _KINDS[self.kind].match(self.data, at):
                 return
 
 
@@ -247,6 +261,21 @@ def _stretches(layer: _Layer) -> Iterator[_Layer]:
         a, b = m.span()
         yield _Layer(m[0], layer.at[a:b], layer.to[a:b])
     yield from _binary(layer)
+    if not layer.binary:
+        yield from _deflated(layer)
+
+
+def _deflated(layer: _Layer) -> Iterator[_Layer]:
+    """What a run or a whole layer decodes to, opened as deflated data without a header, which must fill it."""
+    if not BYTES.fullmatch(layer.text):
+        return
+    data = layer.text.encode("latin-1")
+    packed = _Packed(data, 0, DEFLATE)
+    size = sum(map(len, packed.blocks()))
+    # An alignment of base64 or hexadecimal digits may leave up to two bytes more.
+    if packed.whole and size >= STRETCH_LEAST and packed.end >= len(data) - 2:
+        for piece in _pieces(_Packed(data, 0, DEFLATE).blocks()):
+            yield _fixed(piece.decode("latin-1"), int(layer.at[0]), int(layer.to[-1]))
 
 
 def _binary(layer: _Layer) -> Iterator[_Layer]:
@@ -302,7 +331,7 @@ def _url_text(m: re.Match) -> str:
 
 
 def _slash_text(m: re.Match) -> str | None:
-    code = int(m[1] or m[2] or m[3] or m[4], 16)
+    code = int(m[5], 8) if m[5] else int(m[1] or m[2] or m[3] or m[4] or m[6], 16)
     return chr(code) if code < 0xD800 or 0xDFFF < code < 0x110000 else None
 
 
@@ -314,13 +343,15 @@ def _inner(layer: _Layer) -> Iterator[_Layer]:
         raw = _unescaped(layer, URL_ESCAPE, _url_bytes)
         if BINARY.search(raw.text):
             yield from _binary(raw)
+            yield from _deflated(raw)
             if "+" in text:  # a space in forms
                 spaced = layer._replace(text=text.replace("+", " "))
                 yield from _binary(_unescaped(spaced, URL_ESCAPE, _url_bytes))
-    if "\\" in text and (plain := _unescaped(layer, SLASH_ESCAPE, _slash_text)):
+    if ("\\" in text or "%" in text) and (plain := _unescaped(layer, SLASH_ESCAPE, _slash_text)):
         yield plain
         if BINARY.search(plain.text):
             yield from _binary(plain)
+            yield from _deflated(plain)
     for pattern, least, bits in ((BASE64_RUN, BASE64_LEAST, 6), (HEX_RUN, HEX_LEAST, 4)):
         for decoded in _decoded(layer, pattern, least, bits):
             yield from _stretches(decoded)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from collections import defaultdict
@@ -225,3 +227,51 @@ def word_runs(words: list) -> Rows:
                 least.setdefault((i, j - i + q), q)
             i = j + 1
     return sorted((start, length, q) for (start, length), q in least.items())
+
+
+# --- secrets in layers
+
+
+def hidden_kinds(data: bytes, depth: int) -> set[str]:
+    """Kinds of secrets in bytes and in all that can be decoded from them, ``depth`` times over."""
+    found = set()
+    for text in (data.decode("latin-1"), data[::2].decode("latin-1"), data[1::2].decode("latin-1")):
+        found |= {kind for kind, _, _ in base_spans(text)}
+    if depth:
+        for inner in set(unwrapped(data)):
+            found |= hidden_kinds(inner, depth - 1)
+    return found
+
+
+def unwrapped(data: bytes):
+    for run in re.findall(rb"[A-Za-z0-9+/_-]{16,}", data):
+        for i in range(4):
+            part = run[i:].translate(bytes.maketrans(b"-_", b"+/"))
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            yield base64.b64decode(part + b"=" * (-len(part) % 4))
+    for run in re.findall(rb"[0-9A-Fa-f]{28,}", data):
+        for i in range(2):
+            yield bytes.fromhex(run[i : i + (len(run) - i) // 2 * 2].decode())
+    yield re.sub(rb"%([0-9A-Fa-f]{2})", lambda m: bytes.fromhex(m[1].decode()), data)
+    escape = rb"(?:\\u|%u)00([0-9A-Fa-f]{2})|\\x([0-9A-Fa-f]{2})"
+    yield re.sub(escape, lambda m: bytes.fromhex((m[1] or m[2]).decode()), data)
+    yield re.sub(rb"\\([0-3][0-7]{2})", lambda m: bytes([int(m[1], 8)]), data)
+    for i in range(len(data)):
+        for open_ in (
+            lambda x: zlib.decompressobj(47).decompress(x),
+            lambda x: bz2.BZ2Decompressor().decompress(x),
+            lambda x: lzma.LZMADecompressor().decompress(x),
+        ):
+            try:
+                out = open_(data[i:])
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                continue
+            if out:
+                yield out
+        if data[i : i + 4] == b"PK\x03\x04":
+            names = int.from_bytes(data[i + 26 : i + 28], "little") + int.from_bytes(data[i + 28 : i + 30], "little")
+            yield zlib.decompressobj(-15).decompress(data[i + 30 + names :])
+    try:
+        yield zlib.decompressobj(-15).decompress(data)
+    except zlib.error:
+        pass
