@@ -42,6 +42,8 @@ from clickshop.llm.two_stage import Strings
 LENGTH = 50
 GRAM = 24
 HOT_CHUNKS = 256
+#: Text of a bucket of chunks, and the most buckets that Spark makes unless told otherwise.
+BUCKET_BYTES, MOST_BUCKETS = 8 << 20, 100_000
 #: Bytes of keys in one part, and of stretches sorted at a time.
 PART_BYTES = 8 << 20
 SORT_BYTES = 1 << 20
@@ -142,7 +144,7 @@ def pack(documents: DataFrame) -> tuple[DataFrame, int]:
 
     source = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, math.ceil(total / (8 << 20)))
+    buckets = bucket_count(total)
     name = f"chunks_{uuid.uuid4().hex}"
     (
         source.mapInArrow(chunks, "chunk long, ids binary, sizes binary, blob binary")
@@ -155,6 +157,14 @@ def pack(documents: DataFrame) -> tuple[DataFrame, int]:
     return spark.table(name), total
 
 
+def bucket_count(total: int) -> int:
+    """Buckets of about ``BUCKET_BYTES`` of text; larger ones where there would be more than Spark allows.
+
+    A bucket is read chunk by chunk, so its size bounds no memory.
+    """
+    return min(MOST_BUCKETS, max(1, math.ceil(total / BUCKET_BYTES)))
+
+
 def _unique_keys(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
     """Distinct keys in order, whether each lies in several texts, and the runs by key."""
     begin, end, key = chunk.runs()

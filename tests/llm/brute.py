@@ -244,6 +244,7 @@ def hidden_kinds(data: bytes, depth: int) -> set[str]:
 
 
 def unwrapped(data: bytes):
+    yield data.replace(b"\0", b"")  # UTF-16
     for run in re.findall(rb"[A-Za-z0-9+/_-]{16,}", data):
         for i in range(4):
             part = run[i:].translate(bytes.maketrans(b"-_", b"+/"))

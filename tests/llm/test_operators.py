@@ -17,7 +17,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from clickshop.llm import bpe, components, decontaminate, fm_index, html_text, pieces
-from clickshop.llm import reply_trees, secrets, simhash, token_files, urls
+from clickshop.llm import reply_trees, secrets, simhash, substrings, token_files, urls
 from clickshop.llm.common import text_bytes
 from clickshop.llm.two_stage import Strings
 
@@ -152,6 +152,11 @@ def test_added_tokens_are_those_of_the_library(texts):
     assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize(("size", "buckets"), [(0, 1), (1, 1), (9 << 20, 2), (10 << 40, 100_000), (100 << 40, 100_000)])
+def test_buckets_of_chunks_stay_within_sparks_limit(size, buckets):
+    assert substrings.bucket_count(size) == buckets
+
+
 # --- SimHash groups
 
 

@@ -37,7 +37,7 @@ def zipped(data: bytes) -> bytes:
 def window(bits: int):
     def pack(data: bytes) -> bytes:
         c = zlib.compressobj(9, zlib.DEFLATED, bits)
-        return c.compress(data * 2) + c.flush()
+        return c.compress(data) + c.flush()
 
     return pack
 
