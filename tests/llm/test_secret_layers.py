@@ -79,10 +79,11 @@ def test_layers_three_deep():
         for name in reversed(chain):
             if name is not None:
                 data = (TEXT | PACKED)[name](data)
-        if chain[-1] is None or chain[-1] in TEXT or chain[0] in TEXT:
-            text = TEXT["base64"](data).decode() if chain[0] not in TEXT else data.decode("latin-1")
-            assert kind in brute.hidden_kinds(text.encode("latin-1"), 5), chain
-            assert kind in kinds(f"see {text} end"), chain
+        text = data.decode("latin-1")  # the outermost layer is text
+        assert kind in brute.hidden_kinds(data, 5), chain
+        # Raw deflate has no mark of its own: other words beside its escapes would hide where it starts.
+        bare = chain[1] == "deflate" and chain[0] not in ("base64", "hex", "HEX")
+        assert kind in kinds(text if bare else f"see {text} end"), chain
 
 
 def test_plain_texts_hide_nothing():
