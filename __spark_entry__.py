@@ -22,7 +22,7 @@ from clickshop.functions import exact_sum  # noqa: E402
 from clickshop.operators.items import ITEM_INPUT  # noqa: E402
 from clickshop.operators.orders import ORDER_INPUT  # noqa: E402
 from clickshop.operators.sessions import FIRST_TOUCH  # noqa: E402
-from clickshop.plans import audit, checks, marts, profile  # noqa: E402
+from clickshop.plans import audit, checks, marts, profile, reach  # noqa: E402
 from clickshop.schemas import RELATIONS  # noqa: E402
 from clickshop.session import configure, shared_folder  # noqa: E402
 from clickshop.plans.warehouse import build, replace_days  # noqa: E402
@@ -183,6 +183,9 @@ def _reports() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "stored_daily_performance": _stored_daily_performance,
         "stored_days_replaced": _stored_days_replaced,
         "views_by_name": _views_by_name,
+        "checks_while_writing": _checks_while_writing,
+        "users_per_month": _users_per_month,
+        "stored_freshness": _stored_freshness,
         # Checks
         "check_not_null": lambda w: checks.not_null_report(w.stg_events),
         "check_unique": lambda w: checks.check_report(w, checks.UNIQUE_CHECKS),
@@ -336,6 +339,33 @@ def _views_by_name(w: Warehouse) -> DataFrame:
     return w.spark.sql(oracle.VIEW_SQL.format(sessions="int_sessions"))
 
 
+def _checks_while_writing(w: Warehouse) -> DataFrame:
+    """Row checks of two relations, counted by the jobs that write them."""
+    store = Store(w.spark, path=f"{_new_folder(w.spark)}/tables")
+    draft = store.begin()
+    orders = draft.write("fct_orders", w.fct_orders, checks.row_metrics("fct_orders"))
+    draft.write("int_sessions", ops.sessions(w.stg_events, orders), checks.row_metrics("int_sessions"))
+    draft.commit()
+    own = [c for c in checks.ALL_CHECKS if isinstance(c, checks.RowCheck) and c.relation in store.metrics()]
+    return checks.written_report(store, own)
+
+
+def _stored_freshness(w: Warehouse) -> DataFrame:
+    """Age of the newest stored event, read from file footers."""
+    store = Store(w.spark, path=f"{_new_folder(w.spark)}/tables")
+    store.write("stg_events", w.stg_events)
+    return audit.stored_freshness(store, _as_of())
+
+
+def _users_per_month(w: Warehouse) -> DataFrame:
+    """Distinct users per month and channel, from the bitmaps of its days."""
+    sessions = w.int_sessions.select("session_date", "channel_group", "user_pseudo_id")
+    numbers = reach.number_values(sessions.select("user_pseudo_id"), f"{_new_folder(w.spark)}/users")
+    daily = reach.reach(sessions, numbers, "user_pseudo_id", ["session_date", "channel_group"])
+    month = F.trunc("session_date", "month").alias("month")
+    return reach.reached(reach.merged(daily, [month, "channel_group"]), ["month", "channel_group"])
+
+
 def _comparable(df: DataFrame) -> DataFrame:
     """``df`` with zone-free timestamps, and item arrays as their size and ordered text."""
     columns = []

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickshop.functions import one_row, ratio, whole_units
 from clickshop.functions.numbers import HOUR, MICROS_PER_SECOND
 from clickshop.operators.staging import NOT_SET
+from clickshop.sources.store import Store
 
 # Checks whose findings are failures rather than warnings.
 FAILING = ["missing_transaction_id", "negative_revenue", "impossible_duration"]
@@ -58,6 +59,16 @@ def mart_data_quality(
 
 def freshness(events: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Age of the newest event and whether it is tolerable."""
+    return _age(events.agg(F.max("event_timestamp").alias("newest_us")), as_of)
+
+
+def stored_freshness(store: Store, as_of: Column | None = None) -> DataFrame:
+    """``freshness`` of the stored events, from the footers of their files."""
+    _, newest = store.extremes("stg_events", "event_timestamp")
+    return _age(store.spark.createDataFrame([(newest,)], "newest_us bigint"), as_of)
+
+
+def _age(newest: DataFrame, as_of: Column | None) -> DataFrame:
     now = F.current_timestamp() if as_of is None else as_of
     age = F.unix_micros(now) - F.col("newest_us")
 
@@ -65,7 +76,7 @@ def freshness(events: DataFrame, as_of: Column | None = None) -> DataFrame:
         return age > hours * HOUR * MICROS_PER_SECOND
 
     status = F.when(older_than(ERROR_HOURS), "error").when(older_than(WARN_HOURS), "warn")
-    return events.agg(F.max("event_timestamp").alias("newest_us")).select(
+    return newest.select(
         F.timestamp_micros("newest_us").alias("newest_event_at"),
         now.alias("checked_at"),
         whole_units(F.unix_micros(now), F.col("newest_us"), HOUR).alias("age_hours"),

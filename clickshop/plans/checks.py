@@ -16,6 +16,7 @@ from clickshop.functions import exact_sum, one_row, round_half_away
 from clickshop.operators.orders import dedupe_purchases, usable_purchases
 from clickshop.operators.sessions import session_core
 from clickshop.plans.marts import DAILY_DIMENSIONS
+from clickshop.sources.store import Store
 
 Tables = Mapping[str, DataFrame]
 
@@ -211,9 +212,34 @@ UNIQUE_CHECKS: list[Check] = [
     UniqueCheck(f"unique_{relation}_{column}", relation, column)
     for relation, column in UNIQUE_KEYS
 ]
+#: Name of the count of all rows among a relation's metrics.
+EXAMINED = "examined"
 ALL_CHECKS = [*BUSINESS_CHECKS, *NOT_NULL_CHECKS, *UNIQUE_CHECKS]
 
 
+def row_metrics(relation: str) -> dict[str, Column]:
+    """What all row checks of a relation count, to be taken while it is written."""
+    own = [c for c in ALL_CHECKS if isinstance(c, RowCheck) and c.relation == relation]
+    counts = {check.name: F.count_if(check.offends()) for check in own}
+    return {EXAMINED: F.count(F.lit(1)), **counts} if own else {}
+
+
+def written_report(store: Store, checks: list[Check] | None = None) -> DataFrame:
+    """``check_report`` on a store; row checks taken while writing read no data again."""
+    taken = store.metrics()
+    rows, open_checks = [], []
+    for check in ALL_CHECKS if checks is None else checks:
+        counts = taken.get(check.relation, {}) if isinstance(check, RowCheck) else {}
+        if check.name in counts:
+            wrong = counts[check.name]
+            rows.append((check.name, counts[EXAMINED], wrong, "fail" if wrong else "pass"))
+        else:
+            open_checks.append(check)
+    schema = "check_name string, examined bigint, violations bigint, status string"
+    found = store.spark.createDataFrame(rows, schema)
+    return found.unionByName(check_report(store.tables(), open_checks)) if open_checks else found
+
+
 def check_report(tables: Tables, checks: list[Check] | None = None) -> DataFrame:
     """One row per check: what it examined, its violations and its status.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickshop import operators as ops
 from clickshop.operators.orders import order_stem, usable_purchases
 from clickshop.plans import audit, marts
+from clickshop.plans.checks import row_metrics
 from clickshop.sources import Store
 from clickshop.sources.store import NO_DAY, PARTITIONED, Draft
 
@@ -23,11 +24,11 @@ def build(raw: DataFrame, store: Store, as_of: Column | None = None) -> dict[str
     them all together when the last one is written.
     """
     draft = store.begin()
-    events = draft.write("stg_events", ops.stage_events(raw))
-    deduped = draft.write("int_purchase_events_deduped", ops.dedupe_purchases(events))
-    orders = draft.write("fct_orders", ops.fct_orders(deduped))
-    draft.write("fct_order_items", ops.fct_order_items(deduped))
-    draft.write("int_sessions", ops.sessions(events, orders))
+    events = _write(draft, "stg_events", ops.stage_events(raw))
+    deduped = _write(draft, "int_purchase_events_deduped", ops.dedupe_purchases(events))
+    orders = _write(draft, "fct_orders", ops.fct_orders(deduped))
+    _write(draft, "fct_order_items", ops.fct_order_items(deduped))
+    _write(draft, "int_sessions", ops.sessions(events, orders))
     _write_reports(draft, as_of)
     draft.commit()
     return store.tables()
@@ -74,14 +75,19 @@ def replace_days(raw: DataFrame, store: Store, days: list[str], as_of: Column |
 
 def _write_reports(draft: Draft, as_of: Column | None) -> None:
     events, sessions = draft.read("stg_events"), draft.read("int_sessions")
-    users = draft.write("int_user_metrics", ops.user_metrics(sessions))
-    draft.write("mart_user_ltv", ops.mart_user_ltv(users))
-    draft.write("mart_daily_performance", marts.mart_daily_performance(sessions))
-    draft.write("mart_funnel", marts.mart_funnel(sessions))
-    draft.write("mart_landing_pages", marts.mart_landing_pages(events, sessions))
-    draft.write("mart_product_performance", marts.mart_product_performance(draft.read("fct_order_items")))
-    draft.write("mart_retention", marts.mart_retention(sessions))
-    draft.write("mart_data_quality", audit.mart_data_quality(events, sessions, as_of))
+    users = _write(draft, "int_user_metrics", ops.user_metrics(sessions))
+    _write(draft, "mart_user_ltv", ops.mart_user_ltv(users))
+    _write(draft, "mart_daily_performance", marts.mart_daily_performance(sessions))
+    _write(draft, "mart_funnel", marts.mart_funnel(sessions))
+    _write(draft, "mart_landing_pages", marts.mart_landing_pages(events, sessions))
+    _write(draft, "mart_product_performance", marts.mart_product_performance(draft.read("fct_order_items")))
+    _write(draft, "mart_retention", marts.mart_retention(sessions))
+    _write(draft, "mart_data_quality", audit.mart_data_quality(events, sessions, as_of))
+
+
+def _write(draft: Draft, name: str, df: DataFrame) -> DataFrame:
+    """Write a relation and take the counts of its row checks in the same job."""
+    return draft.write(name, df, row_metrics(name))
 
 
 def _replaced(draft: Draft, name: str, again: DataFrame, part) -> dict:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clickshop.schemas import RELATIONS, columns_of, conforming
 from clickshop.sources import files
@@ -25,6 +27,8 @@ _SCRATCH = "_scratch"
 
 # Relation -> folder of a day ("" without days) -> its path below the store.
 Manifest = dict[str, dict[str, str]]
+# Relation -> counts taken while it was written.
+Metrics = dict[str, dict[str, int]]
 
 
 class CommitConflict(RuntimeError):
@@ -57,7 +61,7 @@ class Store:
     def begin(self) -> Draft:
         """Changes to several relations that become visible together."""
         version, manifest = self._newest()
-        return Draft(self, version, manifest)
+        return Draft(self, version, manifest, self.metrics())
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Replace relation ``name`` alone and return it as read back."""
@@ -94,6 +98,27 @@ class Store:
         # Folder columns come last when read back; restore the declared order.
         return conforming(stored.select(*[c for c, _ in columns_of(RELATIONS[name])]), name)
 
+    def metrics(self) -> Metrics:
+        """Counts taken while relations were written, of those that were written in whole."""
+        numbers = [] if self.database is not None else self._commits()
+        return self._commit(numbers[-1])["metrics"] if numbers else {}
+
+    def extremes(self, name: str, column: str) -> tuple[int | None, int | None]:
+        """The least and greatest value of a numeric column, from the files' footers alone."""
+        if self.database is not None:
+            raise ValueError("footers are asked in a store with a path only")
+        with _footers(self.spark):
+            found = self._footer_query(name, column)
+            return (None, None) if found is None else tuple(found.first())
+
+    def _footer_query(self, name: str, column: str) -> DataFrame | None:
+        folders = sorted(self._newest()[1][name].values())
+        if not folders:
+            return None
+        reader = self.spark.read.schema(RELATIONS[name]).option("basePath", f"{self.path}/{name}")
+        rows = reader.parquet(*[f"{self.path}/{folder}" for folder in folders])
+        return rows.agg(F.min(column), F.max(column))
+
     def folders(self, name: str) -> dict[str, str]:
         """The folders of a relation as of the newest commit, by day."""
         return dict(self._newest()[1].get(name, {}))
@@ -117,9 +142,12 @@ class Store:
     def _commit_file(self, number: int) -> str:
         return f"{self.path}/{_COMMITS}/{number:08d}.json"
 
-    def _manifest(self, number: int) -> Manifest:
+    def _commit(self, number: int) -> dict:
         return json.loads(files.read_text(self.spark, self._commit_file(number)))
 
+    def _manifest(self, number: int) -> Manifest:
+        return self._commit(number)["folders"]
+
     def _newest(self) -> tuple[int, Manifest]:
         if self.database is not None or not (numbers := self._commits()):
             return 0, {}
@@ -133,14 +161,22 @@ class Draft:
     store: Store
     base: int
     manifest: Manifest
+    metrics: Metrics
     name: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace relation ``name`` in whole and return it as read back."""
+    def write(self, name: str, df: DataFrame, counts: dict[str, Column] | None = None) -> DataFrame:
+        """Replace relation ``name`` in whole and return it as read back.
+
+        ``counts`` are aggregates taken by the job that writes, in its last stage, whose tasks count once.
+        """
+        seen = Observation() if counts else None
         if self.store.database is not None:
             self._save(name, df).saveAsTable(f"{self.store.database}.{name}")
         else:
-            self.manifest[name] = self._written(name, df)
+            self.manifest[name] = self._written(name, df, counts, seen)
+            self.metrics.pop(name, None)
+            if seen is not None:
+                self.metrics[name] = dict(seen.get)
         return self.read(name)
 
     def replace_days(self, name: str, df: DataFrame, days: set[str]) -> DataFrame:
@@ -154,6 +190,7 @@ class Draft:
         if set(added) - days:
             raise ValueError(f"{name}: rows of other days: {sorted(set(added) - days)}")
         self.manifest[name] = kept | added
+        self.metrics.pop(name, None)
         return self.read(name)
 
     def stash(self, df: DataFrame) -> DataFrame:
@@ -170,28 +207,46 @@ class Draft:
         spark, store = self.store.spark, self.store
         if store.database is not None:
             return
-        if not files.write_new(spark, store._commit_file(self.base + 1), json.dumps(self.manifest)):
+        if not files.write_new(spark, store._commit_file(self.base + 1), json.dumps({"folders": self.manifest, "metrics": self.metrics})):
             raise CommitConflict(f"commit {self.base + 1} of {store.path} exists; begin again")
         for name in files.children(spark, f"{store.path}/{_SCRATCH}"):
             if name.startswith(self.name):
                 files.remove(spark, f"{store.path}/{_SCRATCH}/{name}")
 
-    def _save(self, name: str, df: DataFrame):
+    def _save(self, name: str, df: DataFrame, counts: dict[str, Column] | None = None, seen: Observation | None = None):
         rows, day = conforming(df, name), PARTITIONED.get(name)
         if day is not None:  # few files a day, and several for a day that is too large
             rows = rows.hint("rebalance", day)
+        if counts and seen is not None:
+            rows = rows.observe(seen, *[c.alias(k) for k, c in counts.items()])
         writer = rows.write.mode("overwrite").format("parquet")
         return writer if day is None else writer.partitionBy(day)
 
-    def _written(self, name: str, df: DataFrame) -> dict[str, str]:
+    def _written(
+        self, name: str, df: DataFrame, counts: dict[str, Column] | None = None, seen: Observation | None = None
+    ) -> dict[str, str]:
         folder = f"{name}/version={self.name}-{uuid.uuid4().hex[:8]}"
-        self._save(name, df).save(f"{self.store.path}/{folder}")
+        self._save(name, df, counts, seen).save(f"{self.store.path}/{folder}")
         if name not in PARTITIONED:
             return {"": folder}
         found = files.children(self.store.spark, f"{self.store.path}/{folder}")
         return {day_of(f): f"{folder}/{f}" for f in found if f.startswith(f"{PARTITIONED[name]}=")}
 
 
+@contextmanager
+def _footers(spark: SparkSession) -> Iterator[None]:
+    """Within, Parquet answers min, max and count from its footers; settings are put back after."""
+    wanted = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def day_of(folder: str) -> str:
     """The day of a day's folder, as text; ``NO_DAY`` for rows without one."""
     return folder.rpartition("=")[2]

@@ -128,6 +128,6 @@ def test_registered_plans(spark, name):
     assert not re.search(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas", text)
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     # Without a use of items, their join to the line table is gone.
-    needs_items = re.search(r"item|categor|product|param_compl|orders_deduped|not_null|missing_order", name)
+    needs_items = re.search(r"item|categor|product|param_compl|orders_deduped|not_null|missing_order|freshness", name)
     if not needs_items and name not in ("stage_events", "stage_event_params"):
         assert "lineitem.parquet" not in text

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import _comparable
 from conftest import DAY, T0
-from clickshop.plans import checks
+from clickshop.plans import audit, checks, reach
 from clickshop.plans.warehouse import build, replace_days
 from clickshop.schemas import RELATIONS
 from clickshop.sources import Store, events_from_tables, files, scan_events, write_events
-from clickshop.sources.store import CommitConflict
+from clickshop.sources.store import CommitConflict, _footers as footers
 from parity import compare, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -214,3 +214,68 @@ def test_rows_of_other_days_are_refused(spark, raw_path, tmp_path):
     build(scan_events(spark, raw_path, "20240101", "20240102", with_event_id=True), store)
     with pytest.raises(ValueError, match="other days"):
         store.begin().replace_days("fct_orders", store.read("fct_orders"), {"1999-01-01"})
+
+
+def test_checks_taken_while_writing_equal_the_report(spark, built):
+    store, tables = built
+    assert as_rows(checks.written_report(store)) == as_rows(checks.check_report(tables))
+    rows = [c for c in checks.ALL_CHECKS if isinstance(c, checks.RowCheck)]
+    plan = checks.written_report(store, rows)._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan.lower()
+
+
+def test_counts_of_a_relation_end_with_its_days(spark, raw_path, tmp_path):
+    store = Store(spark, path=str(tmp_path))
+    build(scan_events(spark, raw_path, "20240101", "20240103", with_event_id=True), store)
+    assert store.metrics()["fct_orders"][checks.EXAMINED] == store.read("fct_orders").count()
+    raw = scan_events(spark, raw_path, "20240104", "20240104", with_event_id=True)
+    tables = replace_days(raw, store, ["2024-01-04"])
+    assert "fct_orders" not in store.metrics() and "mart_funnel" in store.metrics()
+    assert as_rows(checks.written_report(store)) == as_rows(checks.check_report(tables))
+
+
+# --- users that add up over days
+
+
+def test_bitmaps_of_days_give_the_users_of_months(spark, tmp_path):
+    rows = [(d, "c" if d % 3 else None, f"u{d * i * i % 977}") for d in range(60) for i in range(40)]
+    visits = spark.createDataFrame([*rows, (1, "c", None)], "day int, channel string, user string")
+    early, late = visits.where("day < 30"), visits.where("day >= 20")
+    known = reach.number_values(early.select("user"), str(tmp_path / "first"))
+    numbers = reach.number_values(late.select("user"), str(tmp_path / "second"), known)
+    assert numbers.count() == numbers.select("value").distinct().count() == numbers.select("number").distinct().count()
+    assert as_rows(numbers.join(known, ["value", "number"], "left_semi")) == as_rows(known)
+    daily = reach.reach(visits, numbers, "user", ["day", "channel"])
+    month = F.expr("day div 30").alias("month")
+    found = reach.reached(reach.merged(daily, [month, "channel"]), ["month", "channel"])
+    expected = visits.groupBy(month, "channel").agg(F.count_distinct("user").alias("users"))
+    assert as_rows(found) == as_rows(expected)
+
+
+def test_many_buckets_of_users(spark, tmp_path):
+    visits = spark.range(200_000).selectExpr("id % 100000 as user", "id % 7 as day")
+    numbers = reach.number_values(visits.select("user"), str(tmp_path / "n"))
+    daily = reach.reach(visits, numbers, "user", ["day"])
+    assert daily.select("bucket").distinct().count() > 3
+    assert reach.reached(reach.merged(daily, []), []).first().users == 100_000
+
+
+# --- freshness from footers
+
+
+def test_footers_tell_the_newest_event(spark, built):
+    store, tables = built
+    as_of = F.lit(oracle.AS_OF).cast("timestamp")
+    assert as_rows(audit.stored_freshness(store, as_of)) == as_rows(audit.freshness(tables["stg_events"], as_of))
+    keys = ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")
+    before = [spark.conf.get(k) for k in keys]
+    with footers(spark):
+        plan = store._footer_query("stg_events", "event_timestamp")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(event_timestamp), MAX(event_timestamp)]" in plan
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_no_event_is_not_fresh(spark, shop, tmp_path):
+    store = Store(spark, path=str(tmp_path))
+    store.write("stg_events", shop.events({"name": "view_item"}).limit(0))
+    assert audit.stored_freshness(store).first().freshness_status == "error"
