@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from clickshop.session import shared_folder
+
 #: Rows and bytes that Spark puts into one Arrow batch for Python.
 BATCH = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -42,15 +44,8 @@ def prepare(spark: SparkSession, share: int = 1) -> None:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share.
-
-    Only where the cluster names none (tests, a laptop) a local folder is taken and set.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below ``spark.checkpoint.dir``, which all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
