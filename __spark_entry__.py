@@ -28,6 +28,7 @@ from clickshop.session import configure, shared_folder  # noqa: E402
 from clickshop.plans.warehouse import build, replace_days  # noqa: E402
 from clickshop.sources import Store, events_from_tables, scan_events  # noqa: E402
 from clickshop.sources.events import in_date_range, write_events  # noqa: E402
+from clickshop.streaming import order_stream, scan_event_stream  # noqa: E402
 from parity import oracle  # noqa: E402
 
 try:
@@ -186,6 +187,7 @@ def _reports() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "checks_while_writing": _checks_while_writing,
         "users_per_month": _users_per_month,
         "stored_freshness": _stored_freshness,
+        "stream_orders": _stream_orders,
         # Checks
         "check_not_null": lambda w: checks.not_null_report(w.stg_events),
         "check_unique": lambda w: checks.check_report(w, checks.UNIQUE_CHECKS),
@@ -357,6 +359,17 @@ def _stored_freshness(w: Warehouse) -> DataFrame:
     return audit.stored_freshness(store, _as_of())
 
 
+def _stream_orders(w: Warehouse) -> DataFrame:
+    """Orders of the events as a stream of files, of runs that the watermark has closed."""
+    path = _new_folder(w.spark)
+    write_events(w.raw, f"{path}/events")
+    staged = ops.stage_events(scan_event_stream(w.spark, f"{path}/events", with_event_id=True))
+    sink = order_stream(staged).writeStream.format("parquet").outputMode("append")
+    query = sink.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/orders")
+    query.awaitTermination()
+    return w.spark.read.parquet(f"{path}/orders")
+
+
 def _users_per_month(w: Warehouse) -> DataFrame:
     """Distinct users per month and channel, from the bitmaps of its days."""
     sessions = w.int_sessions.select("session_date", "channel_group", "user_pseudo_id")
