@@ -134,7 +134,13 @@ def expand(
     ``tokens`` has the ids of each distinct piece as 32-bit integers.
     """
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens)) // 4
-    flat = np.frombuffer(b"".join(tokens), np.uint32)
+    return spread(np.frombuffer(b"".join(tokens), np.uint32), sizes, inverse, bounds)
+
+
+def spread(
+    flat: np.ndarray, sizes: np.ndarray, inverse: np.ndarray, bounds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``expand``, of the distinct pieces' ids end to end and their numbers of ids."""
     starts = np.cumsum(sizes) - sizes
     own = sizes[inverse]
     ends = np.concatenate(([0], np.cumsum(own)))

@@ -50,14 +50,14 @@ from clickshop.llm.common import (
     work_dir,
     written,
 )
-from clickshop.llm.pieces import Memo, distinct_pieces, expand
+from clickshop.llm.pieces import distinct_pieces, piece_starts, spread
 
 MAGIC = b"VB03"
 #: Ids that close a block, blocks of a file, and ids of a range of documents.
 BLOCK_IDS = 1 << 16
 FILE_BLOCKS = 256
 RANGE_IDS = 1 << 23
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 
 _LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)
 _HEAD = np.dtype(
@@ -65,11 +65,14 @@ _HEAD = np.dtype(
 )
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> np.ndarray:
     """The byte-level alphabet: printable Latin-1 bytes are themselves, others follow 255."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(0x100, 0x200))
-    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+    return np.array([b if b in printable else next(others) for b in range(256)], "<u4")
+
+
+_LETTERS = _byte_letters()
 
 
 class _Encoder:
@@ -87,10 +90,9 @@ class _Encoder:
         self.model = self.tokenizer.model
         added = self.tokenizer.get_added_tokens_decoder().values()
         self._added = [t.content.encode() for t in added if t.content]
-        self._letters = _byte_letters()
         self.split = regex.compile(pattern).findall
-        self._pieces = Memo(REMEMBERED)
-        self._words = Memo(REMEMBERED)
+        self._words: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many texts end to end, and the texts' bounds in them."""
@@ -131,19 +133,51 @@ class _Encoder:
 
     def _by_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         distinct, inverse, bounds = distinct_pieces(data, offsets)
-        found = [self._pieces.get(p) for p in distinct]
-        matches = {i: self.split(distinct[i].decode()) for i, ids in enumerate(found) if ids is None}
-        words = list({w for own in matches.values() for w in own})
-        known = {w: ids for w in words if (ids := self._words.get(w)) is not None}
-        for w in words:
-            if w not in known:
-                tokens = self.model.tokenize(w.encode().decode("latin-1").translate(self._letters))
-                known[w] = array("I", [t.id for t in tokens]).tobytes()
-                self._words.put(w, known[w])
-        for i, own in matches.items():
-            found[i] = b"".join([known[w] for w in own])
-            self._pieces.put(distinct[i], found[i])
-        return expand(found, inverse, bounds)
+        matches, ends = self._matches(distinct)
+        self._learn(set(matches))
+        found = list(map(self._words.__getitem__, matches))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        of_piece = np.concatenate(([0], np.cumsum(sizes)))[ends]
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        if len(self._words) > REMEMBERED:
+            self._words, self._before = {}, self._words
+        return spread(flat, np.diff(of_piece), inverse, bounds)
+
+    def _matches(self, pieces: list[bytes]) -> tuple[list[str], np.ndarray]:
+        """The pattern's matches in all pieces, and where each piece's begin in them.
+
+        Pieces that may follow each other in a text are searched as one.
+        """
+        raw = b"".join(pieces)
+        data = np.frombuffer(raw, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        joins = np.zeros(len(data) + 1, bool)
+        joins[piece_starts(data, np.array([0, len(data)]))] = True
+        matches, at = [], 0
+        for end in ends[~joins[ends]].tolist():
+            matches += self.split(raw[at:end].decode())
+            at = end
+        letters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+        stops = np.cumsum(np.fromiter(map(len, matches), np.int64, len(matches)))
+        if len(raw) and (not len(stops) or stops[-1] != letters[-1]):
+            raise ValueError("the pattern leaves characters without a match")
+        return matches, np.concatenate(([0], np.searchsorted(stops, letters[ends], side="right")))
+
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of all these matches into the memory, which forgets unused ones."""
+        words -= self._words.keys()
+        before = self._before
+        new = [w for w in words if w not in before]
+        self._words.update((w, before[w]) for w in words if w in before)
+        encoded = [w.encode() for w in new]
+        letters = _LETTERS[np.frombuffer(b"".join(encoded), np.uint8)].tobytes().decode("utf-32-le")
+        ids, ends, at = array("I"), [0], 0
+        for own in map(len, encoded):
+            ids.extend([t.id for t in self.model.tokenize(letters[at : at + own])])
+            ends.append(4 * len(ids))
+            at += own
+        known = ids.tobytes()
+        self._words.update(zip(new, (known[a:b] for a, b in zip(ends, ends[1:]))))
 
 
 _ENCODERS: dict[tuple, _Encoder] = {}
