@@ -26,7 +26,7 @@ from clickshop.plans import audit, checks, marts, profile, reach  # noqa: E402
 from clickshop.schemas import RELATIONS  # noqa: E402
 from clickshop.session import configure, shared_folder  # noqa: E402
 from clickshop.plans.warehouse import build, replace_days  # noqa: E402
-from clickshop.sources import Store, events_from_tables, scan_events  # noqa: E402
+from clickshop.sources import Shards, Store, events_from_tables, scan_events, write_shards  # noqa: E402
 from clickshop.sources.events import in_date_range, write_events  # noqa: E402
 from clickshop.streaming import order_stream, scan_event_stream  # noqa: E402
 from parity import oracle  # noqa: E402
@@ -138,6 +138,7 @@ def _reports() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "daily_channel_revenue": _daily_channel_revenue,
         # Reading and staging
         "scan_event_range": _scan_event_range,
+        "scan_shard_times": _scan_shard_times,
         "stage_events": lambda w: w.stg_events.drop("event_id"),
         "stage_event_params": _event_params,
         "stage_nested_fields": _nested_fields,
@@ -248,6 +249,17 @@ def _scan_event_range(w: Warehouse) -> DataFrame:
     )
 
 
+def _scan_shard_times(w: Warehouse) -> DataFrame:
+    """Events stored by day suffix, their files' times indexed, and some hours of some days read."""
+    path = _new_folder(w.spark)
+    prefix = write_shards(w.raw, f"{path}/events")
+    shards = Shards(w.spark, f"{path}/events", f"{path}/zones", prefix)
+    shards.index()
+    return shards.scan(*oracle.SCAN_RANGE, *oracle.SCAN_TIMES, with_event_id=True).select(
+        "event_id", "event_date", "event_timestamp", "event_name", "user_pseudo_id"
+    )
+
+
 def _event_params(w: Warehouse) -> DataFrame:
     return w.stg_events.select(
         "event_id",

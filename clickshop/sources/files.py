@@ -16,6 +16,13 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(path))
 
 
+def details(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change, in milliseconds, of each file in a folder."""
+    path, system = _at(spark, folder)
+    listed = [f for f in system.listStatus(path) if f.isFile()]
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed)
+
+
 def read_text(spark: SparkSession, file: str) -> str:
     path, system = _at(spark, file)
     stream = system.open(path)
