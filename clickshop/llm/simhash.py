@@ -4,8 +4,11 @@
 the distinct fingerprints into segments: two that differ in at most ``d`` bits lie, in
 some segment, within a Hamming ball of ``d // segments`` bits, so each looks up the small
 ball around its own segment values and complete distances decide.  Only a spanning forest
-of every table bucket leaves a task, never all its pairs; a bucket too large for one task
-is cut into blocks and solved as pairs of blocks.  Components follow from the links.
+of every table bucket leaves a task, never all its pairs.  A bucket too large for one task
+is divided again: its fingerprints differ in at most ``d`` of the bits outside the segment,
+so two that link agree in one of ``d + 1`` parts of these bits.  What is still too large
+after some such divisions agrees in most bits, so it has few fingerprints; it is cut into
+blocks and solved as pairs of blocks.  Components follow from the links.
 
 A null or empty text has fingerprint zero and is linked like any other.  Equal texts and
 repeated rows share a fingerprint.  A null ``doc_id`` never names a component unless the
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -31,6 +35,11 @@ SEED = 42
 BLOCK = 2048
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SLICE = 1 << 16
+#: Ways to divide a bucket that its key tells apart.
+WAYS = 1 << 12
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Fingerprints above which a component's label does not travel by a join on its root.
+HOT = 100_000
 
 
 def fingerprint(text: bytes, width: int = 4) -> int:
@@ -198,6 +207,44 @@ def _solve(bits: int):
     return run
 
 
+def _part_masks(plan: list[tuple[int, int, int]], bits: int, way: int, level: int) -> list[int]:
+    """The ``bits + 1`` parts of the bits that no earlier division used."""
+    chosen = []
+    for _ in range(level):
+        way, part = divmod(way, bits + 1)
+        chosen.append(part)
+    shift, width, _ = plan[way]
+    free = np.array([b for b in range(64) if not shift <= b < shift + width])
+    for part in reversed(chosen):
+        free = np.setdiff1d(free, np.array_split(free, bits + 1)[part])
+    return [sum(1 << int(b) for b in part) for part in np.array_split(free, bits + 1)]
+
+
+def _divide(plan: list[tuple[int, int, int]], bits: int, level: int):
+    """Rows of too large buckets under the keys of smaller ones.
+
+    The low bits of a key tell the way of divisions that led to it.  Buckets whose keys
+    collide are solved as one, which adds no link.
+    """
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = batch.column(0).to_numpy().view(np.uint64)
+        fps = batch.column(1).to_numpy().view(np.uint64)
+        way = keys % np.uint64(WAYS if level else len(plan))
+        made, owners = [], []
+        for w in np.unique(way).tolist():
+            key, fp = keys[way == w], fps[way == w]
+            for part, mask in enumerate(_part_masks(plan, bits, w, level)):
+                mixed = (key ^ (fp & np.uint64(mask)) * _ODD) * _ODD
+                mixed ^= mixed >> np.uint64(29)
+                made.append(mixed * np.uint64(WAYS) + np.uint64(w * (bits + 1) + part))
+                owners.append(fp)
+        columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (made, owners)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "fp"])
+
+    return rows
+
+
 def _solve_blocks(bits: int):
     """Links between the rows of a pair of blocks, by comparing piece with piece."""
 
@@ -241,17 +288,19 @@ def links(distinct: DataFrame, bits: int = 4, segments: int | None = None) -> Da
         columns = [pa.array(keys.view(np.int64)), pa.array(owners.view(np.int64))]
         return pa.RecordBatch.from_arrays(columns, names=["key", "fp"])
 
-    table = (
-        distinct.select("fp")
-        .mapInArrow(in_batches(probe), "key long, fp long")
-        .repartition("key")
-        .sortWithinPartitions("key")
-    )
-    solved = written(table.mapInArrow(_solve(bits), "a long, b long, key long"), "links")
-    found = solved.filter("key is null").select("a", "b")
-    large = solved.filter("key is not null").select("key", F.col("a").alias("fp"))
-    if large.isEmpty():
-        return found.distinct()
+    rows = distinct.select("fp").mapInArrow(in_batches(probe), "key long, fp long")
+    found, level = [], 0
+    while True:
+        table = rows.repartition("key").sortWithinPartitions("key")
+        solved = written(table.mapInArrow(_solve(bits), "a long, b long, key long"), "links")
+        found.append(solved.filter("key is null").select("a", "b"))
+        large = solved.filter("key is not null").select("key", F.col("a").alias("fp"))
+        if large.isEmpty():
+            return reduce(DataFrame.union, found).distinct()
+        if len(plan) * (bits + 1) ** (level + 1) > WAYS:
+            break
+        rows = large.mapInArrow(in_batches(_divide(plan, bits, level)), "key long, fp long")
+        level += 1
     blocks = large.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n"))
     own = F.pmod(F.xxhash64("fp"), F.col("n"))
     pairs = (
@@ -268,7 +317,7 @@ def links(distinct: DataFrame, bits: int = 4, segments: int | None = None) -> Da
         .sortWithinPartitions("pair")
     )
     more = pairs.mapInArrow(_solve_blocks(bits), "a long, b long, key long")
-    return found.union(more.select("a", "b")).distinct()
+    return reduce(DataFrame.union, [*found, more.select("a", "b")]).distinct()
 
 
 def near_duplicates(
@@ -288,9 +337,24 @@ def near_duplicates(
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = named.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
-    return prints.join(labels, "fp")
+    return prints.join(_labelled(named), "fp")
+
+
+def _labelled(named: DataFrame) -> DataFrame:
+    """``(fp, root, component_id)`` of ``(fp, first, root)``, least ``first`` of each root.
+
+    Labels of large components are broadcast: there is at most one for each ``HOT``
+    fingerprints.  Their rows take a key that spreads them through the join of the others.
+    """
+    least = named.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("n"))
+    hot = least.filter(F.col("n") > HOT).select("root", F.col("least").alias("hot"), "n")
+    own = least.filter(F.col("n") <= HOT).select("root", "least", F.lit(-1).alias("apart"))
+    apart = F.when(F.col("n").isNull(), -1).otherwise(F.pmod(F.hash("fp"), F.lit(10_000)))
+    marked = named.join(F.broadcast(hot), "root", "left").withColumn("apart", apart)
+    label = F.when(F.col("n").isNull(), F.col("least")).otherwise(F.col("hot"))
+    return marked.join(own, ["root", "apart"], "left").select(
+        "fp", "root", label.alias("component_id")
+    )
 
 
 def one_per_group(documents: DataFrame, bits: int = 4, width: int = 4) -> DataFrame:

@@ -185,6 +185,47 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, block, segm
     assert len({*zip(mine, theirs)}) == len(set(mine)) == len(set(theirs))
 
 
+def test_divided_buckets_keep_every_link(spark, monkeypatch):
+    """Fingerprints of one bucket: many far apart, chains among them, all with equal low halves."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = random.Random(7)
+    low = rng.getrandbits(32)
+    prints = {rng.getrandbits(32) << 32 | low for _ in range(300)}
+    for start in sorted(prints)[:40]:
+        for step in range(1, 5):
+            prints.add(start ^ ((1 << 4 * step) - 1 << 36))
+    prints = sorted(prints)
+    signed = [(p - 2**64 if p >= 2**63 else p,) for p in prints]
+    links = simhash.links(spark.createDataFrame(signed, "fp long"), 4, 2)
+    root = {r.node: r.root for r in components.stars(links).collect()}
+    mine = [root.get(p, p) for (p,) in signed]
+    theirs = brute.components(prints)
+    assert len({*zip(mine, theirs)}) == len(set(mine)) == len(set(theirs)) > 100
+
+
+@pytest.mark.parametrize("bits", [0, 1, 4, 7])
+def test_parts_of_a_division_cover_the_unused_bits(bits):
+    plan = simhash.segment_plan(bits, 3)
+    shift, width, _ = plan[-1]
+    way = len(plan) - 1
+    masks = simhash._part_masks(plan, bits, way, 0)
+    assert len(masks) == bits + 1
+    assert sum(masks) == (2**64 - 1) ^ ((1 << width) - 1 << shift)
+    deeper = simhash._part_masks(plan, bits, way * (bits + 1) + bits, 1)
+    assert sum(deeper) == sum(masks[:-1])
+
+
+def test_labels_of_large_components(spark, monkeypatch):
+    rows = [(f, 100 - f if f % 3 else None, f % 4 if f < 30 else f) for f in range(40)]
+    rows += [(f, None, 50) for f in range(50, 60)]
+    named = spark.createDataFrame(rows, "fp long, first long, root long")
+    plain = [tuple(r) for r in simhash._labelled(named).collect()]
+    monkeypatch.setattr(simhash, "HOT", 3)
+    assert sorted(map(tuple, simhash._labelled(named).collect()), key=str) == sorted(plain, key=str)
+    least = {f: c for f, _, c in plain}
+    assert least[0] == 100 - 28 and least[39] is None and least[55] is None and len(least) == len(rows)
+
+
 def test_stars_on_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 2000), (5, 5)]
     found = components.stars(spark.createDataFrame(edges, "a long, b long"))
