@@ -328,7 +328,7 @@ def _stored_daily_performance(w: Warehouse) -> DataFrame:
     path = _new_folder(w.spark)
     write_events(w.raw, f"{path}/events")
     raw = scan_events(w.spark, f"{path}/events", *oracle.SCAN_RANGE, with_event_id=True)
-    return build(raw, Store(w.spark, path=f"{path}/tables"), _as_of())["mart_daily_performance"]
+    return build(raw, Store(w.spark, path=f"{path}/tables"), _as_of(), by_day=True)["mart_daily_performance"]
 
 
 def _stored_days_replaced(w: Warehouse) -> DataFrame:
@@ -338,7 +338,7 @@ def _stored_days_replaced(w: Warehouse) -> DataFrame:
     raw = scan_events(w.spark, f"{path}/events", *oracle.SCAN_RANGE, with_event_id=True)
     late = F.col("event_date").between(*oracle.LATE_DAYS)
     store = Store(w.spark, path=f"{path}/tables")
-    build(raw.where(~late), store, _as_of())
+    build(raw.where(~late), store, _as_of(), by_day=True)
     dates = raw.where(late).select(F.to_date("event_date", "yyyyMMdd").cast("string").alias("day")).distinct()
     days = [r.day for r in dates.collect()]
     return replace_days(raw.where(late), store, days, _as_of())["int_sessions"]

@@ -2,33 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickshop import operators as ops
 from clickshop.operators.orders import order_stem, usable_purchases
 from clickshop.plans import audit, marts
 from clickshop.plans.checks import row_metrics
+from clickshop.session import unsorted_days
 from clickshop.sources import Store
 from clickshop.sources.store import NO_DAY, PARTITIONED, Draft
 
 _SESSION = ["user_pseudo_id", "ga_session_id"]
 
 
-def build(raw: DataFrame, store: Store, as_of: Column | None = None) -> dict[str, DataFrame]:
+def build(
+    raw: DataFrame, store: Store, as_of: Column | None = None, *, by_day: bool = False
+) -> dict[str, DataFrame]:
     """Write all relations to ``store`` and return them as read back.
 
     Each relation is written once and read from storage by everything built on
     it, so shared inputs (staged events, orders, sessions) are computed once.  Readers see
-    them all together when the last one is written.
+    them all together when the last one is written.  ``by_day`` says that ``raw`` is read from
+    files of one day each, as ``scan_events`` does, so that staged events need no shuffle to
+    their days.
     """
     draft = store.begin()
-    events = _write(draft, "stg_events", ops.stage_events(raw))
+    with unsorted_days(store.spark):
+        events = _write(draft, "stg_events", ops.stage_events(raw), by_day)
     deduped = _write(draft, "int_purchase_events_deduped", ops.dedupe_purchases(events))
     orders = _write(draft, "fct_orders", ops.fct_orders(deduped))
-    _write(draft, "fct_order_items", ops.fct_order_items(deduped))
-    _write(draft, "int_sessions", ops.sessions(events, orders))
+    _together(
+        draft,
+        lambda: _write(draft, "fct_order_items", ops.fct_order_items(deduped)),
+        lambda: _write(draft, "int_sessions", ops.sessions(events, orders)),
+    )
     _write_reports(draft, as_of)
     draft.commit()
     return store.tables()
@@ -55,8 +67,12 @@ def replace_days(raw: DataFrame, store: Store, days: list[str], as_of: Column |
     deduped = _replaced(draft, "int_purchase_events_deduped", again, lambda df, keep=True: _of_stems(df, stems, keep))
     purchase_days = deduped.pop("days")
     of_days = draft.read("int_purchase_events_deduped").where(_day("int_purchase_events_deduped").isin(*purchase_days))
-    orders = draft.replace_days("fct_orders", ops.fct_orders(of_days), purchase_days)
-    draft.replace_days("fct_order_items", ops.fct_order_items(of_days), purchase_days)
+    _together(
+        draft,
+        lambda: draft.replace_days("fct_orders", ops.fct_orders(of_days), purchase_days),
+        lambda: draft.replace_days("fct_order_items", ops.fct_order_items(of_days), purchase_days),
+    )
+    orders = draft.read("fct_orders")
 
     moved = [df.select(*_SESSION) for df in (*changed, deduped["out"], deduped["again"])]
     touched = draft.stash(_union(moved).where(F.col("ga_session_id").isNotNull()).distinct())
@@ -75,19 +91,35 @@ def replace_days(raw: DataFrame, store: Store, days: list[str], as_of: Column |
 
 def _write_reports(draft: Draft, as_of: Column | None) -> None:
     events, sessions = draft.read("stg_events"), draft.read("int_sessions")
-    users = _write(draft, "int_user_metrics", ops.user_metrics(sessions))
-    _write(draft, "mart_user_ltv", ops.mart_user_ltv(users))
-    _write(draft, "mart_daily_performance", marts.mart_daily_performance(sessions))
-    _write(draft, "mart_funnel", marts.mart_funnel(sessions))
-    _write(draft, "mart_landing_pages", marts.mart_landing_pages(events, sessions))
-    _write(draft, "mart_product_performance", marts.mart_product_performance(draft.read("fct_order_items")))
-    _write(draft, "mart_retention", marts.mart_retention(sessions))
-    _write(draft, "mart_data_quality", audit.mart_data_quality(events, sessions, as_of))
+    items = draft.read("fct_order_items")
 
+    def write_users() -> None:
+        users = _write(draft, "int_user_metrics", ops.user_metrics(sessions))
+        _write(draft, "mart_user_ltv", ops.mart_user_ltv(users))
 
-def _write(draft: Draft, name: str, df: DataFrame) -> DataFrame:
+    _together(
+        draft,
+        lambda: _write(draft, "mart_landing_pages", marts.mart_landing_pages(events, sessions)),
+        write_users,
+        lambda: _write(draft, "mart_product_performance", marts.mart_product_performance(items)),
+        lambda: _write(draft, "mart_daily_performance", marts.mart_daily_performance(sessions)),
+        lambda: _write(draft, "mart_retention", marts.mart_retention(sessions)),
+        lambda: _write(draft, "mart_data_quality", audit.mart_data_quality(events, sessions, as_of)),
+        lambda: _write(draft, "mart_funnel", marts.mart_funnel(sessions)),
+    )
+
+
+def _together(draft: Draft, *steps: Callable[[], object]) -> None:
+    """Steps that do not read each other's results, begun at once: the last tasks of one leave no core idle."""
+    inherit = inheritable_thread_target(draft.store.spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for begun in [pool.submit(inherit(step)) for step in steps]:
+            begun.result()
+
+
+def _write(draft: Draft, name: str, df: DataFrame, by_day: bool = False) -> DataFrame:
     """Write a relation and take the counts of its row checks in the same job."""
-    return draft.write(name, df, row_metrics(name))
+    return draft.write(name, df, row_metrics(name), by_day)
 
 
 def _replaced(draft: Draft, name: str, again: DataFrame, part) -> dict:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,6 +26,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Files of days that a writing task keeps open at once; only if it meets more days are its rows sorted.
+_OPEN_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
+
+
+@contextmanager
+def held(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Within, the settings ``wanted`` hold; they are put back after."""
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def unsorted_days(spark: SparkSession):
+    """Within, rows are written to the folders of their days without being sorted by day first."""
+    return held(spark, _OPEN_FILES)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 

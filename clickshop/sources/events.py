@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickshop.schemas import RAW_EVENT
+from clickshop.session import unsorted_days
 
 
 def scan_events(
@@ -45,6 +46,7 @@ def in_date_range(raw: DataFrame, start: str, end: str) -> DataFrame:
 def write_events(raw: DataFrame, path: str) -> None:
     """Store raw events in the layout that ``scan_events`` prunes."""
     # Rebalancing gives each folder few files and splits a day that is too large.
-    raw.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(
-        path
-    )
+    with unsorted_days(raw.sparkSession):
+        raw.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(
+            path
+        )

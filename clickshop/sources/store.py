@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clickshop.schemas import RELATIONS, columns_of, conforming
+from clickshop.session import held
 from clickshop.sources import files
 
 # Written with one folder per day, so that days can be replaced alone.
@@ -164,16 +163,19 @@ class Draft:
     metrics: Metrics
     name: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
-    def write(self, name: str, df: DataFrame, counts: dict[str, Column] | None = None) -> DataFrame:
+    def write(
+        self, name: str, df: DataFrame, counts: dict[str, Column] | None = None, by_day: bool = False
+    ) -> DataFrame:
         """Replace relation ``name`` in whole and return it as read back.
 
         ``counts`` are aggregates taken by the job that writes, in its last stage, whose tasks count once.
+        ``by_day``: each task of ``df`` holds rows of few days, so they are written without a shuffle.
         """
         seen = Observation() if counts else None
         if self.store.database is not None:
-            self._save(name, df).saveAsTable(f"{self.store.database}.{name}")
+            self._save(name, df, by_day=by_day).saveAsTable(f"{self.store.database}.{name}")
         else:
-            self.manifest[name] = self._written(name, df, counts, seen)
+            self.manifest[name] = self._written(name, df, counts, seen, by_day)
             self.metrics.pop(name, None)
             if seen is not None:
                 self.metrics[name] = dict(seen.get)
@@ -213,38 +215,46 @@ class Draft:
             if name.startswith(self.name):
                 files.remove(spark, f"{store.path}/{_SCRATCH}/{name}")
 
-    def _save(self, name: str, df: DataFrame, counts: dict[str, Column] | None = None, seen: Observation | None = None):
+    @staticmethod
+    def _plan(name: str, df: DataFrame, by_day: bool) -> DataFrame:
+        """The rows as they are written, dealt to their days unless they come ``by_day``."""
         rows, day = conforming(df, name), PARTITIONED.get(name)
-        if day is not None:  # few files a day, and several for a day that is too large
-            rows = rows.hint("rebalance", day)
+        # Rebalancing makes few files a day, and several for a day that is too large.
+        return rows if day is None or by_day else rows.hint("rebalance", day)
+
+    def _save(
+        self,
+        name: str,
+        df: DataFrame,
+        counts: dict[str, Column] | None = None,
+        seen: Observation | None = None,
+        by_day: bool = False,
+    ):
+        rows, day = self._plan(name, df, by_day), PARTITIONED.get(name)
         if counts and seen is not None:
             rows = rows.observe(seen, *[c.alias(k) for k, c in counts.items()])
         writer = rows.write.mode("overwrite").format("parquet")
         return writer if day is None else writer.partitionBy(day)
 
     def _written(
-        self, name: str, df: DataFrame, counts: dict[str, Column] | None = None, seen: Observation | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        counts: dict[str, Column] | None = None,
+        seen: Observation | None = None,
+        by_day: bool = False,
     ) -> dict[str, str]:
         folder = f"{name}/version={self.name}-{uuid.uuid4().hex[:8]}"
-        self._save(name, df, counts, seen).save(f"{self.store.path}/{folder}")
+        self._save(name, df, counts, seen, by_day).save(f"{self.store.path}/{folder}")
         if name not in PARTITIONED:
             return {"": folder}
         found = files.children(self.store.spark, f"{self.store.path}/{folder}")
         return {day_of(f): f"{folder}/{f}" for f in found if f.startswith(f"{PARTITIONED[name]}=")}
 
 
-@contextmanager
-def _footers(spark: SparkSession) -> Iterator[None]:
+def _footers(spark: SparkSession):
     """Within, Parquet answers min, max and count from its footers; settings are put back after."""
-    wanted = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
-    before = {key: spark.conf.get(key) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    return held(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"})
 
 
 def day_of(folder: str) -> str:

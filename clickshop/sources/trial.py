@@ -130,9 +130,10 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     params = [_param(k, when, number=x) for k, (when, x) in INT_PARAMS.items()]
     params += [_param(k, when, text=x) for k, (when, x) in TEXT_PARAMS.items()]
+    events = _table(spark, sf_dir, "events")
+    bought = _table(spark, sf_dir, "events").where("event_type = 'purchase'").select("event_id")
     return (
-        _table(spark, sf_dir, "events")
-        .selectExpr(
+        events.selectExpr(
             "event_id",
             "event_type",
             "event_type = 'purchase' as bought",
@@ -145,20 +146,22 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("*", f"offset div {DAY_MICROS} as d", f"offset % {DAY_MICROS} as tod")
         .selectExpr("*", f"{MOVED} as moved", f"{EVENT_NAME} as event_name")
         .join(places, "place", "left")
-        .join(order_lines(spark, sf_dir), "event_id", "left")
+        .join(order_lines(spark, sf_dir, bought), "event_id", "left")
         .selectExpr("*", f"array({', '.join(params)}) as event_params")
         .selectExpr(*[f"{rule} as {name}" for name, rule in RAW_FIELDS.items()])
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product lines of each order number, one array entry per line.
+def order_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Product lines of each order number, one array entry per line; of the ids of ``orders`` only, if given.
 
-    An order is one event, so its lines belong into one row.
+    An order is one event, so its lines belong into one row.  Lines meet the ids as the few
+    columns they are stored in, and only lines with an order become nested.
     """
-    lines = _table(spark, sf_dir, "lineitem").join(
-        _table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left"
-    )
+    lines = _table(spark, sf_dir, "lineitem")
+    if orders is not None:
+        lines = lines.join(orders, F.expr("l_orderkey = event_id"), "left_semi")
+    lines = lines.join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left")
     return lines.groupBy(F.col("l_orderkey").alias("event_id")).agg(
         F.collect_list(F.expr(ITEM)).alias("items")
     )

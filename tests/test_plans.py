@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from clickshop.operators import dedupe_purchases, fct_order_items, session_core, stage_events
 from clickshop.operators.orders import ORDER_INPUT
 from clickshop.plans import marts, profile
-from clickshop.sources import events_from_tables, scan_events, write_events
+from clickshop.sources import events_from_tables, order_lines, scan_events, write_events
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -87,6 +87,27 @@ def test_no_product_line_is_lost_or_merged(spark):
     assert items.selectExpr("count(distinct item_id)").first()[0] == parts
 
 
+def test_only_lines_of_purchases_become_nested(spark, tmp_path):
+    line = "l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string"
+    rows = [(o, p, p, 1.0, 2.0, 0.0, "N", "O") for o, p in ((1, 1), (1, 2), (2, 1), (None, 1), (3, 9), (3, 9))]
+    tables = {
+        "lineitem": spark.createDataFrame(rows, f"l_orderkey bigint, {line}"),
+        "part": spark.createDataFrame(
+            [(1, "a", "b", "t", 1.0), (2, "c", "d", "t", 2.0)],
+            "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    ids = spark.createDataFrame([(1,), (3,), (3,), (None,), (7,)], "event_id bigint")
+    found = order_lines(spark, str(tmp_path), ids).selectExpr("event_id", "inline(items)")
+    listed = sorted((r.event_id, r.item_id, r.item_name or "") for r in found.collect())
+    assert listed == [(1, "P1", "a"), (1, "P2", "c"), (3, "P9", ""), (3, "P9", "")]
+    # Where raw events ask for items, other lines leave before any is grouped.
+    tree = plan(events_from_tables(spark, SF_DIR).select("event_id", "items")).split("\n\n\n")[0]
+    assert tree.index("ObjectHashAggregate") < tree.index("LeftSemi")
+
+
 def test_dedupe_merges_before_its_first_shuffle(events):
     tree = plan(dedupe_purchases(events.select(*ORDER_INPUT))).split("\n\n\n")[0]
     steps = re.findall(r"(Exchange|SortAggregate|Window|WindowGroupLimit) \(", tree)

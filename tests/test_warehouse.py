@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import _comparable
 from conftest import DAY, T0
 from clickshop.plans import audit, checks, reach
-from clickshop.plans.warehouse import build, replace_days
+from clickshop.plans.warehouse import _together, build, replace_days
 from clickshop.schemas import RELATIONS
 from clickshop.sources import Store, events_from_tables, files, scan_events, write_events
 from clickshop.sources.store import CommitConflict, _footers as footers
@@ -111,6 +113,33 @@ def test_source_without_event_ids_gives_the_same_orders_twice(spark, raw_path, t
     assert first == second and first
 
 
+def test_events_read_by_day_are_staged_without_a_shuffle(spark, shop, tmp_path):
+    keys = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(keys)
+    days = [{"at": d * DAY + n, "date": f"202403{d + 1:02d}", "session": n} for d in range(3) for n in range(4)]
+    write_events(shop.raw(*({"name": "view_item", **d} for d in days)), str(tmp_path / "raw"))
+    raw = scan_events(spark, str(tmp_path / "raw"), "20240301", "20240303", with_event_id=True)
+    stores = [Store(spark, path=str(tmp_path / n)) for n in ("read", "dealt")]
+    as_of = F.lit(oracle.AS_OF).cast("timestamp")
+    read, dealt = (build(raw, s, as_of, by_day=b) for s, b in zip(stores, (True, False)))
+    assert [as_rows(read[name]) for name in RELATIONS] == [as_rows(dealt[name]) for name in RELATIONS]
+    assert stores[0].folders("stg_events").keys() == stores[1].folders("stg_events").keys()
+    assert spark.conf.get(keys) == before
+    plans = [stores[0].begin()._plan("stg_events", read["stg_events"], by_day=b) for b in (True, False)]
+    assert [p._jdf.queryExecution().analyzed().toString().count("RebalancePartitions") for p in plans] == [0, 1]
+
+
+def test_steps_apart_from_each_other_begin_at_once(built):
+    draft, met = built[0].begin(), Barrier(2, timeout=60)
+    _together(draft, met.wait, met.wait)  # one after the other they would never meet
+
+    def fail() -> None:
+        raise ValueError("no such column")
+
+    with pytest.raises(ValueError, match="no such column"):
+        _together(draft, lambda: None, fail)
+
+
 def test_store_needs_one_place(spark):
     with pytest.raises(ValueError, match="either"):
         Store(spark)
