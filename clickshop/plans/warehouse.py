@@ -53,7 +53,8 @@ def replace_days(raw: DataFrame, store: Store, days: list[str], as_of: Column |
     gets a second order renames its first one, so all orders of ids that the days' purchases name,
     before or now, are settled again from all their events; so are all sessions that
     the days' events or those orders belong to.  Days of orders, items and sessions that hold none of them
-    keep their files.  Reports are small and written again.  Readers see the change at once.
+    keep their files.  Reports are written again: those by day keep the rows of days without such
+    orders or sessions, the others are computed from all.  Readers see the change at once.
     """
     draft = store.begin()
     before = {name: draft.read(name) for name in PARTITIONED}
@@ -83,15 +84,15 @@ def replace_days(raw: DataFrame, store: Store, days: list[str], as_of: Column |
     since = None if first[1] or not dated else min(dated)
     recent = events if since is None else events.where(_since("event_date_dt", since))
     own = ops.sessions(_of_sessions(recent, touched), _of_sessions(orders, touched))
-    _replaced(draft, "int_sessions", own, lambda df, keep=True: _of_sessions(df, touched, keep))
-    _write_reports(draft, as_of)
+    settled = _replaced(draft, "int_sessions", own, lambda df, keep=True: _of_sessions(df, touched, keep))
+    _write_reports(draft, as_of, {"int_sessions": settled["days"], "fct_order_items": purchase_days})
     draft.commit()
     return store.tables()
 
 
-def _write_reports(draft: Draft, as_of: Column | None) -> None:
+def _write_reports(draft: Draft, as_of: Column | None, changed: dict[str, set[str]] | None = None) -> None:
+    """Write all reports; ``changed`` are the days of sessions and items in which rows differ, by default all."""
     events, sessions = draft.read("stg_events"), draft.read("int_sessions")
-    items = draft.read("fct_order_items")
 
     def write_users() -> None:
         users = _write(draft, "int_user_metrics", ops.user_metrics(sessions))
@@ -101,14 +102,31 @@ def _write_reports(draft: Draft, as_of: Column | None) -> None:
         draft,
         lambda: _write(draft, "mart_landing_pages", marts.mart_landing_pages(events, sessions)),
         write_users,
-        lambda: _write(draft, "mart_product_performance", marts.mart_product_performance(items)),
-        lambda: _write(draft, "mart_daily_performance", marts.mart_daily_performance(sessions)),
+        lambda: _write_days(draft, "mart_product_performance", marts.mart_product_performance, "fct_order_items", changed),
+        lambda: _write_days(draft, "mart_daily_performance", marts.mart_daily_performance, "int_sessions", changed),
         lambda: _write(draft, "mart_retention", marts.mart_retention(sessions)),
         lambda: _write(draft, "mart_data_quality", audit.mart_data_quality(events, sessions, as_of)),
-        lambda: _write(draft, "mart_funnel", marts.mart_funnel(sessions)),
+        lambda: _write_days(draft, "mart_funnel", marts.mart_funnel, "int_sessions", changed),
     )
 
 
+def _write_days(
+    draft: Draft,
+    name: str,
+    report: Callable[[DataFrame], DataFrame],
+    source: str,
+    changed: dict[str, set[str]] | None,
+) -> None:
+    """Write a report whose groups hold rows of one day of ``source`` each; rows of unchanged days are kept."""
+    rows = draft.read(source)
+    if changed is None:
+        _write(draft, name, report(rows))
+    elif days := changed[source]:
+        of_days = _day(source).isin(*days)
+        kept = draft.read(name).where(~of_days)
+        _write(draft, name, kept.unionByName(report(rows.where(of_days))))
+
+
 def _together(draft: Draft, *steps: Callable[[], object]) -> None:
     """Steps that do not read each other's results, begun at once: the last tasks of one leave no core idle."""
     inherit = inheritable_thread_target(draft.store.spark)

@@ -12,6 +12,7 @@ from conftest import DAY, T0
 from clickshop.plans import audit, checks, reach
 from clickshop.plans.warehouse import _together, build, replace_days
 from clickshop.schemas import RELATIONS
+from clickshop.session import held as spark_settings
 from clickshop.sources import Store, events_from_tables, files, scan_events, write_events
 from clickshop.sources.store import CommitConflict, _footers as footers
 from parity import compare, oracle
@@ -211,6 +212,37 @@ def test_only_touched_days_are_written(spark, shop, tmp_path):
     assert len(files.children(spark, f"{tmp_path}/_commits")) == 1
 
 
+def test_reports_by_day_keep_rows_of_other_days(spark, shop, tmp_path):
+    raw = shop.raw(
+        *({"name": "purchase", "txn": f"T{d}", "at": d * DAY, "revenue": 1.0, "user": "u", "session": d, "date": date, "items": [{}]}
+          for d, date in enumerate(("20240301", "20240302", "20240303"), 1)),
+        {"name": "purchase", "txn": "N", "at": 9 * DAY, "revenue": 1.0, "user": "n", "session": 9, "date": "no day", "items": [{}]},
+    )
+    late = F.col("event_date") == "20240303"
+    as_of = F.lit(oracle.AS_OF).cast("timestamp")
+    store, whole = (Store(spark, path=str(tmp_path / n)) for n in ("grown", "whole"))
+    with spark_settings(spark, {"spark.sql.ansi.enabled": "false"}):
+        build(raw.where(~late), store, as_of)
+        # Rows of other days, marked, are still there afterwards; those of the day are new.
+        draft = store.begin()
+        draft.write("mart_funnel", store.read("mart_funnel").withColumn("sessions", F.lit(77).cast("bigint")))
+        draft.write("mart_daily_performance", store.read("mart_daily_performance").withColumn("sessions", F.lit(77).cast("bigint")))
+        draft.write("mart_product_performance", store.read("mart_product_performance").withColumn("transactions", F.lit(77).cast("bigint")))
+        draft.commit()
+        tables = replace_days(raw.where(late), store, ["2024-03-03"], as_of)
+        expected = build(raw, whole, as_of)
+        for name, day, count in (
+            ("mart_funnel", "session_date", "sessions"),
+            ("mart_daily_performance", "session_date", "sessions"),
+            ("mart_product_performance", "purchase_date", "transactions"),
+        ):
+            found = {str(r[day]): r[count] for r in tables[name].collect()}
+            assert found == {"None": 77, "2024-03-01": 77, "2024-03-02": 77, "2024-03-03": 1}, name
+            assert as_rows(tables[name].drop(count).where(F.col(day).isNotNull())) == as_rows(
+                expected[name].drop(count).where(F.col(day).isNotNull())
+            ), name
+
+
 def test_readers_see_old_or_new_only(spark, raw_path, tmp_path):
     store = Store(spark, path=str(tmp_path))
     raw = scan_events(spark, raw_path, "20240101", "20240103", with_event_id=True)
