@@ -9,6 +9,7 @@ batch is reduced to its distinct ones with numpy before any Python code looks at
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 _SPACE = 32
 # White space of one byte, and the first bytes of characters that may be white space.
@@ -18,6 +19,29 @@ _WIDE = np.zeros(256, bool)
 _WIDE[[0xE1, 0xE2, 0xE3]] = True
 _OPENS = ~_WHITE & ~_WIDE
 _OPENS[0xC2] = False
+# Kinds of bytes: letters and digits, signs but the apostrophe (it belongs to "'s" and its
+# like), space, other white space, what else opens a character that is not white, the rest.
+_REST, _WORD, _SIGN, _BLANK, _BREAK, _OTHER = range(6)
+_KIND = np.select(
+    [
+        [b < 128 and chr(b).isalnum() for b in range(256)],
+        [32 < b < 127 and b != 39 for b in range(256)],
+        np.arange(256) == _SPACE,
+        [9 <= b <= 13 for b in range(256)],
+        _OPENS,
+    ],
+    [_WORD, _SIGN, _BLANK, _BREAK, _OTHER],
+    _REST,
+).astype(np.uint8)
+# For 8 times the kind of a byte and that of the next: whether every match ends between
+# them, whatever surrounds them; the same for the last white space before a character, if
+# it is cut from other white space; and whether the first byte is such a white space.
+_APART, _AFTER, _LAST = np.zeros((3, 64), bool)
+_APART[[8 * _WORD + _SIGN, 8 * _SIGN + _WORD]] = True
+for _white in (_BLANK, _BREAK):
+    _APART[[8 * _WORD + _white, 8 * _SIGN + _white]] = True
+    _LAST[[8 * _white + k for k in (_WORD, _SIGN, _OTHER)]] = True
+_AFTER[[8 * _BREAK + k for k in (_WORD, _SIGN, _OTHER)]] = True
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LONG = 64
@@ -37,6 +61,55 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Like ``piece_starts``, for ``PATTERN`` alone, with nearly all places where it always cuts.
+
+    Its matches hold letters or signs or white space, but for one space in front.  White space
+    before a character is one match without its last character, which is a match of its own or
+    that space.  Letters are ASCII ones and those of U+00C0 to U+00FF; cuts left out do no harm.
+    """
+    pairs = _pairs(data)
+    begins = np.zeros(len(data), bool)
+    begins[:-1] = _LAST[pairs]
+    firsts = offsets[:-1][np.diff(offsets) > 0]
+    begins[firsts[firsts > 0] - 1] = False
+    begins[1:] |= _APART[pairs] | _AFTER[pairs]
+    begins[firsts] = True
+    return np.flatnonzero(begins)
+
+
+def joints(data: np.ndarray) -> np.ndarray:
+    """For each place of joined pieces, the end included: whether those that meet there keep
+    their matches if they are searched as one text."""
+    found = np.zeros(len(data) + 1, bool)
+    found[piece_starts(data, np.array([0, len(data)]))] = True
+    found[1:-1] |= _APART[_pairs(data)]
+    return found
+
+
+def _pairs(data: np.ndarray) -> np.ndarray:
+    """For each byte but the last: 8 times its kind and the kind of the next."""
+    kind = _KIND[data]
+    lead = np.flatnonzero(data == 0xC3)
+    lead = lead[lead < len(data) - 1]
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]  # × and ÷
+    kind[lead] = kind[lead + 1] = _WORD
+    return 8 * kind[:-1] + kind[1:]
+
+
+def numbered(
+    known: pa.LargeBinaryArray, data: np.ndarray, starts: np.ndarray
+) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """``known`` distinct pieces and after them the new ones of ``data``, whose pieces have
+    these starts; and the number of each of its pieces in order."""
+    bounds = np.append(starts, len(data)).astype(np.int64)
+    own = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+    )
+    found = pa.concat_arrays([known, own]).dictionary_encode()
+    return found.dictionary, found.indices.to_numpy()[len(known) :]
+
+
 def distinct_pieces(
     data: np.ndarray, offsets: np.ndarray
 ) -> tuple[list[bytes], np.ndarray, np.ndarray]:

@@ -29,7 +29,6 @@ table writes no file and reads back empty.
 
 from __future__ import annotations
 
-import gc
 import math
 from array import array
 from collections.abc import Iterator
@@ -50,14 +49,16 @@ from clickshop.llm.common import (
     work_dir,
     written,
 )
-from clickshop.llm.pieces import distinct_pieces, piece_starts, spread
+from clickshop.llm.pieces import joints, numbered, spread, word_starts
 
 MAGIC = b"VB03"
 #: Ids that close a block, blocks of a file, and ids of a range of documents.
 BLOCK_IDS = 1 << 16
 FILE_BLOCKS = 256
 RANGE_IDS = 1 << 23
+#: Pieces that a worker remembers, and bytes of the longest of them.
 REMEMBERED = 500_000
+LONG = 64
 
 _LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)
 _HEAD = np.dtype(
@@ -76,11 +77,13 @@ _LETTERS = _byte_letters()
 
 
 class _Encoder:
-    """The library's BPE model, asked once for each new match of the pattern.
+    """The library's BPE model, asked only for matches in pieces that are not remembered.
 
-    Matches go to the model itself, in the byte-level alphabet: the tokenizer around it
-    would split and map each of them again, which takes twice the time.  A text that holds
-    an added token of the file, such as ``<|endoftext|>``, goes to the tokenizer whole.
+    The memory is an Arrow column: its pieces and those of a batch are numbered at once,
+    and no Python code looks at a known one.  Matches go to the model itself, in the
+    byte-level alphabet: the tokenizer around it would split and map each of them again,
+    which takes twice the time.  A text that holds an added token of the file, such as
+    ``<|endoftext|>``, goes to the tokenizer whole.
     """
 
     def __init__(self, vocabulary: bytes, pattern: str) -> None:
@@ -91,18 +94,15 @@ class _Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self._added = [t.content.encode() for t in added if t.content]
         self.split = regex.compile(pattern).findall
-        self._words: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
+        # What is known of pieces: their bytes, their ids end to end, the batch that last had them.
+        self._pieces = pa.array([], pa.large_binary())
+        self._ids = np.empty(0, np.uint32)
+        self._sizes = np.empty(0, np.int64)
+        self._used = np.empty(0, np.int64)
+        self._batch = 0
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many texts end to end, and the texts' bounds in them."""
-        gc.disable()  # nothing here is cyclic, and each collection would walk the memory
-        try:
-            return self._encode(data, offsets)
-        finally:
-            gc.enable()
-
-    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         own = self._with_added(data, offsets)
         if not own:
             return self._by_pieces(data, offsets)
@@ -132,29 +132,44 @@ class _Encoder:
         return sorted(own)
 
     def _by_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distinct, inverse, bounds = distinct_pieces(data, offsets)
-        matches, ends = self._matches(distinct)
-        self._learn(set(matches))
-        found = list(map(self._words.__getitem__, matches))
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        of_piece = np.concatenate(([0], np.cumsum(sizes)))[ends]
-        flat = np.frombuffer(b"".join(found), np.uint32)
-        if len(self._words) > REMEMBERED:
-            self._words, self._before = {}, self._words
-        return spread(flat, np.diff(of_piece), inverse, bounds)
-
-    def _matches(self, pieces: list[bytes]) -> tuple[list[str], np.ndarray]:
+        starts = word_starts(data, offsets)
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
+        self._batch += 1
+        count = len(self._pieces)
+        pieces, numbers = numbered(self._pieces, data, starts)
+        if len(pieces) > count:
+            flat, sizes = self._learn(*text_bytes(pieces.slice(count)))
+            self._pieces = pieces
+            self._ids = np.concatenate((self._ids, flat))
+            self._sizes = np.concatenate((self._sizes, sizes))
+            self._used = np.concatenate((self._used, np.zeros(len(sizes), np.int64)))
+        self._used[numbers] = self._batch
+        out = spread(self._ids, self._sizes, numbers, np.searchsorted(starts, offsets))
+        self._forget()
+        return out
+
+    def _forget(self) -> None:
+        """When the memory is full, keep half of it: short pieces, the last used ones."""
+        count, size = len(self._pieces), self._pieces.nbytes
+        if count <= REMEMBERED and size <= REMEMBERED * LONG:
+            return
+        _, offsets = text_bytes(self._pieces)
+        kept = np.flatnonzero(np.diff(offsets) <= LONG)
+        order = np.argsort(-self._used[kept], kind="stable")
+        kept = np.sort(kept[order[: REMEMBERED // 2]])
+        self._ids, _ = spread(self._ids, self._sizes, kept, np.zeros(1, np.int64))
+        self._pieces = self._pieces.take(pa.array(kept))
+        self._sizes, self._used = self._sizes[kept], self._used[kept]
+
+    def _matches(self, data: np.ndarray, ends: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The pattern's matches in all pieces, and where each piece's begin in them.
 
-        Pieces that may follow each other in a text are searched as one.
+        Pieces that keep their matches beside each other are searched as one text.
         """
-        raw = b"".join(pieces)
-        data = np.frombuffer(raw, np.uint8)
-        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        joins = np.zeros(len(data) + 1, bool)
-        joins[piece_starts(data, np.array([0, len(data)]))] = True
+        raw = data.tobytes()
         matches, at = [], 0
-        for end in ends[~joins[ends]].tolist():
+        for end in ends[~joints(data)[ends]].tolist():
             matches += self.split(raw[at:end].decode())
             at = end
         letters = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
@@ -163,21 +178,20 @@ class _Encoder:
             raise ValueError("the pattern leaves characters without a match")
         return matches, np.concatenate(([0], np.searchsorted(stops, letters[ends], side="right")))
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of all these matches into the memory, which forgets unused ones."""
-        words -= self._words.keys()
-        before = self._before
-        new = [w for w in words if w not in before]
-        self._words.update((w, before[w]) for w in words if w in before)
-        encoded = [w.encode() for w in new]
+    def _learn(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces end to end, and their number for each piece."""
+        matches, bounds = self._matches(data, offsets[1:])
+        numbers = {m: i for i, m in enumerate(dict.fromkeys(matches))}
+        encoded = [m.encode() for m in numbers]
         letters = _LETTERS[np.frombuffer(b"".join(encoded), np.uint8)].tobytes().decode("utf-32-le")
         ids, ends, at = array("I"), [0], 0
         for own in map(len, encoded):
             ids.extend([t.id for t in self.model.tokenize(letters[at : at + own])])
-            ends.append(4 * len(ids))
+            ends.append(len(ids))
             at += own
-        known = ids.tobytes()
-        self._words.update(zip(new, (known[a:b] for a, b in zip(ends, ends[1:]))))
+        of_match = np.fromiter(map(numbers.__getitem__, matches), np.int64, len(matches))
+        flat, ends = spread(np.array(ids, np.uint32), np.diff(ends), of_match, bounds)
+        return flat, np.diff(ends)
 
 
 _ENCODERS: dict[tuple, _Encoder] = {}

@@ -133,6 +133,55 @@ def encoder():
     return token_files._Encoder(open(p.path("byte_bpe_50k.json"), "rb").read(), p.PATTERN)
 
 
+SIGNS = st.text(st.sampled_from(list("ab9é×÷ß_'st.,-(\"@   \n\n\t\r\x0b½—中\u00aa\u0301\u3000\u00a0\x85\x1c\x00")), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(SIGNS, min_size=1, max_size=5))
+def test_library_ids_of_pieces_cut_at_signs(encoder, texts):
+    ids, bounds = encoder.encode(*text_bytes(pa.array(texts)))
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_white_space_learned_beside_other_pieces_keeps_its_match(encoder):
+    fresh = token_files._Encoder(encoder.tokenizer.to_str().encode(), encoder.split.__self__.pattern)
+    texts = ["a\n\n", "é", "b\n\n\n", "\n", "c \n ", "x", "\u3000 ", "y", "d\n\n .", "\t\t", "÷\n\n z"]
+    for _ in range(2):
+        ids, bounds = fresh.encode(*text_bytes(pa.array(texts)))
+        for text, a, b in zip(texts, bounds, bounds[1:]):
+            assert ids[a:b].tolist() == fresh.tokenizer.encode(text, add_special_tokens=False).ids
+        texts.reverse()
+
+
+def test_known_words_are_neither_searched_nor_encoded_again(encoder, monkeypatch):
+    encoder.encode(*text_bytes(pa.array(["one two, three (four) été. five"])))
+
+    def again(_):
+        raise AssertionError("searched again")
+
+    monkeypatch.setattr(encoder, "split", again)
+    texts = ["one (four, two) three", "one two. three five, été two"]
+    ids, bounds = encoder.encode(*text_bytes(pa.array(texts)))
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_of_pieces_stays_bounded(monkeypatch):
+    import public_tokenizers as p
+
+    own = token_files._Encoder(open(p.path("byte_bpe_50k.json"), "rb").read(), p.PATTERN)
+    monkeypatch.setattr(token_files, "REMEMBERED", 8)
+    for i in range(30):
+        texts = [f"the word{i} of x{i}, the", None, "", "y" * 1000 * (i % 3), f"z{i - 1} of <|endoftext|>"]
+        ids, bounds = own.encode(*text_bytes(pa.array(texts)))
+        for text, a, b in zip(texts, bounds, bounds[1:]):
+            assert ids[a:b].tolist() == own.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert len(own._pieces) <= 8 and own._pieces.nbytes <= 8 * (token_files.LONG + 8) + 8
+        assert len(own._sizes) == len(own._used) == len(own._pieces) and own._sizes.sum() == len(own._ids)
+    assert "the" in [x.decode() for x in own._pieces.to_pylist()]
+
+
 @pytest.mark.parametrize(
     "texts",
     [
