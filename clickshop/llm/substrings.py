@@ -1,22 +1,27 @@
 """Removal of repeated substrings by suffix sorting.
 
 A byte goes when it lies in a ``LENGTH``-byte string that also starts in a document with a
-smaller id.  Four passes, none of which holds a document set or a frequent string whole:
+smaller id.  Five passes, none of which holds a document set or a frequent string whole:
 
 1. ``pack``: documents become chunks, written once as a table bucketed by chunk, so that
    the joins below move no text.
 2. Every window of ``LENGTH`` bytes has a key: the least hash of the ``GRAM``-byte strings
    within it.  Equal windows have equal keys, and neighbours mostly share one, so a chunk
    has few distinct keys.  Keys go to parts of the key space, each key once per chunk, and
-   those in two documents or more come back as a bitmap.
-3. For repeated keys a chunk sends the stretch of its windows, each distinct stretch once.
-   A part sorts the suffixes of its stretches in two stages; windows with common prefixes
-   of ``LENGTH`` bytes form classes, and the least document of each class decides.
-4. The spans found come back to the chunk and cut its documents.
-
-A key in more than ``HOT_CHUNKS`` chunks is split: its windows travel one by one under
-hashes of their own, so no task gets a frequent string with all its surroundings.  Equal
-keys only bring windows together; the sorted bytes alone decide what is removed.
+   those in two documents or more come back as marks.
+3. The windows with one key are a stretch of text.  For repeated keys a chunk sends a digest
+   of each distinct stretch and its least document.  Where a key has one stretch everywhere,
+   its windows have nothing to be sorted against, and the least document of all decides.
+4. Where stretches differ, one chunk sends the bytes of each.  A part sorts their suffixes in
+   two stages; windows with common prefixes of ``LENGTH`` bytes form classes, and the least
+   document of each class decides.
+5. What was decided comes back to the chunk, one byte for a stretch or window, and cuts its
+   documents.
+
+A string in many chunks costs each of them a digest, however many there are.  A key with more
+than ``HOT_CHUNKS`` different stretches is split: its windows travel one by one under digests
+of their own, so no task gets a frequent string with all its surroundings.  Keys only bring
+windows together; digests have 64 bits beside the key's 48.
 
 Null and empty texts have no windows.  A null ``doc_id`` counts as larger than any other
 and never as smaller.  Rows of one ``doc_id`` remove nothing from each other.  An empty
@@ -29,10 +34,10 @@ import hashlib
 import math
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -41,12 +46,17 @@ from clickshop.llm.two_stage import Strings
 
 LENGTH = 50
 GRAM = 24
+#: Different stretches of one key, each sent by a chunk, that are sorted together at most.
 HOT_CHUNKS = 256
+#: Longer stretches have their digest from the library.
+LONG = 128
 #: Text of a bucket of chunks, and the most buckets that Spark makes unless told otherwise.
 BUCKET_BYTES, MOST_BUCKETS = 8 << 20, 100_000
 #: Bytes of keys in one part, and of stretches sorted at a time.
 PART_BYTES = 8 << 20
 SORT_BYTES = 1 << 20
+#: Bytes of stretches that a chunk sends at a time.
+SENT_BYTES = 4 << 20
 #: A window key per so many bytes, about; it only sizes the parts.
 BYTES_PER_KEY = 13
 
@@ -57,6 +67,11 @@ _A, _B, _C, _D = (
 )
 _SLICE = 1 << 18
 
+#: What a chunk is told, and of an entry: nothing, an earlier document has all of it, its bytes
+#: are wanted, its bytes come from another chunk, its windows are wanted one by one.
+_MARKS, _CODES, _SORTED, _WINDOWS = range(4)
+_NOTHING, _EARLIER, _WANTED, _SHARED, _HOT = range(5)
+
 
 class Chunk:
     """Texts end to end, and the keys of their windows."""
@@ -66,38 +81,113 @@ class Chunk:
         self.offsets = np.concatenate(([0], np.cumsum(np.frombuffer(sizes, np.int64))))
         self.blob = blob
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Maximal runs of windows with one key: first window, past the last, key."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Maximal runs of windows of a text with one key: first window, past the last, key, document."""
         n = len(self.blob) - LENGTH + 1
         if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-        begins, ends, keys = [], [], []
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        first = self.offsets[:-1]
+        begins, keys = [], []
         for at in range(0, n, _SLICE):
             stop = min(at + _SLICE, n)
             least = _least_hashes(self.blob, at, stop)
-            edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+            edge = np.ones(stop - at, bool)
+            np.not_equal(least[1:], least[:-1], out=edge[1:])
+            edge[first[np.searchsorted(first, at) : np.searchsorted(first, stop)] - at] = True
+            edge = np.flatnonzero(edge)
             begins.append(at + edge)
             keys.append(least[edge])
-            ends.append(np.append(at + edge[1:], stop))
-        begin, end, key = np.concatenate(begins), np.concatenate(ends), np.concatenate(keys)
-        # Cut the runs where the windows of a text end.
-        first = self.offsets[:-1]
-        last = np.maximum(self.offsets[1:] - LENGTH + 1, first)
-        text = np.searchsorted(self.offsets, begin, side="right") - 1
-        text_end = np.searchsorted(self.offsets, end - 1, side="right") - 1
-        spans = text_end - text + 1
-        if (spans > 1).any():  # a run over several texts: one piece for each
-            by = np.repeat(np.arange(len(begin)), spans)
-            piece = np.arange(len(by)) - np.repeat(np.cumsum(spans) - spans, spans)
-            text = text[by] + piece
-            begin, end, key = begin[by], end[by], key[by]
-        begin = np.maximum(begin, first[text])
-        end = np.minimum(end, last[text])
-        keep = begin < end
-        return begin[keep], end[keep], key[keep]
-
-    def text_of(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.offsets, at, side="right") - 1
+        begin, key = np.concatenate(begins), np.concatenate(keys)
+        per_text = np.diff(np.append(np.searchsorted(begin, first), len(begin)))
+        # The windows of a text end before the next one begins.
+        end = np.minimum(np.append(begin[1:], n), np.repeat(self.offsets[1:] - LENGTH + 1, per_text))
+        keep = np.flatnonzero(begin < end)
+        return begin[keep], end[keep], key[keep], np.repeat(self.ids, per_text)[keep]
+
+    def by_key(self) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+        """The runs in the order of their keys, and where each key begins."""
+        runs = self.runs()
+        order = np.argsort(runs[2], kind="stable")
+        runs = tuple(x[order] for x in runs)
+        return runs, np.flatnonzero(_edges(runs[2]))
+
+    def digests(self, begin: np.ndarray, size: np.ndarray, seed: np.ndarray) -> np.ndarray:
+        """A 64-bit digest of the ``size`` bytes, at least ``LENGTH``, from each ``begin`` on."""
+        h = seed ^ size.astype(np.uint64) * _D
+        if not len(h):
+            return h
+        words = np.ndarray(len(self.blob) - 7, "<u8", self.blob, strides=(1,))
+        for k in range(LONG // 8):
+            if 8 * k + 8 <= LENGTH:
+                h = _mixed(h, words[begin + 8 * k])
+                continue
+            on = np.flatnonzero(size >= 8 * k + 8)
+            if not len(on):
+                break
+            h[on] = _mixed(h[on], words[begin[on] + 8 * k])
+        h = _mixed(h, words[begin + size - 8])
+        for i in np.flatnonzero(size > LONG).tolist():
+            own = hashlib.blake2b(self.blob[begin[i] : begin[i] + size[i]], digest_size=8).digest()
+            h[i] ^= np.uint64(int.from_bytes(own))
+        return h
+
+
+def _mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    h = (h ^ word) * _A
+    h ^= h >> np.uint64(32)
+    h *= _B
+    return h ^ (h >> np.uint64(29))
+
+
+def _edges(*ordered: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    edge = np.ones(len(ordered[0]), bool)
+    edge[1:] = False
+    for x in ordered:
+        edge[1:] |= x[1:] != x[:-1]
+    return edge
+
+
+def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` numbers from each ``begin`` on, end to end."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+class Entries:
+    """Runs with equal bytes are one entry; entries in the order of key and digest.
+
+    Only ``digested`` ones all have their digest; it orders the others where they share a key.
+    """
+
+    def __init__(
+        self, chunk: Chunk, begin: np.ndarray, end: np.ndarray, key: np.ndarray, doc: np.ndarray, digested: bool
+    ) -> None:
+        order = np.argsort(key, kind="stable")
+        begin, end, key, doc = (x[order] for x in (begin, end, key, doc))
+        edge = _edges(key)
+        tied = np.flatnonzero(~edge | ~np.append(edge[1:], True))
+        digest = np.zeros(len(key), np.uint64)
+        some = slice(None) if digested else tied
+        digest[some] = chunk.digests(begin[some], (end - begin)[some] + LENGTH - 1, key[some])
+        by = tied[np.lexsort((digest[tied], key[tied]))]
+        for x in (begin, end, doc, digest):
+            x[tied] = x[by]
+        edge |= _edges(digest)
+        self.begin, self.end, self.doc = begin, end, doc
+        self.of = np.cumsum(edge) - 1  # each run's entry
+        self.first = np.flatnonzero(edge)
+        self.key, self.digest = key[edge], digest[edge]
+        self.windows = (end - begin)[edge]
+        self.least = np.minimum.reduceat(doc, self.first) if len(key) else doc
+
+    def windows_of(self, chunk: Chunk, entries: np.ndarray) -> Entries:
+        """The windows of some entries, each an entry under a key of its own; ``entries``: flags."""
+        runs = np.flatnonzero(entries[self.of])
+        count = (self.end - self.begin)[runs]
+        at = _spread(self.begin[runs], count)
+        seed = np.repeat(self.key[self.of[runs]], count)
+        own = chunk.digests(at, np.full(len(at), LENGTH), seed * _C)
+        return Entries(chunk, at, at + 1, own, np.repeat(self.doc[runs], count), False)
 
 
 def _least_hashes(blob: bytes, at: int, stop: int) -> np.ndarray:
@@ -165,49 +255,52 @@ def bucket_count(total: int) -> int:
     return min(MOST_BUCKETS, max(1, math.ceil(total / BUCKET_BYTES)))
 
 
-def _unique_keys(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
-    """Distinct keys in order, whether each lies in several texts, and the runs by key."""
-    begin, end, key = chunk.runs()
-    order = np.argsort(key, kind="stable")
-    begin, end, key = begin[order], end[order], key[order]
-    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else begin
-    ids = chunk.ids[chunk.text_of(begin)]
-    several = (
-        np.minimum.reduceat(ids, edge) != np.maximum.reduceat(ids, edge)
-        if len(edge)
-        else np.empty(0, bool)
-    )
-    return key[edge], several, (begin, end, np.append(edge, len(key)))
+def _parts(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parts by high bits that ordered keys lie in, and where each begins, then the end."""
+    part = (keys >> np.uint64(64 - bits)).astype(np.int32)
+    begin = np.flatnonzero(_edges(part))
+    return part[begin], np.append(begin, len(keys))
+
+
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Items end to end as binary values, cut where the rows end."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    data = np.ascontiguousarray(values).tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _items(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The items of binary values end to end, and where those of each row begin, then the end."""
+    kind = np.dtype(kind)
+    data, offsets = text_bytes(column.combine_chunks())
+    return data.view(kind), offsets // kind.itemsize
 
 
-def _cuts(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Where the ``1 << bits`` parts of ordered keys begin, and the end."""
-    lows = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return np.append(np.searchsorted(keys, lows), len(keys))
+def _six(keys: np.ndarray) -> np.ndarray:
+    """The high 48 bits of keys."""
+    return np.ascontiguousarray((keys >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).view("V6").ravel()
+
+
+def _unsixed(six: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(six), 8), np.uint8)
+    wide[:, :6] = six.view(np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
 
 
 def _key_rows(bits: int):
-    """Chunk rows to the chunk's keys, a row per part; 48 bits of a key are enough here."""
+    """Chunk rows to the chunk's keys, a row per part; the lowest of 48 bits says whether several documents have the key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in _chunks(batches):
-            keys, several, _ = _unique_keys(chunk)
-            cuts = _cuts(keys, bits)
-            parts = np.flatnonzero(np.diff(cuts))
-            if not len(parts):
+            (_, _, key, doc), edge = chunk.by_key()
+            if not len(edge):
                 continue
-            six = (keys >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            slices = [(cuts[p], cuts[p + 1]) for p in parts.tolist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array(parts, pa.int32()),
-                    "chunk": pa.array(np.full(len(parts), number), pa.int64()),
-                    "keys": pa.array([six[a:b].tobytes() for a, b in slices], pa.binary()),
-                    "several": pa.array(
-                        [np.packbits(several[a:b]).tobytes() for a, b in slices], pa.binary()
-                    ),
-                }
-            )
+            several = np.minimum.reduceat(doc, edge) != np.maximum.reduceat(doc, edge)
+            keys = key[edge]
+            parts, cuts = _parts(keys, bits)
+            keys = keys & ~np.uint64(1 << 16) | several.astype(np.uint64) << np.uint64(16)
+            columns = [pa.array(parts), pa.array(np.full(len(parts), number)), _binary(_six(keys), cuts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "chunk", "keys"])
 
     return run
 
@@ -220,204 +313,233 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
             yield number, Chunk(ids, sizes, blob)
 
 
-_MARKS = pa.schema(
-    [
-        ("chunk", pa.int64()),
-        ("part", pa.int32()),
-        ("repeated", pa.binary()),
-        ("hot", pa.binary()),
-    ]
-)
+_NOTES = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
+
+
+def _told(table: pa.Table, cuts: np.ndarray, data: np.ndarray, schema: pa.Schema, *more: pa.Array) -> pa.Table:
+    """Rows of one part with new data for each chunk, without those whose data are all zero."""
+    columns = [pa.concat_arrays(table.column(n).chunks) for n in ("chunk", "part")]
+    told = np.concatenate(([0], np.cumsum(data != 0)))[cuts]
+    found = pa.Table.from_arrays([*columns, _binary(data, cuts), *more], schema=schema)
+    return found.filter(pa.array(np.diff(told) > 0))
+
 
+def _marks(table: pa.Table) -> pa.Table:
+    """Of one part: which keys of each chunk are repeated."""
+    six, cuts = _items(table.column("keys"), "V6")
+    keys = _unsixed(six)
+    _, inverse, counts = np.unique(keys >> np.uint64(1), return_inverse=True, return_counts=True)
+    repeated = counts > 1
+    repeated[inverse[keys & np.uint64(1) == 1]] = True
+    return _told(table, cuts, repeated[inverse].astype(np.uint8), _NOTES)
 
-def _marks(hot_chunks: int):
-    """Of one part: which keys of each chunk are repeated, and which are hot."""
+
+class Notes:
+    """What a chunk was told, by kind and part."""
+
+    def __init__(self, notes: list[dict]) -> None:
+        self.by: dict[int, list[tuple[int, bytes]]] = {}
+        for note in notes:
+            self.by.setdefault(note["kind"], []).append((note["part"], note["data"]))
+
+    def of(self, kind: int, keys: np.ndarray, bits: int, counts: np.ndarray | None = None) -> np.ndarray:
+        """A byte for each of the ordered ``keys``, or ``counts`` bytes; zeros where nothing was told."""
+        parts, cuts = _parts(keys, bits)
+        if counts is not None:
+            cuts = np.concatenate(([0], np.cumsum(counts)))[cuts]
+        where = dict(zip(parts.tolist(), zip(cuts[:-1].tolist(), cuts[1:].tolist())))
+        flags = np.zeros(cuts[-1], np.uint8)
+        for part, data in self.by.get(kind, ()):
+            a, b = where[part]
+            flags[a:b] = np.frombuffer(data, np.uint8)
+        return flags
+
+    def entries(self, chunk: Chunk, bits: int, digested: bool = False) -> Entries:
+        """The stretches of the chunk's repeated keys."""
+        (begin, end, key, doc), edge = chunk.by_key()
+        repeated = self.of(_MARKS, key[edge], bits).astype(bool)
+        chosen = np.flatnonzero(np.repeat(repeated, np.diff(np.append(edge, len(key)))))
+        return Entries(chunk, begin[chosen], end[chosen], key[chosen], doc[chosen], digested)
+
+
+def _with_notes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk, Notes]]:
+    for batch in batches:
+        notes = batch.column("notes")
+        for i, (number, chunk) in enumerate(_chunks(iter((batch,)))):
+            yield number, chunk, Notes(notes[i].as_py() or [])
+
+
+def _entry_rows(bits: int, out_bits: int):
+    """Chunk rows with their marks to the entries of repeated keys, a row per part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, chunk, notes in _with_notes(batches):
+            entries = notes.entries(chunk, bits, digested=True)
+            if not len(entries.key):
+                continue
+            parts, cuts = _parts(entries.key, out_bits)
+            base = int(entries.least.min())
+            docs = entries.least.astype(np.uint64) - np.uint64(base % (1 << 64))  # wraps, as it does back
+            docs = docs.astype(np.min_scalar_type(docs.max()))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(parts),
+                    "chunk": pa.array(np.full(len(parts), number)),
+                    "keys": _binary(_six(entries.key), cuts),
+                    "digests": _binary(entries.digest, cuts),
+                    "base": pa.array(np.full(len(parts), base)),
+                    "docs": _binary(docs, cuts),
+                }
+            )
+
+    return run
+
+
+_MEMBER = np.dtype([("string", "<u4"), ("key", "<u4"), ("doc", "<i8")])
+_CODED = _NOTES.append(pa.field("members", pa.binary()))
+
+
+def _codes(hot_chunks: int):
+    """Of one part: what is known of each entry, and the strings that differ under one key."""
 
     def run(table: pa.Table) -> pa.Table:
-        chunks = table.column("chunk").to_pylist()
-        rows = [np.frombuffer(k, np.uint8).reshape(-1, 6) for k in table.column("keys").to_pylist()]
-        sizes = np.array([len(r) for r in rows])
-        wide = np.zeros((sizes.sum(), 8), np.uint8)
-        wide[:, :6] = np.concatenate(rows)
-        _, inverse, counts = np.unique(
-            wide.view("<u8").reshape(-1), return_inverse=True, return_counts=True
-        )
-        repeated = counts > 1
-        several = [
-            np.unpackbits(np.frombuffer(s, np.uint8), count=n).astype(bool)
-            for s, n in zip(table.column("several").to_pylist(), sizes)
-        ]
-        repeated[inverse[np.concatenate(several)]] = True
-        found, hot = repeated[inverse], (counts > hot_chunks)[inverse]
-        ends = np.cumsum(sizes)
-        out = [
-            (c, np.packbits(found[a:b]).tobytes(), np.packbits(hot[a:b]).tobytes())
-            for c, a, b in zip(chunks, ends - sizes, ends)
-            if found[a:b].any()
-        ]
-        part = table.column("part")[0].as_py()
-        return pa.Table.from_arrays(
+        six, cuts = _items(table.column("keys"), "V6")
+        keys = _unsixed(six)
+        digests, _ = _items(table.column("digests"), "<u8")
+        doc = np.concatenate(
             [
-                pa.array([x[0] for x in out], pa.int64()),
-                pa.array([part] * len(out), pa.int32()),
-                pa.array([x[1] for x in out], pa.binary()),
-                pa.array([x[2] for x in out], pa.binary()),
-            ],
-            schema=_MARKS,
+                np.frombuffer(d, f"<u{len(d) // n}").astype(np.int64) + b
+                for d, b, n in zip(*(table.column(c).to_pylist() for c in ("docs", "base")), np.diff(cuts).tolist())
+            ]
         )
+        order = np.lexsort((digests, keys))
+        keys, digests = keys[order], digests[order]
+        new_key, new_string = _edges(keys), _edges(keys, digests)
+        first = np.flatnonzero(new_string)
+        key = (np.cumsum(new_key) - 1)[first]  # each string's key
+        string = np.cumsum(new_string) - 1  # each entry's string
+        least = np.minimum.reduceat(doc[order], first)
+        strings = np.bincount(key)[key]  # with that key
+        code = np.where(strings == 1, _NOTHING, np.where(strings <= hot_chunks, _SHARED, _HOT)).astype(np.uint8)[string]
+        code[(code == _NOTHING) & (least[string] < doc[order])] = _EARLIER
+        code[first[code[first] == _SHARED]] = _WANTED
+        members = np.empty(len(order), _MEMBER)
+        members["string"][order], members["key"][order], members["doc"] = string, key[string], doc
+        codes = np.empty(len(order), np.uint8)
+        codes[order] = code
+        member = (codes == _WANTED) | (codes == _SHARED)
+        member_cuts = np.concatenate(([0], np.cumsum(member)))[cuts]
+        return _told(table, cuts, codes, _CODED, _binary(members[member], member_cuts))
 
     return run
 
 
-def _stretch_rows(bits: int, out_bits: int):
-    """Chunk rows with their marks to the stretches of repeated keys, a row per part."""
+def _text_rows(bits: int, out_bits: int, sent_bytes: int):
+    """Chunk rows to the bytes of wanted entries, and to the windows of hot ones; these come with documents."""
+
+    def rows(
+        number: int, chunk: Chunk, entries: Entries, chosen: np.ndarray, docs: bool
+    ) -> Iterator[pa.RecordBatch]:
+        parts, cuts = _parts(entries.key[chosen], out_bits)
+        sizes = entries.windows[chosen] + LENGTH - 1
+        volume = np.concatenate(([0], np.cumsum(sizes)))[cuts]
+        data = np.frombuffer(chunk.blob, np.uint8)
+        begin = 0
+        while begin < len(parts):  # some parts at a time
+            end = max(int(np.searchsorted(volume, volume[begin] + sent_bytes, side="right")) - 1, begin + 1)
+            own, own_cuts = chosen[cuts[begin] : cuts[end]], cuts[begin : end + 1] - cuts[begin]
+            size = sizes[cuts[begin] : cuts[end]]
+            none = pa.nulls(end - begin, pa.binary())
+            text = data[_spread(entries.begin[entries.first[own]], size)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(parts[begin:end]),
+                    "chunk": pa.array(np.full(end - begin, number)),
+                    "sizes": none if docs else _binary(size, own_cuts),
+                    "docs": _binary(entries.least[own], own_cuts) if docs else none,
+                    "text": _binary(text, volume[begin : end + 1] - volume[begin]),
+                }
+            )
+            begin = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = batch.column("marks").to_pylist()
-            for own, (number, chunk) in zip(marks, _chunks(iter((batch,)))):
-                rows = _stretches(chunk, own, bits, out_bits)
-                if rows:
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "part": pa.array([r[0] for r in rows], pa.int32()),
-                            "chunk": pa.array([number] * len(rows), pa.int64()),
-                            "load": pa.array([r[1] for r in rows], pa.binary()),
-                        }
-                    )
+        for number, chunk, notes in _with_notes(batches):
+            if _CODES not in notes.by:
+                continue
+            entries = notes.entries(chunk, bits)
+            codes = notes.of(_CODES, entries.key, out_bits)
+            wanted = np.flatnonzero(codes == _WANTED)
+            if len(wanted):
+                yield from rows(number, chunk, entries, wanted, False)
+            if (codes == _HOT).any():
+                windows = entries.windows_of(chunk, codes == _HOT)
+                yield from rows(number, chunk, windows, np.arange(len(windows.key)), True)
 
     return run
 
 
-def _stretches(chunk: Chunk, marks: list[dict], bits: int, out_bits: int) -> list[tuple[int, bytes]]:
-    keys, _, (begin, end, edge) = _unique_keys(chunk)
-    cuts = _cuts(keys, bits)
-    repeated = np.zeros(len(keys), bool)
-    hot = np.zeros(len(keys), bool)
-    for mark in marks:
-        a, b = cuts[mark["part"]], cuts[mark["part"] + 1]
-        for flags, packed in ((repeated, mark["repeated"]), (hot, mark["hot"])):
-            flags[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a)
-    sizes = np.diff(edge)
-    by_run = np.repeat(np.arange(len(keys)), sizes)
-    chosen = np.flatnonzero(repeated[by_run])
-    lone, many = chosen[~hot[by_run[chosen]]], chosen[hot[by_run[chosen]]]
-    begin_at, run_key = begin[lone], keys[by_run[lone]]
-    length = end[lone] - begin_at + LENGTH - 1
-    blob = chunk.blob
-    if len(many):  # the windows of hot keys, one by one
-        count = end[many] - begin[many]
-        at = np.repeat(begin[many] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        own = [
-            int.from_bytes(hashlib.blake2b(blob[a : a + LENGTH], digest_size=8).digest())
-            for a in at.tolist()
-        ]
-        begin_at = np.concatenate((begin_at, at))
-        run_key = np.concatenate((run_key, np.array(own, np.uint64)))
-        length = np.concatenate((length, np.full(len(at), LENGTH)))
-    doc = chunk.ids[chunk.text_of(begin_at)] if len(begin_at) else begin_at
-    part = (run_key >> np.uint64(64 - out_bits)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    cut = np.append(np.searchsorted(part[order], np.arange(1 << out_bits)), len(order))
-    rows = []
-    for p in np.flatnonzero(np.diff(cut)).tolist():
-        own = order[cut[p] : cut[p + 1]]
-        rows.append((p, _load(blob, begin_at[own], length[own], run_key[own], doc[own])))
-    return rows
-
-
-def _load(blob: bytes, at: np.ndarray, length: np.ndarray, key: np.ndarray, doc: np.ndarray) -> bytes:
-    """Distinct stretches with their keys, and where each occurs."""
-    number: dict[bytes, int] = {}
-    which = np.array(
-        [number.setdefault(blob[a : a + n], len(number)) for a, n in zip(at.tolist(), length.tolist())]
-    )
-    keys = np.zeros(len(number), np.uint64)
-    keys[which] = key
-    sizes = np.fromiter(map(len, number), np.int64, len(number))
-    head = np.array([len(number), len(at)], np.int64)
-    parts = (head, keys, sizes, which.astype(np.int64), at.astype(np.int64), doc)
-    raw = b"".join([*(x.tobytes() for x in parts), *number])
-    return zstandard.ZstdCompressor(level=1).compress(raw)
-
-
-def _unload(load: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(load)
-    strings, places = np.frombuffer(raw, np.int64, 2).tolist()
-    columns = np.frombuffer(raw, np.int64, 2 * strings + 3 * places, 16)
-    cut = np.cumsum([strings, strings, places, places])
-    keys, sizes, which, at, doc = np.split(columns, cut)
-    return keys.view(np.uint64), sizes, which, at, doc, raw[16 + columns.nbytes :]
+_FOUND = pa.schema([("kind", pa.int32()), *_NOTES])
 
 
-_SPANS = pa.schema([("chunk", pa.int64()), ("spans", pa.binary())])
+def _sort_part(texts: pa.Table, coded: pa.Table) -> pa.Table:
+    """Of one part: which windows an earlier document has, chunk by chunk."""
+    single = texts.filter(texts.column("docs").is_valid())
+    texts = texts.filter(texts.column("sizes").is_valid()).sort_by("chunk")
+    found = []
+    if single.num_rows:
+        found.append((_WINDOWS, _sort_windows(single)))
+    if coded.num_rows:
+        found.append((_SORTED, _sort_strings(texts, coded.sort_by("chunk"))))
+    return pa.concat_tables(
+        [t.add_column(0, _FOUND.field(0), pa.array(np.full(t.num_rows, kind, np.int32))) for kind, t in found]
+    )
 
 
-def _sort_part(table: pa.Table) -> pa.Table:
-    """Of one part: the spans to remove from each chunk."""
-    chunks = table.column("chunk").to_pylist()
+def _sort_windows(table: pa.Table) -> pa.Table:
+    """Single windows: equal bytes are one class."""
+    doc, cuts = _items(table.column("docs"), "<i8")
+    raw = text_bytes(table.column("text").combine_chunks())[0].tobytes()
     number: dict[bytes, int] = {}
-    keys: list[int] = []
-    owners, places, docs, origin = [], [], [], []
-    for i, load in enumerate(table.column("load").to_pylist()):
-        own_keys, sizes, which, at, doc, raw = _unload(load)
-        ends = np.cumsum(sizes).tolist()
-        own = np.empty(len(sizes), np.int64)
-        for k, (a, b, key) in enumerate(zip([0, *ends], ends, own_keys.tolist())):
-            string = raw[a:b]
-            own[k] = place = number.setdefault(string, len(number))
-            if place == len(keys):
-                keys.append(key)
-        owners.append(own[which])
-        places.append(at)
-        docs.append(doc)
-        origin.append(np.full(len(at), i))
-    owner, place, doc, source = map(np.concatenate, (owners, places, docs, origin))
-    strings = list(number)
-    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    which = np.fromiter(
+        (number.setdefault(raw[a : a + LENGTH], len(number)) for a in range(0, len(raw), LENGTH)), np.int64, len(doc)
+    )
+    least = np.full(len(number), _NO_ID)
+    np.minimum.at(least, which, doc)
+    return _told(table, cuts, (least[which] < doc).astype(np.uint8), _NOTES)
+
+
+def _sort_strings(texts: pa.Table, coded: pa.Table) -> pa.Table:
+    """Strings that differ under one key: classes of their windows."""
+    sizes, _ = _items(texts.column("sizes"), "<i8")
+    raw = text_bytes(texts.column("text").combine_chunks())[0].tobytes()
+    members, cuts = _items(coded.column("members"), _MEMBER)
+    codes, _ = _items(coded.column("data"), "u1")
+    sent = codes[(codes == _WANTED) | (codes == _SHARED)] == _WANTED  # texts come in this order
+    # Strings in the order of their keys, as their numbers are.
+    numbers = members["string"][sent]
+    order = np.argsort(numbers)
+    numbers, keys = numbers[order], members["key"][sent][order]
+    owner = np.searchsorted(numbers, members["string"])
+    ends = np.cumsum(sizes)
+    begins, sizes = (ends - sizes)[order].tolist(), sizes[order]
+    strings = [raw[a : a + n] for a, n in zip(begins, sizes.tolist())]
     least = np.full(len(strings), _NO_ID)
-    np.minimum.at(least, owner, doc)
-    low = np.empty(len(strings), np.int64)  # least and largest document of the windows' classes
-    high = np.empty(len(strings), np.int64)
-    windows: dict[int, np.ndarray] = {}
-    order = np.argsort(np.array(keys, np.uint64), kind="stable")
-    ordered = np.array(keys, np.uint64)[order]
-    volume = np.cumsum(sizes[order])
+    np.minimum.at(least, owner, members["doc"])
+    volume = np.cumsum(sizes)
+    windows = sizes - LENGTH + 1
+    firsts = np.cumsum(windows) - windows
+    mins = np.empty(windows.sum(), np.int64)  # the least document of each window's class
     begin = 0
-    while begin < len(order):  # some keys at a time; all strings of a key together
+    while begin < len(strings):  # some keys at a time; all strings of a key together
         base = volume[begin - 1] if begin else 0
         end = max(int(np.searchsorted(volume, base + SORT_BYTES)), begin + 1)
-        end = int(np.searchsorted(ordered, ordered[end - 1], side="right"))
-        group = order[begin:end]
-        firsts, mins = _classes([strings[i] for i in group.tolist()], sizes[group], least[group])
-        low[group] = np.minimum.reduceat(mins, firsts)
-        high[group] = np.maximum.reduceat(mins, firsts)
-        for i, a, b in zip(group.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(mins)]):
-            if low[i] != high[i]:
-                windows[i] = mins[a:b]
+        end = int(np.searchsorted(keys, keys[end - 1], side="right"))
+        own = _classes(strings[begin:end], sizes[begin:end], least[begin:end])[1]
+        mins[firsts[begin] : firsts[begin] + len(own)] = own
         begin = end
-    whole = doc > high[owner]
-    some = np.flatnonzero((doc > low[owner]) & ~whole)
-    span_begin, span_end, span_source = (
-        [place[whole]],
-        [place[whole] + sizes[owner[whole]]],
-        [source[whole]],
-    )
-    for i in some.tolist():
-        edge = np.diff(np.concatenate(([False], windows[owner[i]] < doc[i], [False])).astype(np.int8))
-        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        span_begin.append(place[i] + a)
-        span_end.append(place[i] + b + LENGTH - 1)
-        span_source.append(np.full(len(a), source[i]))
-    begin_at, end_at, by = map(np.concatenate, (span_begin, span_end, span_source))
-    rows = []
-    for i in np.unique(by).tolist():
-        own = by == i
-        rows.append((chunks[i], np.stack((begin_at[own], end_at[own]), axis=1).astype("<u4").tobytes()))
-    return pa.Table.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-        schema=_SPANS,
-    )
+    count = windows[owner]
+    earlier = mins[_spread(firsts[owner], count)] < np.repeat(members["doc"], count)
+    return _told(coded, np.concatenate(([0], np.cumsum(count)))[cuts], earlier.astype(np.uint8), _NOTES)
 
 
 def _classes(
@@ -439,40 +561,79 @@ def _classes(
     return firsts, mins
 
 
-def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Chunk rows with their spans to one row per document."""
-    ids, sizes, spans, kept = [], [], [], []
-    for own, (_, chunk) in zip(batch.column("spans").to_pylist(), _chunks(iter((batch,)))):
-        n = len(chunk.blob)
-        step = np.zeros(n + 1, np.int32)
-        for packed in own or ():
-            pairs = np.frombuffer(packed, "<u4").reshape(-1, 2)
-            np.add.at(step, pairs[:, 0], 1)
-            np.add.at(step, pairs[:, 1], -1)
-        gone = np.cumsum(step)[:n] > 0
-        data = np.frombuffer(chunk.blob, np.uint8)
-        for i, (a, b) in enumerate(zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist())):
-            ids.append(int(chunk.ids[i]))
-            sizes.append(b - a)
-            mask = gone[a:b]
-            if mask.any():
-                edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))
-                starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                spans.append([{"start": s, "end": e} for s, e in zip(starts.tolist(), ends.tolist())])
-                kept.append(data[a:b][~mask].tobytes())
-            else:
-                spans.append([])
-                kept.append(chunk.blob[a:b])
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64(), mask=np.array(ids, np.int64) == _NO_ID),
-            pa.array(sizes, pa.int64()),
-            pa.array(spans, span),
-            pa.array(kept, pa.binary()),
-        ],
-        names=["doc_id", "n_bytes", "spans", "kept"],
-    )
+def _removed(chunk: Chunk, notes: Notes, bits: int, out_bits: int) -> np.ndarray:
+    """Which bytes of the chunk lie in a window that an earlier document has."""
+    n = len(chunk.blob)
+    step = np.zeros(n + 1, np.int32)
+
+    def remove(begin: np.ndarray, end: np.ndarray) -> None:
+        np.add.at(step, begin, np.int32(1))
+        np.add.at(step, end, np.int32(-1))
+
+    if notes.by:
+        entries = notes.entries(chunk, bits)
+        codes = notes.of(_CODES, entries.key, out_bits)
+        whole = (codes == _EARLIER)[entries.of] | (entries.doc > entries.least[entries.of])
+        remove(entries.begin[whole], entries.end[whole] + LENGTH - 1)
+        if _SORTED in notes.by:
+            own = np.flatnonzero((codes == _WANTED) | (codes == _SHARED))
+            windows = entries.windows[own]
+            flags = notes.of(_SORTED, entries.key[own], out_bits, windows)
+            firsts = np.zeros(len(codes), np.int64)
+            firsts[own] = np.cumsum(windows) - windows
+            member = np.zeros(len(codes), bool)
+            member[own] = True
+            runs = np.flatnonzero(member[entries.of] & ~whole)
+            count = entries.windows[entries.of[runs]]
+            gone = flags[_spread(firsts[entries.of[runs]], count)] == 1
+            at = _spread(entries.begin[runs], count)[gone]
+            remove(at, at + LENGTH)
+        if (codes == _HOT).any():
+            single = entries.windows_of(chunk, codes == _HOT)
+            flags = notes.of(_WINDOWS, single.key, out_bits) == 1
+            at = single.begin[flags[single.of] | (single.doc > single.least[single.of])]
+            remove(at, at + LENGTH)
+    return np.cumsum(step, dtype=np.int32)[:n] > 0
+
+
+def _cut(bits: int, out_bits: int):
+    """Chunk rows with their notes to one row per document."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, sizes, spans, kept = [], [], [], []
+        for _, chunk, notes in _with_notes(iter((batch,))):
+            gone = _removed(chunk, notes, bits, out_bits)
+            data = np.frombuffer(chunk.blob, np.uint8)
+            for i, (a, b) in enumerate(zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist())):
+                ids.append(int(chunk.ids[i]))
+                sizes.append(b - a)
+                mask = gone[a:b]
+                if mask.any():
+                    edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))
+                    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+                    spans.append([{"start": s, "end": e} for s, e in zip(starts.tolist(), ends.tolist())])
+                    kept.append(data[a:b][~mask].tobytes())
+                else:
+                    spans.append([])
+                    kept.append(chunk.blob[a:b])
+        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids, pa.int64(), mask=np.array(ids, np.int64) == _NO_ID),
+                pa.array(sizes, pa.int64()),
+                pa.array(spans, span),
+                pa.array(kept, pa.binary()),
+            ],
+            names=["doc_id", "n_bytes", "spans", "kept"],
+        )
+
+    return run
+
+
+def _by_chunk(notes: dict[int, DataFrame]) -> DataFrame:
+    """All that each chunk was told, one row."""
+    rows = [df.select("chunk", F.lit(kind).alias("kind"), "part", "data") for kind, df in notes.items()]
+    return reduce(DataFrame.unionByName, rows).groupBy("chunk").agg(F.collect_list(F.struct("kind", "part", "data")).alias("notes"))
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -481,21 +642,30 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     volume = max(1, 6 * total / BYTES_PER_KEY / PART_BYTES)
     bits = max(3, math.ceil(math.log2(volume)))
     out_bits = bits + 1
-    keys = chunks.mapInArrow(_key_rows(bits), "part int, chunk long, keys binary, several binary")
-    marks = keys.groupBy("part").applyInArrow(
-        _marks(HOT_CHUNKS), "chunk long, part int, repeated binary, hot binary"
+    keys = chunks.mapInArrow(_key_rows(bits), "part int, chunk long, keys binary")
+    marks = written(keys.groupBy("part").applyInArrow(_marks, "chunk long, part int, data binary"), "marks")
+    notes = {_MARKS: marks}
+    entries = chunks.join(_by_chunk(notes), "chunk").mapInArrow(
+        _entry_rows(bits, out_bits), "part int, chunk long, keys binary, digests binary, base long, docs binary"
+    )
+    coded = written(
+        entries.groupBy("part").applyInArrow(
+            _codes(HOT_CHUNKS), "chunk long, part int, data binary, members binary"
+        ),
+        "codes",
     )
-    # One entry per part and chunk, each a bitmap of the chunk's own keys.
-    by_chunk = marks.groupBy("chunk").agg(
-        F.collect_list(F.struct("part", "repeated", "hot")).alias("marks")
+    notes[_CODES] = coded
+    texts = chunks.join(_by_chunk(notes), "chunk").mapInArrow(
+        _text_rows(bits, out_bits, SENT_BYTES), "part int, chunk long, sizes binary, docs binary, text binary"
     )
-    stretches = (
-        chunks.join(by_chunk, "chunk")
-        .mapInArrow(_stretch_rows(bits, out_bits), "part int, chunk long, load binary")
-        .groupBy("part")
-        .applyInArrow(_sort_part, "chunk long, spans binary")
+    differ = coded.filter(F.octet_length("members") > 0)
+    found = written(
+        texts.groupBy("part")
+        .cogroup(differ.groupBy("part"))
+        .applyInArrow(_sort_part, "kind int, chunk long, part int, data binary"),
+        "windows",
     )
-    spans = written(stretches, "spans")
-    by_chunk = spans.groupBy("chunk").agg(F.collect_list("spans").alias("spans"))
+    for kind in (_SORTED, _WINDOWS):
+        notes[kind] = found.filter(F.col("kind") == kind)
     schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
-    return chunks.join(by_chunk, "chunk", "left").mapInArrow(in_batches(_cut), schema)
+    return chunks.join(_by_chunk(notes), "chunk", "left").mapInArrow(in_batches(_cut(bits, out_bits)), schema)

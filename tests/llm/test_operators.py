@@ -16,7 +16,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from clickshop.llm import bpe, components, decontaminate, fm_index, html_text, pieces
+from clickshop.llm import bpe, common, components, decontaminate, fm_index, html_text, pieces
 from clickshop.llm import reply_trees, secrets, simhash, substrings, token_files, urls
 from clickshop.llm.common import text_bytes
 from clickshop.llm.two_stage import Strings
@@ -206,6 +206,46 @@ def test_buckets_of_chunks_stay_within_sparks_limit(size, buckets):
     assert substrings.bucket_count(size) == buckets
 
 
+@pytest.mark.parametrize(("hot", "sent"), [(4, 4 << 20), (4, 100), (256, 100)])
+def test_a_text_in_many_chunks_costs_each_of_them_little(spark, monkeypatch, hot, sent):
+    """What comes back to the chunks stays far below the text, though its keys are in more than ``HOT_CHUNKS`` chunks."""
+    rng = random.Random(7)
+
+    def prose(words):
+        return " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(words))
+
+    text, line = prose(600), prose(20)
+    rows = [(i, text) for i in range(40)] + [(100 + i, f"{prose(8)} {line} {prose(8)}") for i in range(12)] + [(None, text), (3, line)]
+    rng.shuffle(rows)
+    written, volume = substrings.written, []
+
+    def weighed(df, name):
+        found = written(df, name)
+        sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in found.dtypes if kind == "binary"]
+        volume.append(sum(found.agg(*sizes).first()))
+        return found
+
+    monkeypatch.setattr(substrings, "written", weighed)
+    monkeypatch.setattr(substrings, "HOT_CHUNKS", hot)
+    monkeypatch.setattr(substrings, "SENT_BYTES", sent, raising=False)
+    monkeypatch.setitem(common.BATCH, "spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = [(r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), brute.sha(bytes(r.kept))) for r in found]
+    assert sorted(got, key=repr) == sorted(brute.substrings(rows), key=repr)
+    assert sum(volume) < sum(len(t) for _, t in rows) / 2
+
+
+def test_stretches_have_one_digest_if_and_only_if_their_bytes_are_equal():
+    rng = random.Random(3)
+    blob = "".join(rng.choices("ab", k=400)).encode() * 2 + b"a" * 900 + bytes(range(256)) * 2
+    chunk = substrings.Chunk(np.array([1]).tobytes(), np.array([len(blob)]).tobytes(), blob)
+    at = [(i, n) for n in (50, 51, 57, 64, 127, 128, 129, 300) for i in range(len(blob) - n + 1)]
+    begin, size = (np.array(x) for x in zip(*at))
+    digests = chunk.digests(begin, size, np.zeros(len(at), np.uint64)).tolist()
+    pairs = {(blob[a : a + n], d) for (a, n), d in zip(at, digests)}
+    assert len(pairs) == len({s for s, _ in pairs}) == len({d for _, d in pairs})
+
+
 # --- SimHash groups
 
 
