@@ -464,7 +464,7 @@ def _text_rows(bits: int, out_bits: int, sent_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk, notes in _with_notes(batches):
-            if _CODES not in notes.by:
+            if not any(bytes((x,)) in data for _, data in notes.by.get(_CODES, ()) for x in (_WANTED, _HOT)):
                 continue
             entries = notes.entries(chunk, bits)
             codes = notes.of(_CODES, entries.key, out_bits)
